@@ -75,5 +75,5 @@ def enrich(
         lines = with_week(lines)
     spread = ["cart_id", "line_no"]
     wide = lookup_join(lines, product_rows, [*week, "product_ID"], spread, **join_options)
-    wide = lookup_join(wide, user_rows, [*week, "User_ID"], spread, **join_options)
+    wide = lookup_join(wide, user_rows, [*week, "User_ID"], spread, profile=lines, **join_options)
     return wide.select(*by, *PRODUCT_FIELDS, "User_ID", "product_ID", "quantity", *USER_FIELDS)

@@ -41,6 +41,7 @@ def lookup_join(
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_share: float = HOT_SHARE,
     how: str = "left",
+    profile: DataFrame | None = None,
 ) -> DataFrame:
     """``fact`` left (or inner) join ``dim`` on equally named columns; several matches multiply the row.
 
@@ -49,14 +50,15 @@ def lookup_join(
     one task: those rows are spread over all shuffle partitions by a salt taken from
     ``spread_by``, and only the dimension rows of hot keys are copied once per salt value.
     Each fact row has one salt and meets every match exactly once, so the result does not
-    depend on which keys are taken for hot. The last column of ``on`` is the one checked.
+    depend on which keys are taken for hot. The last column of ``on`` is the one checked, in
+    ``profile`` where given: a frame with the same keys that is cheaper to read than ``fact``.
     """
     on = list(on)
     if measured_bytes(dim) <= broadcast_bytes:
         return fact.join(F.broadcast(dim), on, how)
 
     key = on[-1]
-    hot = hot_keys(fact, key, hot_share)
+    hot = hot_keys(fact if profile is None else profile, key, hot_share)
     if not hot:
         return fact.join(dim, on, how)
 

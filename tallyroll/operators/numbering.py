@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyroll.operators.joins import BROADCAST_BYTES, measured_bytes
 from tallyroll.session import settle
 
 # monotonically_increasing_id() keeps the partition number above this many bits.
@@ -37,5 +38,7 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
         *[F.col(key).alias(f"_of_{key}") for key in keys],
         (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
+    if measured_bytes(starts) <= BROADCAST_BYTES:
+        starts = F.broadcast(starts)
     same = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_of_{key}")) for key in keys])
     return placed.join(starts, same).select(*df.columns, (F.col("_place") + F.col("_shift")).alias(name))

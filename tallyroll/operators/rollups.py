@@ -20,17 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions import calendar, money
 from tallyroll.operators.enrich import dedupe, product_dim, user_dim, with_week
 from tallyroll.operators.joins import lookup_join
 
-PRODUCT_MEASURES = ("units", "lines", "revenue", "rating_points", "rating_votes")
-BUYER_MEASURES = ("units", "revenue", "price_total", "priced_lines")
-
-
 def repeated_keys(dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows as ``copies``."""
     return dim.groupBy(*on).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
@@ -67,20 +63,21 @@ def product_sales(
         rows = dedupe(rows, [*week, "product_ID"])
     if weekly:
         counted = with_week(counted)
-    votes = money.wide_product(F.col("count"), F.col("lines"))
-    points = money.to_ticks(F.col("rate")) * F.col("count")
     return counted.join(rows, [*week, "product_ID"], "left").select(
-        *by,
-        "product_ID",
-        "category",
-        "units",
-        "lines",
-        money.wide_product(money.to_ticks(F.col("price")), F.col("units")).alias("revenue"),
-        money.wide_product(points, F.col("lines")).alias("rating_points"),
-        votes.alias("rating_votes"),
+        *by, "product_ID", "category", "units", "lines", *_product_measures(F.col("units"), F.col("lines"))
     )
 
 
+def _product_measures(units: Column, lines: Column) -> list[Column]:
+    """Revenue of ``units`` and rating weights of ``lines`` of one product, as pairs of bigints."""
+    votes = F.col("count")
+    return [
+        *money.wide_product(money.to_ticks(F.col("price")), units, "revenue"),
+        *money.wide_product(money.to_ticks(F.col("rate")) * votes, lines, "rating_points"),
+        *money.wide_product(votes, lines, "rating_votes"),
+    ]
+
+
 def buyer_sales(
     lines: DataFrame,
     products: DataFrame,
@@ -104,28 +101,26 @@ def buyer_sales(
     )
     per_buyer = valued.groupBy(*by, "User_ID").agg(
         F.sum("quantity").alias("units"),
-        money.wide_sum(F.col("price_ticks") * F.col("quantity")).alias("revenue"),
-        money.wide_sum(F.col("price_ticks")).alias("price_total"),
+        *money.sum_parts(F.col("price_ticks") * F.col("quantity"), "revenue"),
+        *money.sum_parts(F.col("price_ticks"), "price_total"),
         F.count("price_ticks").alias("priced_lines"),
     )
+    measures = [name for name in per_buyer.columns if name not in (*by, "User_ID")]
     if weekly:
         per_buyer = with_week(per_buyer)
     return per_buyer.join(user_rows, [*week, "User_ID"], "left").select(
-        *by, "User_ID", "firstname", "lastname", "email", "city", *BUYER_MEASURES
+        *by, "User_ID", "firstname", "lastname", "email", "city", *measures
     )
 
 
 def line_measures(enriched: DataFrame) -> DataFrame:
     """The measures of each single line of the enriched fact."""
-    price, quantity = money.to_ticks(F.col("price")), F.col("quantity")
-    return enriched.withColumns(
-        {
-            "units": quantity,
-            "lines": F.when(F.col("product_ID").isNotNull(), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")),
-            "revenue": money.wide_product(price, quantity),
-            "rating_points": money.wide_product(money.to_ticks(F.col("rate")), F.col("count")),
-            "rating_votes": F.col("count").cast("decimal(38,0)"),
-            "price_total": price.cast("decimal(38,0)"),
-            "priced_lines": F.when(price.isNotNull(), F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint")),
-        }
+    price, one, none = money.to_ticks(F.col("price")), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    return enriched.select(
+        "*",
+        F.col("quantity").alias("units"),
+        F.when(F.col("product_ID").isNotNull(), one).otherwise(none).alias("lines"),
+        *_product_measures(F.col("quantity"), one),
+        *money.wide_parts(price, "price_total"),
+        F.when(price.isNotNull(), one).otherwise(none).alias("priced_lines"),
     )

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.functions import calendar
-from tallyroll.operators.enrich import enrich
+from tallyroll.operators.enrich import PRODUCT_FIELDS, USER_FIELDS, enrich
 from tallyroll.operators.flatten import cart_lines, flatten_products, flatten_users
 from tallyroll.operators.flatten import sale_lines as explode_sale_lines
 from tallyroll.operators.rollups import buyer_sales, product_sales
 from tallyroll.plans import warehouse
 from tallyroll.plans.metrics import METRICS, Metric
-from tallyroll.session import scratch_path
+from tallyroll.session import scratch_path, settle
 from tallyroll.sources import landing, raw, zones
 from tallyroll.sources import starschema as star
 
@@ -33,11 +33,17 @@ def _dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return flatten_products(star.products(spark, sf_dir)), flatten_users(star.users(spark, sf_dir))
 
 
-def _weekly_dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        flatten_products(star.weekly_products(spark, sf_dir), keep=calendar.WEEK_KEY),
-        flatten_users(star.weekly_users(spark, sf_dir), keep=calendar.WEEK_KEY),
-    )
+def _weekly_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_products(star.weekly_products(spark, sf_dir), keep=calendar.WEEK_KEY)
+
+
+def _weekly_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten_users(star.weekly_users(spark, sf_dir), keep=calendar.WEEK_KEY)
+
+
+def _snapshot(dim: DataFrame, *columns: str) -> DataFrame:
+    """Some columns of a weekly dimension, written down: a join with single lines reads it twice."""
+    return settle(dim.select(*calendar.WEEK_KEY, *columns), "snapshot")
 
 
 def sales(
@@ -59,13 +65,14 @@ def metric_query(metric: Metric, spark: SparkSession, sf_dir: str, dated: bool =
 
 def weekly_metric_query(metric: Metric, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A metric per day where each day meets the snapshots of its own ISO week."""
-    products, users = _weekly_dims(spark, sf_dir)
-    lines = star.sale_lines(spark, sf_dir, owner=True, dated=True)
+    products = _weekly_products(spark, sf_dir)
+    lines = star.sale_lines(spark, sf_dir, owner=metric.source == "buyer", dated=True)
     by = ("run_date",)
     if metric.source == "product":
         rollup = product_sales(lines, products, by=by, weekly=True)
     else:
-        rollup = buyer_sales(lines, products, users, by=by, weekly=True)
+        prices = _snapshot(products, "Product_ID", "price")
+        rollup = buyer_sales(lines, prices, _weekly_users(spark, sf_dir), by=by, weekly=True)
     return metric.compute(rollup, by=by, ordered=False)
 
 
@@ -91,7 +98,9 @@ def enriched(spark: SparkSession, sf_dir: str, owner: bool) -> DataFrame:
 
 def enriched_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = star.sale_lines(spark, sf_dir, owner=True, dated=True)
-    return enrich(lines, *_weekly_dims(spark, sf_dir), by=("run_date",), weekly=True)
+    products = _snapshot(_weekly_products(spark, sf_dir), "Product_ID", *PRODUCT_FIELDS)
+    users = _snapshot(_weekly_users(spark, sf_dir), "User_ID", *USER_FIELDS)
+    return enrich(lines, products, users, by=("run_date",), weekly=True)
 
 
 def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:

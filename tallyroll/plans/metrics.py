@@ -18,11 +18,11 @@ BUYER_KEYS = ("User_ID", "firstname", "lastname", "email")
 
 
 def _revenue() -> Column:
-    return money.amount(F.sum("revenue")).cast("double")
+    return money.amount(money.wide_total("revenue")).cast("double")
 
 
 def _revenue_cents() -> Column:
-    return F.round(money.amount(F.sum("revenue")), 2).cast("double")
+    return F.round(money.amount(money.wide_total("revenue")), 2).cast("double")
 
 
 def _units() -> Column:
@@ -34,11 +34,11 @@ def _lines() -> Column:
 
 
 def _mean_price() -> Column:
-    return money.ratio_half_up(F.sum("price_total"), F.sum("priced_lines"), 2)
+    return money.ratio_half_up(money.wide_total("price_total"), F.sum("priced_lines"), 2)
 
 
 def _mean_rating() -> Column:
-    return money.ratio_half_up(F.sum("rating_points"), F.sum("rating_votes"), 1)
+    return money.ratio_half_up(money.wide_total("rating_points"), money.wide_total("rating_votes"), 1)
 
 
 @dataclass(frozen=True)

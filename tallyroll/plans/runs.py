@@ -13,6 +13,7 @@ from tallyroll.operators.flatten import flatten_products, flatten_users, sale_li
 from tallyroll.operators.rollups import buyer_sales, product_sales
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
+from tallyroll.session import settle
 from tallyroll.sources import zones
 
 DAY = ("run_date",)
@@ -78,9 +79,10 @@ def run_history(
 ) -> None:
     """Metrics of every landed day from ``first`` to ``last`` in one go.
 
-    Each day meets the snapshots of its own ISO week. The rollups are written as tables, so the
-    carts are read twice however many metrics there are, and a lost executor costs no rework
-    of the fact. A day without any sale keeps its old rows in the tables that have keys.
+    Each day meets the snapshots of its own ISO week. The rollups are written to the shared
+    scratch folder, so the carts are read twice however many metrics there are, and a lost
+    executor costs no rework of the fact. A day without any sale keeps its old rows in the
+    tables that have keys.
     """
     between = F.col("run_date").between(F.lit(first), F.lit(last))
     carts = zones.read_table(spark, zones.zone(base, "raw", "carts"), between)
@@ -92,15 +94,10 @@ def run_history(
 
     lines = sale_lines(carts, buyer_col, by=DAY)
     options = {"by": DAY, "weekly": True, "dedupe_dims": dedupe_dims}
-    sales = {}
-    for source, rollup in [
-        ("product", product_sales(lines, products, users, **options)),
-        ("buyer", buyer_sales(lines, products, users, **options)),
-    ]:
-        path = zones.zone(base, "rollups", f"{source}_sales")
-        zones.replace_partitions(rollup, path, by=DAY)
-        sales[source] = zones.read_table(spark, path, between)
-
+    sales = {
+        "product": settle(product_sales(lines, products, users, **options), "product_sales"),
+        "buyer": settle(buyer_sales(lines, products, users, **options), "buyer_sales"),
+    }
     publish.run_jobs([lambda m=m: publish.publish_days(m, sales[m.source], base, days) for m in METRICS.values()])
     publish.check_published(spark, base, sales["product"])
     load_warehouse(spark, base, first, last, by_content)

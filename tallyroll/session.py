@@ -8,12 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution picks the number of reduce tasks, splits skewed join partitions and
-# balances partitioned writes. Executor sizes and the initial number of shuffle partitions
-# belong to the submit command, since they depend on the cluster.
+# balances partitioned writes. A shuffled join turns into a hash join, without sorting the
+# fact, if every partition of the smaller side is found to be small. Executor sizes and the
+# initial number of shuffle partitions belong to the submit command, since they depend on the
+# cluster.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

@@ -2,7 +2,6 @@
 
     raw/users, raw/products      iso_year=…/iso_week=…     weekly snapshots
     raw/carts                    run_date=…                one snapshot per day
-    rollups/<name>               run_date=…                sales per product and per buyer
     analytics/<metric>           run_date=…                published metrics
     warehouse/<metric>           static_date=…             keyed rows, appended only
 """

@@ -172,14 +172,15 @@ amounts = st.integers(-(10**15), 10**15)
 def test_money(spark, values):
     df = spark.createDataFrame(values, "t long, n long")
     t, n = F.col("t"), F.col("n")
-    total = df.agg(money.wide_sum(t).alias("s")).first().s
-    assert total == sum(v for v, _ in values)
+    parts = df.select(*money.wide_parts(t, "s"), *money.wide_product(t % (1 << 46), n, "p"))
+    total = parts.agg(money.wide_total("s").alias("s"), money.wide_total("p").alias("p")).first()
+    assert total.s == sum(v for v, _ in values)
+    assert total.p == sum((abs(v) % (1 << 46)) * (-1 if v < 0 else 1) * m for v, m in values)
+    assert df.agg(*money.sum_parts(t, "s")).agg(money.wide_total("s")).first()[0] == total.s
     out = df.select(
-        "t", "n", money.ratio_half_up(t, n, 2).alias("r2"), money.ratio_half_up(t, n, 1).alias("r1"),
-        money.wide_product(t, n).alias("p"), money.amount(t).alias("a"),
-    )
+        "t", "n", money.ratio_half_up(t, n, 2).alias("r2"), money.ratio_half_up(t, n, 1).alias("r1"), money.amount(t).alias("a")
+    )
     for r in out.collect():
-        assert r.p == r.t * r.n
         assert r.a == Decimal(r.t).scaleb(-4)
         for got, places in [(r.r2, 2), (r.r1, 1)]:
             if r.n == 0:
@@ -194,8 +195,14 @@ def test_money(spark, values):
 def test_money_beyond_bigint(spark):
     big = 9 * 10**18
     df = spark.createDataFrame([(big,), (big,), (-5,), (None,)], "t long")
-    assert df.agg(money.wide_sum(F.col("t")).alias("s")).first().s == 2 * big - 5
-    assert df.where("t is null").agg(money.wide_sum(F.col("t")).alias("s")).first().s is None
+    totals = df.agg(*money.sum_parts(F.col("t"), "s"))
+    assert totals.agg(money.wide_total("s")).first()[0] == 2 * big - 5
+    nothing = df.where("t is null").agg(*money.sum_parts(F.col("t"), "s"))
+    assert nothing.agg(money.wide_total("s")).first()[0] is None
+    # More than a bigint holds: a price of 10**8 ticks times 10**15 units.
+    df = spark.createDataFrame([(10**8, 10**15), (10**13, 3)], "p long, u long")
+    parts = df.select(*money.wide_product(F.col("p"), F.col("u"), "r"))
+    assert parts.agg(money.wide_total("r")).first()[0] == 10**23 + 3 * 10**13
 
 
 def test_ticks(spark):
