@@ -8,11 +8,12 @@ from contextlib import contextmanager
 from datetime import date
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.plans.metrics import METRICS, Metric
 from tallyroll.sources import zones
+from tallyroll.sources.raw import MissingInput
 
 # Metric jobs over the rollups are short; a few at a time keep the executors busy.
 PARALLEL_JOBS = 4
@@ -64,20 +65,31 @@ def publish_days(metric: Metric, sales: DataFrame, base: str, days: DataFrame) -
     )
 
 
-def check_published(spark: SparkSession, base: str, days: DataFrame) -> None:
-    """Every day in ``days`` has rows in every metric table."""
-    expected = days.select("run_date").distinct()
+def between_days(first: date, last: date) -> Column:
+    return F.col("run_date").between(F.lit(first), F.lit(last))
+
+
+def check_day(spark: SparkSession, base: str, run_date: date) -> None:
+    """Every metric table has files for the day, be it without rows."""
+    for name in METRICS:
+        try:
+            zones.read_table(spark, zones.zone(base, "analytics", name, f"run_date={run_date.isoformat()}"))
+        except MissingInput as error:
+            raise MissingOutput(f"{name} has no files for {run_date}") from error
+
+
+def check_days(base: str, days: DataFrame, first: date, last: date) -> None:
+    """Every metric table has rows for each of ``days``, all from ``first`` to ``last``."""
 
     def check(name: str) -> None:
-        absent = zones.absent_partitions(expected, spark, zones.zone(base, "analytics", name))
-        first = absent.orderBy("run_date").first()
-        if first is not None:
-            raise MissingOutput(f"{name} has no rows for {first.run_date}")
+        absent = zones.absent_partitions(days, zones.zone(base, "analytics", name), between_days(first, last))
+        gap = absent.orderBy("run_date").first()
+        if gap is not None:
+            raise MissingOutput(f"{name} has no rows for {gap.run_date}")
 
     run_jobs([lambda name=name: check(name) for name in METRICS])
 
 
 def read_published(spark: SparkSession, base: str, name: str, first: date, last: date) -> DataFrame:
     """Published rows of a metric for a range of days; scans only those partitions."""
-    day = F.col("run_date")
-    return zones.read_table(spark, zones.zone(base, "analytics", name), day.between(F.lit(first), F.lit(last)))
+    return zones.read_table(spark, zones.zone(base, "analytics", name), between_days(first, last))

@@ -57,6 +57,7 @@ def run_day(
         publish.run_jobs(
             [lambda m=m: publish.publish_day(m, sales[m.source], base, run_date) for m in METRICS.values()]
         )
+    publish.check_day(spark, base, run_date)
     load_warehouse(spark, base, run_date, run_date, by_content)
 
 
@@ -84,8 +85,7 @@ def run_history(
     executor costs no rework of the fact. A day without any sale keeps its old rows in the
     tables that have keys.
     """
-    between = F.col("run_date").between(F.lit(first), F.lit(last))
-    carts = zones.read_table(spark, zones.zone(base, "raw", "carts"), between)
+    carts = zones.read_table(spark, zones.zone(base, "raw", "carts"), publish.between_days(first, last))
     products = flatten_products(_week_range(spark, base, "products", first, last), keep=WEEK_KEY)
     users = flatten_users(_week_range(spark, base, "users", first, last), keep=WEEK_KEY)
     days = carts.select("run_date").distinct()
@@ -99,5 +99,5 @@ def run_history(
         "buyer": settle(buyer_sales(lines, products, users, **options), "buyer_sales"),
     }
     publish.run_jobs([lambda m=m: publish.publish_days(m, sales[m.source], base, days) for m in METRICS.values()])
-    publish.check_published(spark, base, sales["product"])
+    publish.check_days(base, sales["product"].select("run_date").distinct(), first, last)
     load_warehouse(spark, base, first, last, by_content)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,11 @@ def build_session(app: str = "tallyroll", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="tallyroll-")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -51,8 +57,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        root = tempfile.mkdtemp(prefix="tallyroll-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_scratch()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

@@ -87,13 +87,13 @@ def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
 
 
-def absent_partitions(expected: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """Rows of ``expected`` (partition values) that the table has no rows for."""
-    columns = expected.columns
+def absent_partitions(expected: DataFrame, path: str, where: Column | None = None) -> DataFrame:
+    """Rows of ``expected`` (partition values) that the table has no rows for.
+
+    ``where`` bounds the partitions that are looked at.
+    """
     try:
-        present = spark.read.parquet(path)
-    except AnalysisException as error:
-        if not is_missing_path(error):
-            raise
+        present = read_table(expected.sparkSession, path, where)
+    except MissingInput:
         return expected
-    return expected.join(present.select(*columns).distinct(), columns, "left_anti")
+    return expected.join(present.select(*expected.columns).distinct(), expected.columns, "left_anti")

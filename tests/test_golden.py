@@ -3,6 +3,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import golden
 from tallyroll.operators.enrich import MissingSnapshot, enrich
@@ -182,14 +183,38 @@ def test_missing_inputs_are_named(spark, documents, tmp_path):
         run_history(spark, base, DAY, date(2025, 4, 21))
 
 
-def test_check_published_names_the_gap(spark, documents, tmp_path):
+def test_checks_name_the_gap(spark, documents, tmp_path):
     base = str(tmp_path)
     land(documents, base, [DAY])
     run_day(spark, base, DAY)
+    publish.check_day(spark, base, DAY)
+    with pytest.raises(publish.MissingOutput, match="2025-04-15"):
+        publish.check_day(spark, base, NEXT)
     days = spark.createDataFrame([(DAY,), (NEXT,)], "run_date date")
-    publish.check_published(spark, base, days.limit(1))
+    publish.check_days(base, days.where(F.col("run_date") == F.lit(DAY)), DAY, NEXT)
     with pytest.raises(publish.MissingOutput, match="2025-04-15"):
-        publish.check_published(spark, base, days)
+        publish.check_days(base, days, DAY, NEXT)
+
+
+def test_day_without_carts(spark, documents, tmp_path):
+    """An empty day replaces what was there and gives one NULL total."""
+    base = str(tmp_path)
+    land(documents, base, [DAY])
+    run_day(spark, base, DAY)
+    landing.land_carts(documents["carts"].where("id = 5"), base, DAY)
+    run_day(spark, base, DAY)
+    for name, metric in METRICS.items():
+        assert published(spark, base, name, DAY) == ([(None,)] if not metric.keys else [])
+
+
+def test_history_with_a_day_without_sales(spark, documents, tmp_path):
+    base = str(tmp_path)
+    land(documents, base, [DAY])
+    landing.land_carts(documents["carts"].where("id = 5"), base, NEXT)
+    run_history(spark, base, DAY, NEXT)
+    assert published(spark, base, "total_day_revenue", NEXT) == [(None,)]
+    assert published(spark, base, "rev_prod_cat", NEXT) == []
+    assert published(spark, base, "total_day_revenue", DAY) == golden.EXPECTED["total_day_revenue"]
 
 
 def test_positional_rerun_keeps_what_is_stored(spark, tmp_path):

@@ -251,11 +251,13 @@ def test_daily_landing_stamps_and_replaces_one_day(spark, tmp_path):
 
 def test_history_landing_touches_only_its_days(spark, tmp_path):
     base = str(tmp_path)
-    one = spark.createDataFrame([(1, "2025-04-14"), (2, "2025-04-15")], "id long, date string")
+    one = spark.createDataFrame([(1, "2025-04-14T08:00:00.000Z"), (2, "2025-04-15")], "id long, date string")
     landing.land_carts_history(one, base)
     landing.land_carts_history(one.where("id = 2").withColumn("id", F.lit(9).cast("bigint")), base)
     table = zones.read_table(spark, zones.zone(base, "raw", "carts"))
-    assert sorted((r.id, r.date) for r in table.collect()) == [(1, "2025-04-14"), (9, "2025-04-15")]
+    assert sorted((r.id, r.date) for r in table.collect()) == [
+        (1, "2025-04-14T08:00:00.000Z"), (9, "2025-04-15"),
+    ]
     one_day = zones.read_table(spark, zones.zone(base, "raw", "carts"), F.col("run_date") == F.lit(date(2025, 4, 14)))
     assert len(one_day.inputFiles()) >= 1 and one_day.count() == 1
     assert "PartitionFilters: [isnotnull(run_date" in one_day._jdf.queryExecution().toString()
