@@ -45,11 +45,6 @@ def wide_product(left: Column, right: Column, name: str) -> list[Column]:
     return [high.alias(f"{name}_high"), low.bitwiseAND(F.lit(_LOW_MASK)).alias(f"{name}_low")]
 
 
-def sum_parts(total: Column, name: str) -> list[Column]:
-    """Sums of both parts of a bigint."""
-    return [F.sum(part).alias(f"{name}_{side}") for part, side in zip(wide_parts(total, name), ("high", "low"))]
-
-
 def wide_total(name: str) -> Column:
     """Sum over the pair ``name`` as decimal(38,0)."""
     high, low = F.sum(f"{name}_high").cast(_WIDE), F.sum(f"{name}_low").cast(_WIDE)

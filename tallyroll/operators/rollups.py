@@ -14,6 +14,10 @@ is no hot task, and the wide enriched fact is never built.
 
 The measures are the same as those of single lines (``line_measures``), and since they are
 additive both ways give the same metrics, also where a dimension repeats an id.
+
+Counting per id first pays if the rollup serves several metrics or if a metric is per id. A
+single metric per category or city (``by_id=False``) rather meets a dimension of measured small
+size line by line: its own aggregation then leaves one row per day, category and task.
 """
 
 from __future__ import annotations
@@ -24,14 +28,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions import calendar, money
-from tallyroll.operators.enrich import dedupe, product_dim, user_dim, with_week
-from tallyroll.operators.joins import lookup_join
+from tallyroll.operators.enrich import USER_FIELDS, dedupe, product_dim, user_dim, with_week
+from tallyroll.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
+
 
 def repeated_keys(dim: DataFrame, on: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows as ``copies``."""
     return dim.groupBy(*on).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+def _rated_products(products: DataFrame, weekly: bool, dedupe_dims: bool) -> DataFrame:
+    """Products with price in ticks, number of ratings and their sum, converted once per product."""
+    rows = product_dim(products, weekly=weekly)
+    week = list(calendar.WEEK_KEY) if weekly else []
+    if dedupe_dims:
+        rows = dedupe(rows, [*week, "product_ID"])
+    return rows.select(*week, "product_ID", "category", *_rated(F.col("price"), F.col("rate"), F.col("count")))
+
+
+def _rated(price: Column, rate: Column, votes: Column) -> list[Column]:
+    return [
+        money.to_ticks(price).alias("price_ticks"),
+        (money.to_ticks(rate) * votes).alias("points"),
+        votes.alias("votes"),
+    ]
+
+
+def _product_measures(units: Column, lines: Column) -> list[Column]:
+    """Revenue of ``units`` and rating weights of ``lines`` of one product, as pairs of bigints."""
+    return [
+        *money.wide_product(F.col("price_ticks"), units, "revenue"),
+        *money.wide_product(F.col("points"), lines, "rating_points"),
+        *money.wide_product(F.col("votes"), lines, "rating_votes"),
+    ]
+
+
+def _fits(dim: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **_) -> bool:
+    return measured_bytes(dim) <= broadcast_bytes
+
+
 def product_sales(
     lines: DataFrame,
     products: DataFrame,
@@ -39,45 +74,41 @@ def product_sales(
     by: Sequence[str] = (),
     weekly: bool = False,
     dedupe_dims: bool = False,
+    by_id: bool = True,
     **join_options,
 ) -> DataFrame:
     """Measures per ``by`` and product, with the category.
 
     ``users`` matters only if ids repeat in it: a line then counts once per matching user row.
-    Leave it out when the ids are known to be unique.
+    Leave it out when the ids are known to be unique. Without ``by_id`` a product may have any
+    number of rows.
     """
     week = list(calendar.WEEK_KEY) if weekly else []
-    copies = F.lit(1)
+    copies = F.lit(1).cast("bigint")
     if users is not None and not dedupe_dims:
         repeated = repeated_keys(user_dim(users, fields=(), weekly=weekly), [*week, "User_ID"])
         if not repeated.isEmpty():
             lines = with_week(lines) if weekly else lines
             lines = lookup_join(lines, repeated, [*week, "User_ID"], ["cart_id", "line_no"], **join_options)
-            copies = F.coalesce(F.col("copies"), F.lit(1))
-    counted = lines.groupBy(*by, "product_ID").agg(
-        F.sum(F.col("quantity") * copies).alias("units"),
-        F.coalesce(F.sum(F.when(F.col("product_ID").isNotNull(), copies)), F.lit(0)).alias("lines"),
+            copies = F.coalesce(F.col("copies"), copies)
+    rows = _rated_products(products, weekly, dedupe_dims)
+    weighed = lines.select(
+        *by,
+        "product_ID",
+        (F.col("quantity") * copies).alias("units"),
+        F.when(F.col("product_ID").isNotNull(), copies).otherwise(F.lit(0)).alias("lines"),
     )
-    rows = product_dim(products, weekly=weekly)
-    if dedupe_dims:
-        rows = dedupe(rows, [*week, "product_ID"])
+    if not by_id and _fits(rows, **join_options):
+        rows = F.broadcast(rows)
+    else:
+        weighed = weighed.groupBy(*by, "product_ID").agg(F.sum("units").alias("units"), F.sum("lines").alias("lines"))
     if weekly:
-        counted = with_week(counted)
-    return counted.join(rows, [*week, "product_ID"], "left").select(
+        weighed = with_week(weighed)
+    return weighed.join(rows, [*week, "product_ID"], "left").select(
         *by, "product_ID", "category", "units", "lines", *_product_measures(F.col("units"), F.col("lines"))
     )
 
 
-def _product_measures(units: Column, lines: Column) -> list[Column]:
-    """Revenue of ``units`` and rating weights of ``lines`` of one product, as pairs of bigints."""
-    votes = F.col("count")
-    return [
-        *money.wide_product(money.to_ticks(F.col("price")), units, "revenue"),
-        *money.wide_product(money.to_ticks(F.col("rate")) * votes, lines, "rating_points"),
-        *money.wide_product(votes, lines, "rating_votes"),
-    ]
-
-
 def buyer_sales(
     lines: DataFrame,
     products: DataFrame,
@@ -85,42 +116,54 @@ def buyer_sales(
     by: Sequence[str] = (),
     weekly: bool = False,
     dedupe_dims: bool = False,
+    by_id: bool = True,
     **join_options,
 ) -> DataFrame:
-    """Measures per ``by`` and buyer, with city, email and names."""
+    """Measures per ``by`` and buyer, with city, email and names.
+
+    Without ``by_id`` a buyer may have any number of rows and only the city comes along.
+    """
     week = list(calendar.WEEK_KEY) if weekly else []
-    price_rows = product_dim(products, fields=("price",), weekly=weekly)
-    user_rows = user_dim(users, weekly=weekly)
+    fields = USER_FIELDS if by_id else ("city",)
     if dedupe_dims:
-        # By all fields: the row kept must be the one product_sales keeps.
-        price_rows = dedupe(product_dim(products, weekly=weekly), [*week, "product_ID"]).select(*week, "product_ID", "price")
-        user_rows = dedupe(user_rows, [*week, "User_ID"])
-    prices = price_rows.select(*week, "product_ID", money.to_ticks(F.col("price")).alias("price_ticks"))
+        # By all fields, so that the row kept is the same everywhere.
+        prices = _rated_products(products, weekly, dedupe_dims).select(*week, "product_ID", "price_ticks")
+        user_rows = dedupe(user_dim(users, weekly=weekly), [*week, "User_ID"]).select(*week, "User_ID", *fields)
+    else:
+        price = money.to_ticks(F.col("price")).alias("price_ticks")
+        prices = product_dim(products, fields=("price",), weekly=weekly).select(*week, "product_ID", price)
+        user_rows = user_dim(users, fields, weekly)
     valued = lookup_join(
         with_week(lines) if weekly else lines, prices, [*week, "product_ID"], ["cart_id", "line_no"], **join_options
     )
-    per_buyer = valued.groupBy(*by, "User_ID").agg(
-        F.sum("quantity").alias("units"),
-        *money.sum_parts(F.col("price_ticks") * F.col("quantity"), "revenue"),
-        *money.sum_parts(F.col("price_ticks"), "price_total"),
-        F.count("price_ticks").alias("priced_lines"),
+    priced = F.col("price_ticks").isNotNull().cast("bigint")
+    valued = valued.select(
+        *by,
+        "User_ID",
+        F.col("quantity").alias("units"),
+        *money.wide_parts(F.col("price_ticks") * F.col("quantity"), "revenue"),
+        *money.wide_parts(F.col("price_ticks"), "price_total"),
+        priced.alias("priced_lines"),
     )
-    measures = [name for name in per_buyer.columns if name not in (*by, "User_ID")]
+    measures = [name for name in valued.columns if name not in (*by, "User_ID")]
+    if not by_id and _fits(user_rows, **join_options):
+        user_rows = F.broadcast(user_rows)
+    else:
+        valued = valued.groupBy(*by, "User_ID").agg(*[F.sum(name).alias(name) for name in measures])
     if weekly:
-        per_buyer = with_week(per_buyer)
-    return per_buyer.join(user_rows, [*week, "User_ID"], "left").select(
-        *by, "User_ID", "firstname", "lastname", "email", "city", *measures
-    )
+        valued = with_week(valued)
+    return valued.join(user_rows, [*week, "User_ID"], "left").select(*by, "User_ID", *fields, *measures)
 
 
 def line_measures(enriched: DataFrame) -> DataFrame:
     """The measures of each single line of the enriched fact."""
-    price, one, none = money.to_ticks(F.col("price")), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    return enriched.select(
-        "*",
+    one = F.lit(1).cast("bigint")
+    rated = enriched.select("*", *_rated(F.col("price"), F.col("rate"), F.col("count")))
+    return rated.select(
+        *enriched.columns,
         F.col("quantity").alias("units"),
-        F.when(F.col("product_ID").isNotNull(), one).otherwise(none).alias("lines"),
+        F.col("product_ID").isNotNull().cast("bigint").alias("lines"),
         *_product_measures(F.col("quantity"), one),
-        *money.wide_parts(price, "price_total"),
-        F.when(price.isNotNull(), one).otherwise(none).alias("priced_lines"),
+        *money.wide_parts(F.col("price_ticks"), "price_total"),
+        F.col("price_ticks").isNotNull().cast("bigint").alias("priced_lines"),
     )

@@ -47,19 +47,19 @@ def _snapshot(dim: DataFrame, *columns: str) -> DataFrame:
 
 
 def sales(
-    spark: SparkSession, sf_dir: str, source: str, dated: bool = False, owner: bool = True, where: str | None = None
+    metric: Metric, spark: SparkSession, sf_dir: str, dated: bool = False, owner: bool = True, where: str | None = None
 ) -> DataFrame:
-    """The rollup a metric reads. Ids are primary keys in these tables, hence no check for repeats."""
-    by = ("run_date",) if dated else ()
-    if source == "product":
+    """The rollup of one metric. Ids are primary keys in these tables, hence no check for repeats."""
+    options = {"by": ("run_date",) if dated else (), "by_id": metric.by_id}
+    if metric.source == "product":
         lines = star.sale_lines(spark, sf_dir, dated=dated, where=where)
-        return product_sales(lines, flatten_products(star.products(spark, sf_dir)), by=by)
+        return product_sales(lines, flatten_products(star.products(spark, sf_dir)), **options)
     lines = star.sale_lines(spark, sf_dir, owner=owner, dated=dated, where=where)
-    return buyer_sales(lines, *_dims(spark, sf_dir), by=by)
+    return buyer_sales(lines, *_dims(spark, sf_dir), **options)
 
 
 def metric_query(metric: Metric, spark: SparkSession, sf_dir: str, dated: bool = False, owner: bool = True) -> DataFrame:
-    rollup = sales(spark, sf_dir, metric.source, dated, owner)
+    rollup = sales(metric, spark, sf_dir, dated, owner)
     return metric.compute(rollup, by=("run_date",) if dated else (), ordered=not dated)
 
 
@@ -67,13 +67,13 @@ def weekly_metric_query(metric: Metric, spark: SparkSession, sf_dir: str) -> Dat
     """A metric per day where each day meets the snapshots of its own ISO week."""
     products = _weekly_products(spark, sf_dir)
     lines = star.sale_lines(spark, sf_dir, owner=metric.source == "buyer", dated=True)
-    by = ("run_date",)
+    options = {"by": ("run_date",), "weekly": True}
     if metric.source == "product":
-        rollup = product_sales(lines, products, by=by, weekly=True)
+        rollup = product_sales(lines, products, **options)
     else:
         prices = _snapshot(products, "Product_ID", "price")
-        rollup = buyer_sales(lines, prices, _weekly_users(spark, sf_dir), by=by, weekly=True)
-    return metric.compute(rollup, by=by, ordered=False)
+        rollup = buyer_sales(lines, prices, _weekly_users(spark, sf_dir), **options)
+    return metric.compute(rollup, by=("run_date",), ordered=False)
 
 
 def users_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +130,7 @@ def date_stamped_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _daily_rows(metric: Metric, spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
-    rollup = sales(spark, sf_dir, metric.source, dated=True, where=where)
+    rollup = sales(metric, spark, sf_dir, dated=True, where=where)
     return metric.compute(rollup, by=("run_date",), ordered=False)
 
 

@@ -52,6 +52,11 @@ class Metric:
     output: str
     top: bool = False
 
+    @property
+    def by_id(self) -> bool:
+        """Whether the rows are per product or buyer id, rather than per attribute."""
+        return any(key.lower().endswith("_id") for key in self.keys)
+
     def order(self) -> list[Column]:
         """Largest value first, NULL last; ties by key, so that the order is total."""
         return [F.col(self.output).desc_nulls_last(), *[F.col(key).asc_nulls_first() for key in self.keys]]
