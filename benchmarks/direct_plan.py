@@ -54,7 +54,7 @@ def main() -> None:
             with_week(lines)
             .join(product_dim(products, weekly=True), [*WEEK_KEY, "product_ID"], "left")
             .join(user_dim(users, weekly=True), [*WEEK_KEY, "User_ID"], "left")
-            .drop("cart_id", "line_no")
+            .drop("cart_id")
         )
         wide.persist(StorageLevel.MEMORY_AND_DISK)
         wide.write.format("noop").mode("overwrite").save()

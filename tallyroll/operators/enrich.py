@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.functions import calendar
+from tallyroll.operators.flatten import LINE_IDENTITY
 from tallyroll.operators.joins import lookup_join
 
 PRODUCT_FIELDS = ("category", "price", "count", "rate")
@@ -73,7 +74,6 @@ def enrich(
         user_rows = dedupe(user_rows, [*week, "User_ID"])
     if weekly:
         lines = with_week(lines)
-    spread = ["cart_id", "line_no"]
-    wide = lookup_join(lines, product_rows, [*week, "product_ID"], spread, **join_options)
-    wide = lookup_join(wide, user_rows, [*week, "User_ID"], spread, profile=lines, **join_options)
+    wide = lookup_join(lines, product_rows, [*week, "product_ID"], LINE_IDENTITY, **join_options)
+    wide = lookup_join(wide, user_rows, [*week, "User_ID"], LINE_IDENTITY, profile=lines, **join_options)
     return wide.select(*by, *PRODUCT_FIELDS, "User_ID", "product_ID", "quantity", *USER_FIELDS)

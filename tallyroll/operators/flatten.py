@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+LINE_IDENTITY = ("cart_id", "product_ID", "quantity")
+
+
 def flatten_users(users: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Flat users; ``keep`` names partition columns to carry along."""
     return users.select(
@@ -60,15 +63,15 @@ def cart_lines(carts: DataFrame, buyer_col: str = "id") -> DataFrame:
 
 
 def sale_lines(carts: DataFrame, buyer_col: str = "id", by: Sequence[str] = ()) -> DataFrame:
-    """Cart lines with what the rollups need, plus cart id and line number.
+    """Cart lines with what the rollups need, plus the cart id.
 
-    The pair (cart_id, line_no) tells the lines of one hot product or buyer apart.
+    A plain explode lets the scan read only the fields in use. Cart, product and quantity
+    together tell the lines of one hot product, buyer or cart apart (``LINE_IDENTITY``).
     """
-    return carts.select("*", F.posexplode("products").alias("line_no", "product")).select(
+    return carts.withColumn("product", F.explode("products")).select(
         *by,
         F.col(buyer_col).alias("User_ID"),
         F.col("product.productId").alias("product_ID"),
         F.col("product.quantity").alias("quantity"),
         F.col("id").alias("cart_id"),
-        "line_no",
     )

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.functions import calendar, money
 from tallyroll.operators.enrich import USER_FIELDS, dedupe, product_dim, user_dim, with_week
+from tallyroll.operators.flatten import LINE_IDENTITY
 from tallyroll.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
 
 
@@ -89,7 +90,7 @@ def product_sales(
         repeated = repeated_keys(user_dim(users, fields=(), weekly=weekly), [*week, "User_ID"])
         if not repeated.isEmpty():
             lines = with_week(lines) if weekly else lines
-            lines = lookup_join(lines, repeated, [*week, "User_ID"], ["cart_id", "line_no"], **join_options)
+            lines = lookup_join(lines, repeated, [*week, "User_ID"], LINE_IDENTITY, **join_options)
             copies = F.coalesce(F.col("copies"), copies)
     rows = _rated_products(products, weekly, dedupe_dims)
     weighed = lines.select(
@@ -134,7 +135,7 @@ def buyer_sales(
         prices = product_dim(products, fields=("price",), weekly=weekly).select(*week, "product_ID", price)
         user_rows = user_dim(users, fields, weekly)
     valued = lookup_join(
-        with_week(lines) if weekly else lines, prices, [*week, "product_ID"], ["cart_id", "line_no"], **join_options
+        with_week(lines) if weekly else lines, prices, [*week, "product_ID"], LINE_IDENTITY, **join_options
     )
     priced = F.col("price_ticks").isNotNull().cast("bigint")
     valued = valued.select(

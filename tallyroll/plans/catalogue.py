@@ -168,7 +168,7 @@ def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "landed")
     landing.land_carts_history(star.carts(spark, sf_dir), base)
     landed = zones.read_table(spark, zones.zone(base, "raw", "carts"))
-    return explode_sale_lines(landed, "userId", by=("run_date",)).drop("line_no")
+    return explode_sale_lines(landed, "userId", by=("run_date",))
 
 
 def weekly_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -118,7 +118,6 @@ def sale_lines(
         F.col("l_partkey").alias("product_ID"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
         F.col("l_orderkey").alias("cart_id"),
-        F.col("l_linenumber").alias("line_no"),
     )
 
 

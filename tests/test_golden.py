@@ -102,7 +102,7 @@ def test_no_rows(spark, flat):
 
 def test_null_product_and_quantity(spark, flat):
     extra = spark.createDataFrame(
-        [(1, None, 2, 9, 0), (1, 1, None, 9, 1), (None, 2, 1, 9, 2)], flat[0].schema
+        [(1, None, 2, 9), (1, 1, None, 9), (None, 2, 1, 9)], flat[0].schema
     )
     lines = flat[0].unionByName(extra)
     wide = line_measures(enrich(lines, *flat[1:]))

@@ -31,7 +31,6 @@ def skewed(spark):
             product.cast("bigint").alias("product_ID"),
             (n % 9 + 1).alias("quantity"),
             n.alias("cart_id"),
-            F.lit(0).alias("line_no"),
         )
     )
 
