@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyroll.llm.bpe import bpe_digests
 from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.tables import documents
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_license_scan": op9_license_scan}
+    return {"op7_bpe": op7_bpe, "op9_license_scan": op9_license_scan}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -1,0 +1,66 @@
+"""Encoding against the public library, on odd texts and on whole tables."""
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tallyroll.llm.bpe import bpe_digests, model, vocabulary_path
+
+PATH = vocabulary_path()
+LIBRARY = Tokenizer.from_file(PATH)
+NOTHING = hashlib.sha256(b"").hexdigest()
+
+
+def library(text):
+    LIBRARY.no_truncation()
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    return ids, LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+ODD = ["", " ", "a", "aaaaaaaaaaaaaaaaaaaaaaa", "it's we'll I'M", "ΑΣ ΣΑΣ", "İstanbul", "é é", "x\u001cy\u0085z w v​q", "<|endoftext|>a<|startoftext|> <|endoftext|", "a<|ENDOFTEXT|>b",
+       "12345 ٣٤", "日本語テスト", "😀😀 👩‍👩‍👧", "a\x00b", "...!!! ??", "ǅ ŉ ẞ ß ﬁ", "a_b-c", "﻿abc", "a" * 5000, "ab" * 4000, "'s's'S 'll", "ｆｕｌｌ　ｗｉｄｔｈ"]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_texts(text):
+    ids, decoded = library(text)
+    bpe = model(PATH)
+    assert bpe.encode(text) == ids
+    assert bpe.decode(ids) == decoded
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("abcdeéèñ 'st|<>.,12\n\t"), st.characters(exclude_categories=["Cs", "Cn", "Co"], max_codepoint=0x2FFF)), max_size=40))
+def test_any_text(text):
+    ids, decoded = library(text)
+    assert model(PATH).encode(text) == ids
+    assert model(PATH).decode(ids) == decoded
+
+
+def expected(texts):
+    out = []
+    for text in texts:
+        ids, decoded = library(text)
+        out.append((len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+    return out
+
+
+def test_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = {r.doc_id: tuple(r)[1:] for r in bpe_digests(docs).collect()}
+    texts = docs.collect()
+    assert [rows[r.doc_id] for r in texts] == expected([r.text for r in texts])
+
+
+def test_nulls_repeats_and_clashing_columns(spark):
+    data = [(1, None, "x"), (None, "", "y"), (2, "Some words", "z"), (2, "Some words", "z"), (3, "w" * 300_000, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, n_tokens string")
+    rows = sorted(bpe_digests(docs).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0))
+    assert [r.doc_id for r in rows] == [1, 2, 2, 3, None]
+    assert rows[0][1:] == rows[4][1:] == (0, NOTHING, NOTHING)
+    assert rows[1] == rows[2]
+    assert tuple(rows[3][1:]) == expected(["w" * 300_000])[0]
+    assert bpe_digests(docs.limit(0)).collect() == []
