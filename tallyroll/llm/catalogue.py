@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.bpe import bpe_digests
 from tallyroll.llm.license_scan import license_scan
+from tallyroll.llm.quality import quality_rules
 from tallyroll.llm.tables import documents
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
@@ -20,7 +25,8 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_bpe": op7_bpe, "op9_license_scan": op9_license_scan}
+    every = (op5_quality_rules, op7_bpe, op9_license_scan)
+    return {query.__name__: query for query in every}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NO_ID = -(2**63)
@@ -22,5 +25,14 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
     )
 
 
-def documents(spark, sf_dir: str) -> DataFrame:
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, if it isn't installed."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (*paths, root) if p)
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
