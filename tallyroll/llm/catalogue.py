@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.bpe import bpe_digests
 from tallyroll.llm.license_scan import license_scan
+from tallyroll.llm.minhash import near_duplicates
 from tallyroll.llm.quality import quality_rules
 from tallyroll.llm.tables import documents
 
@@ -24,8 +25,12 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
 
+def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op5_quality_rules, op7_bpe, op9_license_scan)
+    every = (op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 
