@@ -10,9 +10,14 @@ from tallyroll.llm.bpe import bpe_digests
 from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.minhash import near_duplicates
 from tallyroll.llm.quality import quality_rules
+from tallyroll.llm.substring import substring_dedup
 from tallyroll.llm.tables import documents
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -30,7 +35,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
+    every = (op3_substring_dedup, op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 

@@ -157,9 +157,7 @@ def rolling(values: np.ndarray, n: int, base: int = 0xC2B2AE3D27D4EB4F) -> np.nd
 
 def covered(starts: np.ndarray, length, n: int) -> np.ndarray:
     """Mask of n places: those within ``length`` of a start."""
-    step = np.zeros(n + 1, np.int64)
-    np.add.at(step, starts, 1)
-    np.add.at(step, np.minimum(starts + length, n), -1)
+    step = np.bincount(starts, minlength=n + 1) - np.bincount(np.minimum(starts + length, n), minlength=n + 1)
     return np.cumsum(step[:n]) > 0
 
 

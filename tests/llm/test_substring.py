@@ -1,0 +1,69 @@
+"""Cut passages against a plain version, with many cells and few."""
+
+import hashlib
+import re
+
+import numpy as np
+import pytest
+
+from tallyroll.llm import cells
+from tallyroll.llm.substring import cut_passages, substring_dedup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain(rows, window=13):
+    order = lambda i: -(2**63) if i is None else i
+    split = [(order(i), WORD.findall(t or "")) for i, t in rows]
+    owner = {}
+    for i, words in split:
+        for k in range(len(words) - window + 1):
+            key = tuple(words[k : k + window])
+            owner[key] = min(owner.get(key, i), i)
+    out = []
+    for i, words in split:
+        gone = {j for k in range(len(words) - window + 1) if owner[tuple(words[k : k + window])] < i for j in range(k, k + window)}
+        kept = " ".join(w for j, w in enumerate(words) if j not in gone)
+        out.append((i, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
+
+
+def check(docs):
+    order = lambda i: -(2**63) if i is None else i
+    got = sorted((order(r.doc_id), r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(docs).collect())
+    assert got == plain([(r.doc_id, r.text) for r in docs.collect()])
+    return got
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_whole_table(spark, folder):
+    assert any(r[2] for r in check(spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")))
+
+
+def test_few_words(spark):
+    """A small alphabet: windows repeat within and between documents, with all kinds of overlap."""
+    rng = np.random.default_rng(3)
+    data = [(int(rng.integers(0, 30)), " ".join(rng.choice(["a", "b"], int(rng.integers(0, 60)), p=[0.9, 0.1]))) for _ in range(60)]
+    check(spark.createDataFrame(data, "doc_id long, text string"))
+
+
+def test_odd_rows(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    data = [(1, None), (2, ""), (None, passage), (3, f"é {passage}\tz"), (3, f"é {passage}\tz"), (4, passage), (5, "x " * 300_000 + passage), (6, passage.replace("p3", "q")), (7, "x " * 13)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as cell", "'q' as kept_text", "length(text) + 0L as n_chars")
+    check(docs.select("doc_id", "text", "cell"))
+    cut = {r.doc_id: r for r in cut_passages(docs).collect()}
+    assert cut_passages(docs).columns == docs.columns
+    assert cut[3].text == "é z" and cut[3].n_chars == 3 and cut[4].text == "" and cut[1].text is None and cut[None].text == passage
+    assert cut[6].text == "p0 p1 p2 q" and cut[7].text == ""
+    assert substring_dedup(docs.limit(0)).collect() == []
+
+
+def test_packing():
+    a, b = np.arange(5, dtype=np.uint64), np.array([True, False])
+    x, y = cells.unpack(cells.pack(a, b), np.uint64, np.bool_)
+    assert (x == a).all() and (y == b).all()
+    hashes = np.sort(np.random.default_rng(0).integers(0, 2**64, 1000, dtype=np.uint64))
+    edges = cells.bucket_edges(hashes, 7)
+    assert edges[0] == 0 and edges[-1] == 1000 and (np.diff(edges) > 90).all()
+    assert list(cells.bucket_edges(hashes[:0], 3)) == [0, 0, 0, 0]
