@@ -11,9 +11,14 @@ from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.minhash import near_duplicates
 from tallyroll.llm.quality import quality_rules
 from tallyroll.llm.substring import substring_dedup
+from tallyroll.llm.suffix import suffix_dedup
 from tallyroll.llm.tables import documents
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(documents(spark, sf_dir))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir))
 
@@ -35,7 +40,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op3_substring_dedup, op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
+    every = (op1_suffix_dedup, op3_substring_dedup, op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 
