@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.bpe import bpe_digests
+from tallyroll.llm.language_model import score
 from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.minhash import near_duplicates
 from tallyroll.llm.quality import quality_rules
@@ -19,6 +20,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(documents(spark, sf_dir))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir))
 
@@ -40,7 +45,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_suffix_dedup, op3_substring_dedup, op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
+    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 

@@ -1,0 +1,71 @@
+"""Scores against a plain version, for several orders."""
+
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tallyroll.llm.language_model import score
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def plain(rows, order, a=0.4):
+    texts = dict.fromkeys((i, t or "") for i, t in rows)
+    words = {key: WORD.findall(key[1].translate(LOWER)) for key in texts}
+    own = {key: Counter(tuple(w[i : i + k]) for k in range(1, order + 1) for i in range(len(w) - k + 1)) for key, w in words.items()}
+    every = sum(own.values(), Counter())
+    total = sum(len(w) for w in words.values())
+    out = {}
+    for key, w in words.items():
+        rest, logs = total - len(w), 0.0
+        c = lambda g: every[g] - own[key][g]  # noqa: B023, E731
+        for i in range(len(w)):
+            factor = 0.0
+            for k in range(min(order, i + 1), 0, -1):
+                gram = tuple(w[i - k + 1 : i + 1])
+                if c(gram) > 0:
+                    logs += factor + math.log(c(gram)) - math.log(c(gram[:-1]) if k > 1 else rest)
+                    break
+                factor += math.log(a)
+            else:
+                logs += factor - math.log(rest + 1)
+        out[key] = (len(w), logs)
+    return out
+
+
+def check(docs, order):
+    expected = plain([(r.doc_id, r.text) for r in docs.collect()], order)
+    rows = score(docs, order=order).collect()
+    assert len(rows) == docs.count()
+    # Ids with several texts are told apart by their numbers.
+    left = sorted((str(r.doc_id), r.n_words, round(r.log_score, 6)) for r in rows)
+    right = sorted((str(i), *(n, round(s, 6))) for (i, t) in [(r.doc_id, r.text or "") for r in docs.collect()] for n, s in [expected[i, t]])
+    assert [x[:2] for x in left] == [x[:2] for x in right]
+    assert np.allclose([x[2] for x in left], [x[2] for x in right], atol=1e-5)
+    for r in rows:
+        assert r.mean_log_score is None if r.n_words == 0 else math.isclose(r.mean_log_score, r.log_score / r.n_words)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_whole_table(spark, sf_dir, order):
+    check(spark.read.parquet(f"{sf_dir}/documents.parquet"), order)
+
+
+@pytest.mark.parametrize("order", [2, 4])
+def test_few_words(spark, order):
+    rng = np.random.default_rng(3)
+    data = [(i, " ".join(rng.choice(list("abcD"), int(rng.integers(0, 12))))) for i in range(40)]
+    check(spark.createDataFrame(data, "doc_id long, text string"), order)
+
+
+def test_odd_rows(spark):
+    data = [(1, None), (2, ""), (None, "a b a"), (3, "A b é"), (3, "A b é"), (3, "x"), (4, "a " * 200_000)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as cell", "2 as n_words")
+    check(docs, 2)
+    assert score(docs.limit(0)).collect() == []
+    alone = score(spark.createDataFrame([(1, "a b")], "doc_id long, text string")).first()
+    assert math.isclose(alone.log_score, 2 * math.log(0.4) + math.log(0.4))
