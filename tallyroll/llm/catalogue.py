@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.bpe import bpe_digests
+from tallyroll.llm.decontaminate import contamination
 from tallyroll.llm.language_model import score
 from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.minhash import near_duplicates
@@ -36,6 +37,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
@@ -45,7 +50,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op5_quality_rules, op7_bpe, op9_license_scan, op10_minhash_dedup)
+    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op5_quality_rules, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 

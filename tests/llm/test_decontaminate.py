@@ -1,0 +1,99 @@
+"""Matches against full edit distance tables, on small sets and on planted edits."""
+
+import re
+
+import numpy as np
+
+from tallyroll.llm.decontaminate import Items, align, contamination, edit_budget, keep_unseen, searched
+
+
+def normal(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def distance(pattern, text):
+    """Fewest edits of the pattern against any stretch of the text."""
+    letters = np.array([ord(c) for c in text])
+    step = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for i, c in enumerate(pattern):
+        new = np.concatenate(([i + 1], row[:-1] + (letters != ord(c))))
+        new = np.minimum(new, row + 1)
+        row = np.minimum.accumulate(new - step) + step
+    return int(row.min())
+
+
+def plain(texts, items):
+    out = []
+    for t in texts:
+        found = {}
+        for i, item in items:
+            p = normal(item)
+            if len(p) >= 32:
+                d = distance(p, normal(t))
+                if d <= edit_budget(len(p)):
+                    found[i] = d
+        out.append(found)
+    return out
+
+
+def check(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = {r.doc_id: {m.item_id: m.edits for m in r._matches} for r in searched(docs, benchmark).collect()}
+    expected = plain(texts, items)
+    assert [rows[i] for i in range(len(texts))] == expected
+    return expected
+
+
+def test_planted_edits(spark):
+    rng = np.random.default_rng(11)
+    items = [(i, "".join(rng.choice(list("abcdefgh é"), int(rng.integers(20, 200))))) for i in range(15)]
+    texts = []
+    for _ in range(120):
+        own = list(items[rng.integers(0, 15)][1])
+        for _ in range(int(rng.integers(0, 24))):
+            at, kind = int(rng.integers(0, max(1, len(own)))), rng.integers(0, 3)
+            own[at : at + (kind != 1)] = [] if kind == 0 else ["X"]
+        texts.append("".join(rng.choice(list("abcdefgh É"), int(rng.integers(0, 300)))) + "".join(own) + "".join(rng.choice(list("abcdefgh\n"), int(rng.integers(0, 300)))))
+    expected = check(spark, texts, items)
+    assert 20 < sum(map(bool, expected)) < 120
+
+
+def test_whole_table(spark, sf_dir):
+    docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    rows = {r.doc_id: r for r in contamination(docs, benchmark).collect()}
+    items = [(r.item_id, normal(r.text)) for r in benchmark.collect()]
+    texts = docs.collect()
+    assert len(rows) == len(texts)
+    exact = {d.doc_id: {i for i, p in items if p in normal(d.text)} for d in texts}
+    assert any(exact.values())
+    for i, found in exact.items():
+        assert found <= {int(x) for x in rows[i]["items"].split(",") if x}
+        assert rows[i].contaminated == bool(rows[i].n_items)
+    short = [d for d in texts if len(d.text) < 700][:60]
+    for d, found in zip(short, plain([d.text for d in short], [(r.item_id, r.text) for r in benchmark.collect()]), strict=True):
+        assert {int(x) for x in rows[d.doc_id]["items"].split(",") if x} == set(found)
+
+
+def test_odd_rows(spark):
+    item = "The quick brown fox jumps over the lazy dog and runs far away."
+    docs = spark.createDataFrame(
+        [(1, None), (2, ""), (None, item.upper()), (3, "x" + item.replace(" ", "\n\n")), (3, "x" + item.replace(" ", "\n\n")), (4, "clean"), (5, "z " * 900_000 + item), (6, "\x00 é" * 50)], "doc_id long, text string"
+    ).selectExpr("*", "1 as c0", "'q' as _matches2")
+    benchmark = spark.createDataFrame([(7, item), (8, item), (None, item + item), (9, None), (10, "short")], "item_id long, text string")
+    rows = contamination(docs, benchmark).collect()
+    assert sorted((str(r.doc_id), r["items"], r.fewest_edits) for r in rows) == sorted([("1", "", None), ("2", "", None), ("None", "7,8", 0), ("3", "7,8", 0), ("3", "7,8", 0), ("4", "", None), ("5", "7,8", 0), ("6", "", None)])
+    kept = keep_unseen(docs, benchmark)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, 4, 6}
+    assert contamination(docs.limit(0), benchmark).collect() == []
+    assert keep_unseen(docs, benchmark.limit(0)).count() == docs.count()
+    small = searched(docs, benchmark, block_chars=70)
+    assert {(r.doc_id, len(r._matches)) for r in small.collect()} == {(1, 0), (2, 0), (None, 2), (3, 2), (4, 0), (5, 2), (6, 0)}
+
+
+def test_alignment_stays_in_its_band():
+    a, b = (np.array([ord(c) for c in s], np.uint32) for s in ("kitten", "xxsittingxx"))
+    assert align(a, b, 0, 4, 3) == (2, 8)
+    assert align(a, b, 0, 0, 3) is None
+    assert Items([], []).regions(b, np.array([0, len(b)])) == set()
