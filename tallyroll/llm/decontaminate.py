@@ -35,9 +35,10 @@ Q = 8
 EDIT_PERCENT = 10
 MIN_CHARS = 32
 BLOCK_CHARS = 4 << 20
-BIT_TABLE = 22
+BIT_TABLE, COUNT_TABLE = 22, 20
 MATCH = "array<struct<item_id: long, edits: int, start: int, stop: int>>"
 _SEED = 0x9FB21C651E98DF25
+NOTHING = 0xFFFFFFFF  # no code point
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -115,13 +116,17 @@ class Items:
         bands = (len(points) + longest) // width + 2
         for shift in (0, self.half):
             key = item * bands + (diagonal + shift) // width
-            # A first count over all rows leaves few; then each row counts for itself.
-            enough = np.bincount(key, minlength=len(self.length) * bands)[key] >= self.needed[item]
+            # A first count over all rows, in a table of fixed size, leaves few; then each row counts for itself.
+            cell = (key.astype(np.uint64) * K.BASE >> np.uint64(64 - COUNT_TABLE)).astype(np.int64)
+            enough = np.bincount(cell, minlength=1 << COUNT_TABLE)[cell] >= self.needed[item]
             some = np.flatnonzero(enough)
             row = np.searchsorted(edges, at[some], side="right") - 1
             whole = at[some] + Q <= edges[row + 1]
             some, row = some[whole], row[whole]
-            pairs, count = np.unique(np.stack((row, key[some])), axis=1, return_counts=True)
+            # Each q-gram of the item counts once in a band, however often the text has it there.
+            spots = np.unique((row * (len(self.length) * bands) + key[some]) * (longest + 1) + place[some]) // (longest + 1)
+            pairs, count = np.unique(spots, return_counts=True)
+            pairs = np.stack(np.divmod(pairs, len(self.length) * bands))
             for r, k, n in zip(*pairs.tolist(), count.tolist(), strict=True):
                 if n >= self.needed[k // bands]:
                     out.add((r, k // bands, (k % bands) * width - shift - longest))
@@ -132,26 +137,22 @@ def align(pattern: np.ndarray, text: np.ndarray, low: int, high: int, budget: in
     """Fewest edits of ``pattern`` against a stretch of ``text`` whose path stays on the diagonals from low to high
     (place in the text less place in the pattern); with the end of the stretch. None if over the budget.
     """
-    # Row i of the table has the cells (i, i + low) to (i, i + high); a start anywhere is free.
-    n, width = len(text), high - low + 1
+    # Row i of the table has the cells (i, i + low) to (i, i + high); a start anywhere is free. Beyond its
+    # ends the text goes on with a letter that matches nothing, which costs what leaving out a letter costs.
+    n, width, m = len(text), high - low + 1, len(pattern)
+    left, right = max(0, -low), max(0, m + high - n)
+    padded = np.concatenate((np.full(left, NOTHING, np.uint32), text, np.full(right, NOTHING, np.uint32)))
     step = np.arange(width)
-    far = len(pattern) + n + 1
-    column = step + low
-    row = np.where((column >= 0) & (column <= n), 0, far)
-    for i in range(1, len(pattern) + 1):
-        column = step + low + i
-        inside = (column >= 0) & (column <= n)
-        letter = text[np.clip(column - 1, 0, n - 1)] if n else np.zeros(width, text.dtype)
-        new = row + (letter != pattern[i - 1])
-        new[column < 1] = far
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new[~inside] = far
+    row = np.zeros(width, np.int64)
+    for i in range(m):
+        at = i + low + left
+        new = row + (padded[at : at + width] != pattern[i])
+        np.minimum(new[:-1], row[1:] + 1, out=new[:-1])
         row = np.minimum.accumulate(new - step) + step
-        row[~inside] = far
-        if row.min() > budget:
+        if i % 8 == 0 and row.min() > budget:
             return None
     best = int(row.argmin())
-    return (int(row[best]), best + low + len(pattern)) if row[best] <= budget else None
+    return (int(row[best]), min(max(best + low + m, 0), n)) if row[best] <= budget else None
 
 
 def find(items: Items, column: pa.Array) -> list[list[dict]]:
@@ -162,6 +163,8 @@ def find(items: Items, column: pa.Array) -> list[list[dict]]:
         points, edges = normal(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for r, item, diagonal in sorted(items.regions(points, edges)):
+            if best.get((r, item), (1, 0))[0] == 0:
+                continue
             pattern, budget = items.points[item], int(items.budget[item])
             start = max(int(edges[r]), diagonal - budget)
             stop = min(int(edges[r + 1]), diagonal + 2 * items.half + len(pattern) + budget)
