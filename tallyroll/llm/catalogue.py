@@ -15,6 +15,7 @@ from tallyroll.llm.quality import quality_rules
 from tallyroll.llm.substring import substring_dedup
 from tallyroll.llm.suffix import suffix_dedup
 from tallyroll.llm.tables import documents
+from tallyroll.llm.wordpiece import token_counts
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -50,7 +55,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op5_quality_rules, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
+    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op4_token_counts, op5_quality_rules, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 
