@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyroll.llm.bpe import bpe_digests
+from tallyroll.llm.chat import chat_format
 from tallyroll.llm.decontaminate import contamination
 from tallyroll.llm.language_model import score
 from tallyroll.llm.license_scan import license_scan
@@ -14,7 +15,7 @@ from tallyroll.llm.minhash import near_duplicates
 from tallyroll.llm.quality import quality_rules
 from tallyroll.llm.substring import substring_dedup
 from tallyroll.llm.suffix import suffix_dedup
-from tallyroll.llm.tables import documents
+from tallyroll.llm.tables import documents, reachable
 from tallyroll.llm.wordpiece import token_counts
 
 
@@ -38,6 +39,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reachable(spark)
+    return chat_format(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(documents(spark, sf_dir))
 
@@ -55,7 +61,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op4_token_counts, op5_quality_rules, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
+    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op4_token_counts, op5_quality_rules, op6_chat_formatting, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 
