@@ -30,14 +30,14 @@ _ANSWER = pa.schema([("cell", pa.int32()), ("bucket", pa.int32()), ("step", pa.i
 
 
 def dealt(docs: DataFrame, cell_bytes: int = CELL_BYTES) -> tuple[DataFrame, int]:
-    """``cell, doc_id, id, h, text`` of what ``keyed`` gives, and the number of cells (and of buckets).
+    """What ``keyed`` gives (``id, h, text`` and more) with its ``cell``, and the number of cells (and of buckets).
 
     The number follows the size of the texts, which one aggregate finds.
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     n = max(1, least, math.ceil(total / cell_bytes))
-    return docs.select(F.pmod(F.xxhash64("id", "h"), F.lit(n)).cast("int").alias("cell"), "doc_id", "id", "h", "text"), n
+    return docs.select(F.pmod(F.xxhash64("id", "h"), F.lit(n)).cast("int").alias("cell"), *docs.columns), n
 
 
 def pack(*arrays: np.ndarray) -> bytes:

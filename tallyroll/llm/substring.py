@@ -24,13 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyroll.llm import cells as C
 from tallyroll.llm import kernels as K
 from tallyroll.llm.tables import keyed
 
 WINDOW, ANCHOR = 13, 6
-RESULT = "doc_id long, id long, h long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+RESULT = "n_words long, n_removed long, kept_text string, kept_sha256 string"
 
 
 class _Cell:
@@ -93,11 +94,13 @@ def _smaller_owner(table: pa.Table) -> pa.Table:
 
 
 def removed_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True) -> DataFrame:
-    """Of what ``keyed`` gives: ``doc_id, id, h, n_words, n_removed, kept_text, kept_sha256``, a row for each row.
+    """What ``keyed`` gives, with ``n_words, n_removed, kept_text, kept_sha256`` in place of its text.
 
-    ``kept_text`` is null where nothing is removed, or if texts aren't wanted.
+    ``kept_text`` is the text itself where nothing is removed, and null if texts aren't wanted.
     """
     dealt, n = C.dealt(docs)
+    passed = [f for f in docs.schema.fields if f.name != "text"]
+    result = T.StructType([*passed, *T.StructType.fromDDL(RESULT).fields])
 
     def anchor_blocks(table: pa.Table) -> pa.Table:
         keys, times = np.unique(_Cell(table, window).anchors()[0], return_counts=True)
@@ -125,15 +128,15 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True)
             mask = gone[low:high]
             removed.append(int(mask.sum()))
             kept = b" ".join(compress(words, ~mask) if removed[-1] else words)
-            text.append(kept.decode() if texts and removed[-1] else None)
+            text.append((kept if removed[-1] else cell.data[cell.offsets[r] : cell.offsets[r + 1]].tobytes()).decode() if texts else None)
             digest.append(hashlib.sha256(kept).hexdigest())
-        columns = [table.column(c) for c in ("doc_id", "id", "h")]
+        columns = [table.column(f.name) for f in passed]
         columns += [pa.array(np.diff(cell.bounds)), pa.array(removed, pa.int64()), pa.array(text, pa.string()), pa.array(digest, pa.string())]
-        return pa.table(columns, names=["doc_id", "id", "h", "n_words", "n_removed", "kept_text", "kept_sha256"])
+        return pa.table(columns, names=result.names)
 
     first = C.reply(C.ask(dealt, anchor_blocks), lambda table: C.seen_twice(table, 1))
     second = C.reply(C.ask_again(dealt, first, window_blocks), _smaller_owner)
-    return C.ask_again(dealt, first.unionByName(second), cut, RESULT)
+    return C.ask_again(dealt, first.unionByName(second), cut, result)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -144,10 +147,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def cut_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without the passages: a text that loses words has the others joined by one space; ``n_chars`` follows."""
     names = docs.columns
-    text = F.col(f"`{text_col}`").cast("string")
-    found = removed_passages(keyed(docs, id_col, text_col), window).filter("n_removed > 0").select("id", "h", "kept_text").dropDuplicates(["id", "h"])
-    own = keyed(docs, id_col, text_col, F.struct(*(F.col(f"`{n}`") for n in names)).alias("row")).drop("doc_id", "text")
-    out = own.join(found, ["id", "h"], "left")
-    new = F.coalesce("kept_text", F.col("row").getField(text_col))
-    changed = {text_col: new, "n_chars": F.when(F.col("kept_text").isNotNull(), F.length("kept_text").cast("long")).otherwise(F.col("row").getField("n_chars")) if "n_chars" in names else None}
-    return out.select(*((changed.get(n) if changed.get(n) is not None else F.col("row").getField(n)).alias(n) for n in names))
+    others = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names) if name != text_col]
+    read = keyed(docs, id_col, text_col, F.col(f"`{text_col}`").isNull().alias("missing"), *others)
+    found = removed_passages(read, window)
+    new = {text_col: F.when(~F.col("missing"), F.col("kept_text"))}
+    if "n_chars" in names:
+        place = f"c{names.index('n_chars')}"
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col(place)).cast(docs.schema["n_chars"].dataType)
+    return found.select(*(new.get(name, F.col(f"c{i}")).alias(name) for i, name in enumerate(names)))
