@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyroll.llm.bpe import bpe_digests
 from tallyroll.llm.chat import chat_format
@@ -13,6 +14,7 @@ from tallyroll.llm.language_model import score
 from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.minhash import near_duplicates
 from tallyroll.llm.quality import quality_rules
+from tallyroll.llm.reference_sql import reference_sql
 from tallyroll.llm.substring import substring_dedup
 from tallyroll.llm.suffix import suffix_dedup
 from tallyroll.llm.tables import documents, reachable
@@ -24,7 +26,9 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(documents(spark, sf_dir))
+    """Sums of logarithms depend on their order in the last digits, hence rounded."""
+    found = score(documents(spark, sf_dir))
+    return found.withColumns({"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)})
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,4 +70,4 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return reference_sql()
