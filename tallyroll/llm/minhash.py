@@ -7,8 +7,10 @@ keys; documents with a key in common are candidates, and a link counts only if t
 meet the threshold. Links are made in steps that never emit all pairs of a group:
 
 1. Documents with equal sets are one class, whose smallest id stands for it.
-2. In every band each class meets the smallest class of its key; each class is verified
-   against the one it shares most bands with. Verified links give components.
+2. Shingles that no other candidate has bound a class's similarity to any other; classes and
+   keys where the bound is too low have no link. Every key's head is the class with the
+   smallest share of such shingles, for a family's original has few. Each class is verified
+   against the head it shares most keys with. Verified links give components.
 3. Classes that share a band's key but not a component are met in full, if a one-bit sketch of
    their signatures doesn't rule the pair out, and verified. Then the components are final.
 
@@ -27,9 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyroll.llm import cells as C
 from tallyroll.llm import kernels as K
 from tallyroll.llm.components import components
 from tallyroll.llm.tables import NO_ID, keyed
@@ -38,9 +41,6 @@ from tallyroll.session import settle
 SHINGLE = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
-# The sketch has 512 bits of the mixed coordinates. Two sets at the threshold differ in 64 of them on
-# average, with a deviation of about 10.5; the limit is eight deviations away.
-SKETCH_WORDS, SKETCH_LIMIT = 8, 150
 FLAT = 1 << 15
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -107,12 +107,11 @@ def signatures(values: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-SKETCH = tuple(f"s{i}" for i in range(SKETCH_WORDS))
-SIGNED = f"doc_id long, id long, h long, n_shingles long, node long, bands array<long>, {', '.join(f'{c} long' for c in SKETCH)}"
+SIGNED = "doc_id long, id long, h long, n_shingles long, node long, bands array<long>"
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """One row for each of ``docs`` (doc_id, id, h, text): size and hash of the set, band keys, sketch."""
+    """One row for each of ``docs`` (doc_id, id, h, text): size and hash of the set, band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,26 +128,15 @@ def signed(docs: DataFrame) -> DataFrame:
                 set_hash = np.zeros(high - low, np.uint64)
                 if filled.any():
                     set_hash[filled] = K.mix(np.add.reduceat(K.mix(values), bounds[:-1][filled]) + size[filled].astype(np.uint64))
-                bits = sketch(coordinates)
                 own = batch.slice(low, high - low)
                 yield pa.RecordBatch.from_arrays(
-                    [*(own.column(c) for c in ("doc_id", "id", "h")), pa.array(size.astype(np.int64)), pa.array(set_hash.view(np.int64)), lists, *(pa.array(bits[:, i]) for i in range(SKETCH_WORDS))],
-                    ["doc_id", "id", "h", "n_shingles", "node", "bands", *SKETCH],
+                    [*(own.column(c) for c in ("doc_id", "id", "h")), pa.array(size.astype(np.int64)), pa.array(set_hash.view(np.int64)), lists],
+                    ["doc_id", "id", "h", "n_shingles", "node", "bands"],
                 )
 
     return docs.select("doc_id", "id", "h", "text").mapInArrow(sign, SIGNED)
 
 
-def sketch(coordinates: np.ndarray) -> np.ndarray:
-    """Bits of each signature, a few from each mixed coordinate, as signed words."""
-    n = coordinates.shape[1]
-    out = np.zeros((len(coordinates), SKETCH_WORDS), np.uint64)
-    for i in range(64 * SKETCH_WORDS):
-        turn = K.mix(coordinates[:, i % n].astype(np.uint64) + np.uint64(0x51_7CC1_B727 * (i // n + 1)))
-        out[:, i // 64] |= (turn & np.uint64(1)) << np.uint64(i % 64)
-    return out.view(np.int64)
-
-
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets meet the threshold. ``texts`` has a text for each node."""
 
@@ -168,6 +156,61 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(meet, "a long, b long")
 
 
+def across(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, part, n, least, text) in different parts that may meet the threshold.
+
+    Prefix filtering, which loses no pair: with all shingles in one order, rare ones first, two
+    sets that share enough must share one among the first few of each, with enough left behind
+    it. ``least`` bounds the size of a node's partners from below. The part with the most nodes
+    at a shingle is met by the others only, so a large component is never paired with itself.
+    """
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, values, bounds in shingle_sets(batch.column("text")):
+                row = pa.array(np.repeat(np.arange(low, high), np.diff(bounds)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("node", "part", "n", "least")), pa.array(values.view(np.int64))], ["node", "part", "n", "least", "shingle"])
+
+    rows = nodes.select("node", "part", "n", "least", "text").mapInArrow(exploded, "node long, part long, n long, least long, shingle long")
+    counts = rows.groupBy("shingle", "part").agg(F.count("*").alias("size"))
+    counts = counts.groupBy("shingle").agg(F.sum("size").alias("times"), F.max_by("part", F.struct("size", "part")).alias("major"), F.count("*").alias("parts"))
+    rows = rows.join(counts, "shingle").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("times", "shingle")))
+
+    def overlap(one: Column, two: Column) -> Column:
+        return F.ceil(percent * (one + two) / (100 + percent))
+
+    partner = F.greatest("least", F.ceil(percent * F.col("n") / 100))
+    rows = rows.filter((F.col("place") <= F.col("n") - overlap(F.col("n"), partner) + 1) & (F.col("parts") > 1))
+    rows = settle(rows.select("shingle", "node", "part", "n", "place", (F.col("part") == F.col("major")).alias("main")), "prefixes")
+    one, two = (rows.select("shingle", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "part", "n", "place", "main"))) for side in "ab")
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b")) + 1
+    enough = left >= overlap(F.col("n_a"), F.col("n_b"))
+    met = one.filter("NOT main_a").join(two, "shingle").filter((F.col("part_a") != F.col("part_b")) & enough & (F.col("main_b") | (F.col("node_a") < F.col("node_b"))))
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def alone(texts: DataFrame) -> DataFrame:
+    """``node, n, alone``: how many shingles of each of ``texts`` (node, n, id, h, text) no other of them has."""
+    dealt, size = C.dealt(texts)
+
+    def own(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sets = _sets(table.column("text"))
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        return (row, *np.unique(C.joined(sets, np.uint64), return_inverse=True))
+
+    def blocks(table: pa.Table) -> pa.Table:
+        _, distinct, back = own(table)
+        return C.blocks(table.column("cell")[0].as_py(), distinct, size, np.bincount(back, minlength=len(distinct)) > 1)
+
+    def counted(table: pa.Table, replies: pa.Table) -> pa.Table:
+        row, distinct, back = own(table)
+        single = ~C.bits(C.received(replies, 1), distinct, size)[back]
+        return pa.table([table.column("node"), table.column("n"), pa.array(np.bincount(row[single], minlength=table.num_rows))], names=["node", "n", "alone"])
+
+    replies = C.reply(C.ask(dealt, blocks), lambda table: C.seen_twice(table, 1))
+    return C.ask_again(dealt, replies, counted, "node long, n long, alone long")
+
+
 def _sets(column: pa.Array) -> list[np.ndarray]:
     return [values[bounds[r] : bounds[r + 1]] for _, _, values, bounds in shingle_sets(column) for r in range(len(bounds) - 1)]
 
@@ -176,27 +219,32 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, id, h, n_shingles, component``: for each row of ``docs`` (as from ``keyed``) the smallest id it reaches."""
     rows = settle(signed(docs), "signed")
     whole = rows.filter("n_shingles > 0")
-    classes = settle(whole.groupBy("node").agg(F.min(F.struct("id", "h")).alias("first"), *(F.first(c).alias(c) for c in ("bands", *SKETCH))), "classes")
-    members = classes.select("node", F.explode("bands").alias("key"))
-    heads = members.groupBy("key").agg(F.min("node").alias("head"), F.count("*").alias("n")).filter("n > 1").select("key", "head")
-    shared = settle(members.join(heads, "key"), "shared")
-
-    # Step 2: each class and the smallest class it shares most keys with.
-    stars = shared.filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("n"))
-    stars = stars.groupBy("node").agg(F.max_by("head", F.struct("n", -F.col("head"))).alias("head")).select(F.col("head").alias("a"), F.col("node").alias("b"))
-    wanted = shared.select("node").distinct().join(classes.select("node", "first"), "node").select("node", "first.*")
-    texts = settle(wanted.join(docs.select("id", "h", "text"), ["id", "h"]).select("node", "text"), "texts")
+    classes = settle(whole.groupBy("node").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    keys = classes.select("node", F.explode("bands").alias("key"))
+    shared = settle(keys.join(keys.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key"), "key"), "shared")
+    wanted = shared.select("node").distinct().join(classes.select("node", "n", "first"), "node").select("node", "n", "first.*")
+    texts = settle(wanted.join(docs.select("id", "h", "text"), ["id", "h"]).dropDuplicates(["id", "h"]).select("node", "n", "id", "h", "text"), "texts")
+
+    # What a class has alone bounds its similarity to every other: n - alone shingles can be shared at most.
+    bounds = settle(alone(texts).withColumn("most", F.col("n") - F.col("alone")), "bounds")
+    shared = shared.join(bounds.filter(100 * F.col("most") >= percent * F.col("n")), "node")
+    least = shared.groupBy("key").agg(F.min("n").alias("least"))
+    partner = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
+    shared = settle(shared.join(least, "key").filter((100 + percent) * F.col("most") >= percent * (F.col("n") + partner)).drop("alone"), "shared")
+
+    # Step 2: each class and the head it shares most keys with. The head of a key has the smallest share of its own.
+    heads = shared.groupBy("key").agg(F.min(F.struct((1 - F.col("most") / F.col("n")).alias("own"), "node")).getField("node").alias("head"))
+    stars = shared.join(heads, "key").filter("node <> head").groupBy("node", "head").agg(F.count("*").alias("times"))
+    stars = stars.groupBy("node").agg(F.max_by("head", F.struct("times", "head")).alias("head")).select(F.col("head").alias("a"), F.col("node").alias("b"))
     links = settle(verified(stars, texts, percent).distinct(), "links")
     label = components(links)
 
     # Step 3: what shares a key across components.
     label = label.withColumnRenamed("root", "part")
-    labelled = shared.join(label, "node", "left").select("key", "node", F.coalesce("part", "node").alias("part"))
+    labelled = shared.join(label, "node", "left").withColumn("part", F.coalesce("part", "node"))
     mixed = labelled.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("key")
-    still = labelled.join(mixed, "key").join(classes.select("node", *SKETCH), "node")
-    one, two = (still.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("node", "part", *SKETCH))) for side in "ab")
-    apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
-    pairs = one.join(two, "key").filter((F.col("part_a") < F.col("part_b")) & (apart <= SKETCH_LIMIT)).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    still = labelled.join(mixed, "key").groupBy("node").agg(F.first("part").alias("part"), F.min("least").alias("least"))
+    pairs = across(still.join(texts.select("node", "n", "text"), "node"), percent)
     more = settle(verified(pairs, texts, percent).distinct(), "links")
     if not more.isEmpty():
         label = components(links.unionByName(more)).withColumnRenamed("root", "part")

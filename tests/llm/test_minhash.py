@@ -77,6 +77,20 @@ def test_chains_and_near_copies(spark):
     check(spark.createDataFrame(data, "doc_id long, text string"))
 
 
+def test_family_of_an_original(spark):
+    """Copies of one text that are near it but not near each other, with and without the text itself."""
+    rng = np.random.default_rng(6)
+    data = []
+    for family in range(2):
+        base = [f"f{family}w{x}" for x in range(190)]
+        for i in range(250):
+            words = list(base)
+            for at in rng.integers(0, 190, rng.integers(0 if family == 0 else 2, 11)):
+                words[at] = f"v{rng.integers(0, 10**6)}"
+            data.append((int(rng.integers(0, 10**9)), " ".join(words)))
+    check(spark.createDataFrame(data, "doc_id long, text string"))
+
+
 def test_odd_rows(spark):
     data = [
         (5, None), (6, ""), (7, " \n"), (8, "One two"), (3, "one TWO"), (9, "a b c d e"), (None, "A B C D E"), (10, "a b c d e"), (10, "a b c d e"), (11, "a b c d e"),
