@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -16,7 +16,13 @@ from tallyroll.session import settle
 _SLICE_BITS = 33
 
 
-def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], name: str = "row_no") -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    by: Sequence[str],
+    order: Sequence[Column],
+    name: str = "row_no",
+    keep: Callable[[DataFrame, str], DataFrame] = settle,
+) -> DataFrame:
     """Number the rows of each ``by`` group in ``order``, which has to be total.
 
     A window over ``by`` would sort a whole group in one task. Here the rows are
@@ -24,8 +30,9 @@ def number_rows(df: DataFrame, by: Sequence[str], order: Sequence[Column], name:
     gets an id that grows in that order. Once these ids are written down, the number of a row
     is its offset in its partition plus the rows of the group in earlier partitions. The table
     of partitions has one row per partition and group in it: at most groups + partitions.
+    ``keep`` writes rows down and reads them back.
     """
-    placed = settle(
+    placed = keep(
         df.repartitionByRange(*[F.col(c) for c in by], *order)
         .sortWithinPartitions(*by, *order)
         .withColumn("_place", F.monotonically_increasing_id()),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Sums and products of bigints must fail rather than wrap.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
@@ -43,30 +45,64 @@ def build_session(app: str = "tallyroll", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="tallyroll-")
+# All scratch folders of this process lie below one folder of this name.
+_OWN = f"tallyroll-{uuid.uuid4().hex}"
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the folder the cluster names in ``spark.checkpoint.dir``.
+def scratch_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, which every node sees.
 
-    Only a local master may go without that setting: every node has to see the path.
+    Only a local master, as in tests, may go without that setting; it then uses its warehouse folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
-        root = _local_scratch()
-    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder."""
+    return f"{scratch_root(spark)}/{_OWN}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts the lineage: values that depend on the physical layout are fixed from here on,
-    and a lost executor costs a re-read instead of a recomputation.
+    and a lost executor costs a re-read instead of a recomputation. The files stay until
+    ``clear_scratch``, since only the caller knows when the result has been consumed; jobs that
+    consume it themselves use ``settled``.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settled(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A ``settle`` whose files go when the block ends."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        paths.append(scratch_path(spark, label))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all scratch folders of this process. Results that still read them can't be used any more."""
+    remove(spark, f"{scratch_root(spark)}/{_OWN}")
