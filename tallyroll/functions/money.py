@@ -2,25 +2,69 @@
 
 Prices and rates arrive as doubles. A sum of doubles depends on the order of the rows, so
 two runs over the same data may differ in the last digits and swap a top-1. Amounts are
-therefore counted in whole ticks and turned back into doubles in the result column only.
+therefore counted in whole ticks and turned back into doubles in the result column only. A tick is as
+fine as the prices and rates need (``places_needed``); a value that a tick cannot hold is an
+error that names it, never rounded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from decimal import Decimal
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TICK_PLACES = 4
-TICKS_PER_UNIT = 10**TICK_PLACES
+# Decimal places of a tick: at least, and at most (so that totals fit into 38 digits).
+TICK_PLACES, MAX_PLACES = 4, 9
+# A double may miss its decimal by so much of itself: what arithmetic before the input leaves behind.
+NOISE = 1e-15
+
+
+class Places(NamedTuple):
+    """Decimal places of the ticks of prices and of rates."""
+
+    price: int = TICK_PLACES
+    rate: int = TICK_PLACES
+
+
+class TooFine(ValueError):
+    """A price or rate has more decimal places than ticks can hold."""
+
 
 _WIDE = "decimal(38,0)"
 _LOW_BITS = 16
 _LOW_MASK = (1 << _LOW_BITS) - 1
 
 
-def to_ticks(value: Column) -> Column:
-    """Whole ticks (ten-thousandths) of a double."""
-    return F.round(value * F.lit(TICKS_PER_UNIT)).cast("bigint")
+def _whole(value: Column, places: int) -> Column:
+    return F.round(value * F.lit(10**places))
+
+
+def _exact(value: Column, places: int) -> Column:
+    return F.abs(_whole(value, places) / F.lit(10**places) - value) <= F.abs(value) * F.lit(NOISE)
+
+
+def to_ticks(value: Column, places: int = TICK_PLACES) -> Column:
+    """Whole ticks of a double; a value with more decimal places is an error."""
+    refused = F.raise_error(F.concat(value.cast("string"), F.lit(f" has more than {places} decimal places")))
+    return F.when(value.isNull() | _exact(value, places), _whole(value, places)).otherwise(refused.cast("double")).cast("bigint")
+
+
+def places_needed(products: DataFrame, price: str = "price", rate: str = "rate") -> Places:
+    """The places that all prices and rates of a dimension need, found in one pass over it."""
+
+    def needed(name: str) -> Column:
+        enough = F.lit(None).cast("int")
+        for places in range(MAX_PLACES, TICK_PLACES - 1, -1):
+            enough = F.when(_exact(F.col(name), places), F.lit(places)).otherwise(enough)
+        return F.coalesce(enough, F.when(F.col(name).isNull(), F.lit(TICK_PLACES)).otherwise(F.lit(MAX_PLACES + 1)))
+
+    found = products.agg(*(F.max(needed(n)).alias(n) for n in (price, rate)), *(F.max(F.when(needed(n) > MAX_PLACES, F.col(n))).alias(f"{n}_at") for n in (price, rate))).first()
+    for name in (price, rate):
+        if (found[name] or 0) > MAX_PLACES:
+            raise TooFine(f"{name} {found[f'{name}_at']!r} has more than {MAX_PLACES} decimal places")
+    return Places(found[price] or TICK_PLACES, found[rate] or TICK_PLACES)
 
 
 def wide_parts(total: Column, name: str) -> list[Column]:
@@ -51,18 +95,19 @@ def wide_total(name: str) -> Column:
     return (high * F.lit(1 << _LOW_BITS).cast("decimal(5,0)") + low).cast(_WIDE)
 
 
-def amount(ticks: Column) -> Column:
+def amount(ticks: Column, places: int = TICK_PLACES) -> Column:
     """Decimal amount behind a tick total."""
-    return (ticks.cast(_WIDE) / F.lit(TICKS_PER_UNIT).cast("decimal(5,0)")).cast(f"decimal(38,{TICK_PLACES})")
+    return ticks.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-places)).cast(f"decimal({places},{places})")
 
 
-def ratio_half_up(ticks: Column, count: Column, places: int) -> Column:
-    """``ticks / count`` as a double, rounded half up (away from zero) to ``places`` digits.
+def ratio_half_up(ticks: Column, count: Column, digits: int, places: int = TICK_PLACES) -> Column:
+    """``ticks / count`` as a double, rounded half up (away from zero) to ``digits`` decimals.
 
     Integer arithmetic throughout, so a value on the half is never lost to a double.
     NULL where the count is zero or NULL.
     """
-    step = F.nullif(count, F.lit(0)).cast(_WIDE) * F.lit(10 ** (TICK_PLACES - places)).cast("decimal(5,0)")
+    step = F.nullif(count, F.lit(0)).cast(_WIDE) * F.lit(10 ** (places - digits)).cast("decimal(9,0)")
+    step = step.cast(_WIDE)
     doubled = (F.abs(ticks).cast(_WIDE) * F.lit(2).cast("decimal(1,0)") + step).cast(_WIDE)
     whole = F.call_function("div", doubled, (step * F.lit(2).cast("decimal(1,0)")).cast(_WIDE))
-    return F.sign(ticks).cast("double") * whole.cast("double") / F.lit(float(10**places))
+    return F.sign(ticks).cast("double") * whole.cast("double") / F.lit(float(10**digits))

@@ -41,18 +41,6 @@ def with_week(df: DataFrame, day: str = "run_date") -> DataFrame:
     return df.withColumns({"iso_year": calendar.iso_year(F.col(day)), "iso_week": calendar.iso_week(F.col(day))})
 
 
-def require_weeks(facts: DataFrame, snapshots: DataFrame, what: str) -> None:
-    """Each day meets the snapshot of its own ISO week; a week without one is an error.
-
-    Both sides shrink to distinct weeks before anything is compared.
-    """
-    weeks = with_week(facts.select("run_date").distinct()).select(*calendar.WEEK_KEY).distinct()
-    absent = weeks.join(snapshots.select(*calendar.WEEK_KEY).distinct(), list(calendar.WEEK_KEY), "left_anti")
-    first = absent.orderBy(*calendar.WEEK_KEY).first()
-    if first is not None:
-        raise MissingSnapshot(f"no {what} snapshot for ISO week {first.iso_year}/{first.iso_week}")
-
-
 def enrich(
     lines: DataFrame,
     products: DataFrame,

@@ -38,19 +38,19 @@ def repeated_keys(dim: DataFrame, on: Sequence[str]) -> DataFrame:
     return dim.groupBy(*on).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def _rated_products(products: DataFrame, weekly: bool, dedupe_dims: bool) -> DataFrame:
+def _rated_products(products: DataFrame, weekly: bool, dedupe_dims: bool, places: money.Places) -> DataFrame:
     """Products with price in ticks, number of ratings and their sum, converted once per product."""
     rows = product_dim(products, weekly=weekly)
     week = list(calendar.WEEK_KEY) if weekly else []
     if dedupe_dims:
         rows = dedupe(rows, [*week, "product_ID"])
-    return rows.select(*week, "product_ID", "category", *_rated(F.col("price"), F.col("rate"), F.col("count")))
+    return rows.select(*week, "product_ID", "category", *_rated(F.col("price"), F.col("rate"), F.col("count"), places))
 
 
-def _rated(price: Column, rate: Column, votes: Column) -> list[Column]:
+def _rated(price: Column, rate: Column, votes: Column, places: money.Places) -> list[Column]:
     return [
-        money.to_ticks(price).alias("price_ticks"),
-        (money.to_ticks(rate) * votes).alias("points"),
+        money.to_ticks(price, places.price).alias("price_ticks"),
+        (money.to_ticks(rate, places.rate) * votes).alias("points"),
         votes.alias("votes"),
     ]
 
@@ -76,6 +76,7 @@ def product_sales(
     weekly: bool = False,
     dedupe_dims: bool = False,
     by_id: bool = True,
+    places: money.Places = money.Places(),
     **join_options,
 ) -> DataFrame:
     """Measures per ``by`` and product, with the category.
@@ -92,7 +93,7 @@ def product_sales(
             lines = with_week(lines) if weekly else lines
             lines = lookup_join(lines, repeated, [*week, "User_ID"], LINE_IDENTITY, **join_options)
             copies = F.coalesce(F.col("copies"), copies)
-    rows = _rated_products(products, weekly, dedupe_dims)
+    rows = _rated_products(products, weekly, dedupe_dims, places)
     weighed = lines.select(
         *by,
         "product_ID",
@@ -118,6 +119,7 @@ def buyer_sales(
     weekly: bool = False,
     dedupe_dims: bool = False,
     by_id: bool = True,
+    places: money.Places = money.Places(),
     **join_options,
 ) -> DataFrame:
     """Measures per ``by`` and buyer, with city, email and names.
@@ -128,10 +130,10 @@ def buyer_sales(
     fields = USER_FIELDS if by_id else ("city",)
     if dedupe_dims:
         # By all fields, so that the row kept is the same everywhere.
-        prices = _rated_products(products, weekly, dedupe_dims).select(*week, "product_ID", "price_ticks")
+        prices = _rated_products(products, weekly, dedupe_dims, places).select(*week, "product_ID", "price_ticks")
         user_rows = dedupe(user_dim(users, weekly=weekly), [*week, "User_ID"]).select(*week, "User_ID", *fields)
     else:
-        price = money.to_ticks(F.col("price")).alias("price_ticks")
+        price = money.to_ticks(F.col("price"), places.price).alias("price_ticks")
         prices = product_dim(products, fields=("price",), weekly=weekly).select(*week, "product_ID", price)
         user_rows = user_dim(users, fields, weekly)
     valued = lookup_join(
@@ -156,10 +158,10 @@ def buyer_sales(
     return valued.join(user_rows, [*week, "User_ID"], "left").select(*by, "User_ID", *fields, *measures)
 
 
-def line_measures(enriched: DataFrame) -> DataFrame:
+def line_measures(enriched: DataFrame, places: money.Places = money.Places()) -> DataFrame:
     """The measures of each single line of the enriched fact."""
     one = F.lit(1).cast("bigint")
-    rated = enriched.select("*", *_rated(F.col("price"), F.col("rate"), F.col("count")))
+    rated = enriched.select("*", *_rated(F.col("price"), F.col("rate"), F.col("count"), places))
     return rated.select(
         *enriched.columns,
         F.col("quantity").alias("units"),

@@ -7,18 +7,20 @@ that gives the same rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyroll.functions import calendar
+from tallyroll.functions import calendar, money
 from tallyroll.operators.enrich import PRODUCT_FIELDS, USER_FIELDS, enrich
 from tallyroll.operators.flatten import cart_lines, flatten_products, flatten_users
 from tallyroll.operators.flatten import sale_lines as explode_sale_lines
 from tallyroll.operators.rollups import buyer_sales, product_sales
-from tallyroll.plans import warehouse
+from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
+from tallyroll.plans.runs import run_history
 from tallyroll.session import scratch_path, settle
 from tallyroll.sources import landing, raw, zones
 from tallyroll.sources import starschema as star
@@ -47,14 +49,20 @@ def _snapshot(dim: DataFrame, *columns: str) -> DataFrame:
 
 
 def sales(
-    metric: Metric, spark: SparkSession, sf_dir: str, dated: bool = False, owner: bool = True, where: str | None = None
+    metric: Metric,
+    spark: SparkSession,
+    sf_dir: str,
+    dated: bool = False,
+    owner: bool = True,
+    where: str | None = None,
+    monthly: bool = False,
 ) -> DataFrame:
     """The rollup of one metric. Ids are primary keys in these tables, hence no check for repeats."""
     options = {"by": ("run_date",) if dated else (), "by_id": metric.by_id}
     if metric.source == "product":
-        lines = star.sale_lines(spark, sf_dir, dated=dated, where=where)
+        lines = star.sale_lines(spark, sf_dir, dated=dated, where=where, monthly=monthly)
         return product_sales(lines, flatten_products(star.products(spark, sf_dir)), **options)
-    lines = star.sale_lines(spark, sf_dir, owner=owner, dated=dated, where=where)
+    lines = star.sale_lines(spark, sf_dir, owner=owner, dated=dated, where=where, monthly=monthly)
     return buyer_sales(lines, *_dims(spark, sf_dir), **options)
 
 
@@ -129,8 +137,8 @@ def date_stamped_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped.select("id", "date", F.size("products").cast("bigint").alias("n_products"))
 
 
-def _daily_rows(metric: Metric, spark: SparkSession, sf_dir: str, where: str | None = None) -> DataFrame:
-    rollup = sales(metric, spark, sf_dir, dated=True, where=where)
+def _daily_rows(metric: Metric, spark: SparkSession, sf_dir: str, where: str | None = None, monthly: bool = False) -> DataFrame:
+    rollup = sales(metric, spark, sf_dir, dated=True, where=where, monthly=monthly)
     return metric.compute(rollup, by=("run_date",), ordered=False)
 
 
@@ -145,18 +153,42 @@ FIRST_LOAD = "l_returnflag <> 'R'"
 
 def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = METRICS["total_quantity_per_prod"]
-    stored = warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir, FIRST_LOAD))
+    stored = settle(warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir, FIRST_LOAD)), "stored")
     rerun = warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir))
-    return warehouse.after_load(rerun, stored)
+    return warehouse.after_load(rerun, stored, by_content=False)
 
 
 def warehouse_rerun_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = METRICS["total_quantity_per_prod"]
-    stored = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, FIRST_LOAD))
+    stored = settle(warehouse.content_rows(_daily_rows(metric, spark, sf_dir, FIRST_LOAD)), "stored")
     rerun = warehouse.content_rows(_daily_rows(metric, spark, sf_dir))
     return warehouse.after_load(rerun, stored)
 
 
+def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads into a table that doesn't exist at first, and the second one again."""
+    metric, path = METRICS["total_quantity_per_prod"], scratch_path(spark, "warehouse")
+    first, last = _order_days(spark, sf_dir).agg(F.min("run_date"), F.max("run_date")).first()
+    for where in (FIRST_LOAD, None, None):
+        rows = warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir, where))
+        warehouse.load(rows, path, first, last, by_content=False)
+    return warehouse.read_stored(rows, path)
+
+
+def history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all carts on the first of their month, with snapshots of those weeks; run; read a metric back."""
+    base, metric = scratch_path(spark, "shop"), METRICS["rev_prod_cat"]
+    month = F.trunc(F.to_date("date"), "month")
+    landing.land_carts_history(star.carts(spark, sf_dir).withColumn("date", calendar.day_label(month)), base)
+    # One row for each month of the table.
+    days = [r.day for r in _order_days(spark, sf_dir).select(F.trunc("run_date", "month").alias("day")).distinct().collect()]
+    weeks = F.array(*(F.struct(F.lit(y).alias("iso_year"), F.lit(w).alias("iso_week")) for y, w in sorted({d.isocalendar()[:2] for d in days})))
+    for kind, rows in (("products", star.products(spark, sf_dir)), ("users", star.users(spark, sf_dir))):
+        landing.land_weekly_history(rows.select("*", F.explode(weeks).alias("week")).select("*", "week.*").drop("week"), base, kind)
+    run_history(spark, base, min(days), max(days), buyer_col="userId")
+    return publish.read_published(spark, base, metric.name, min(days), max(days)).select("run_date", *metric.keys, metric.output)
+
+
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = METRICS["rev_prod_cat"]
     path = zones.zone(scratch_path(spark, "published"), "analytics", metric.name)
@@ -164,6 +196,41 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.read_table(spark, path).select("run_date", *metric.keys, metric.output)
 
 
+def published_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One year of the published days, read by its partitions."""
+    metric, base = METRICS["rev_prod_cat"], scratch_path(spark, "published")
+    path = zones.zone(base, "analytics", metric.name)
+    zones.replace_partitions(_daily_rows(metric, spark, sf_dir), path, by=["run_date"], order=metric.order())
+    year = publish.read_published(spark, base, metric.name, date(1995, 1, 1), date(1995, 12, 31))
+    return year.select("run_date", *metric.keys, metric.output)
+
+
+def table_of_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of published tables, each named by the path of its partitioned files."""
+    base, found = scratch_path(spark, "published"), []
+    for metric in (METRICS["revenue_by_category"], METRICS["total_day_revenue"]):
+        path = zones.zone(base, "analytics", metric.name)
+        zones.replace_partitions(_daily_rows(metric, spark, sf_dir, monthly=True), path, by=["run_date"], order=metric.order())
+        found.append(zones.read_table(spark, path).select("_metadata.file_path"))
+    return found[0].unionByName(found[1]).groupBy(zones.table_name(F.col("file_path")).alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by category with prices of six decimal places."""
+    fine = flatten_products(star.products(spark, sf_dir)).join(star.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("Product_ID"), "p_size"), "Product_ID")
+    fine = fine.withColumn("price", F.col("price") + F.col("p_size") / F.lit(1e6)).drop("p_size")
+    places, metric = money.places_needed(fine), METRICS["revenue_by_category"]
+    return metric.compute(product_sales(star.sale_lines(spark, sf_dir), fine, places=places), places=places)
+
+
+def json_arrays(kind: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as files of one indented JSON array each, read back and flattened."""
+    path = scratch_path(spark, "json")
+    raw.write_json_arrays({"users": star.users, "products": star.products, "carts": star.carts}[kind](spark, sf_dir), path)
+    flat = {"users": flatten_users, "products": flatten_products, "carts": cart_lines}[kind]
+    return flat(raw.read_raw(spark, kind, path))
+
+
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "landed")
     landing.land_carts_history(star.carts(spark, sf_dir), base)
@@ -187,11 +254,10 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "csv")
-    star.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_tax", "l_quantity", "l_shipdate").write.csv(
-        path, header=True
-    )
-    back = raw.read_csv(spark, path)
-    return back.select("l_returnflag", "l_tax", "l_quantity", F.to_date("l_shipdate").alias("l_shipday"))
+    lines = star.table(spark, sf_dir, "lineitem")
+    lines = lines.withColumns({f.name: F.to_date(f.name) for f in lines.schema.fields if f.dataType.typeName().startswith("timestamp")})
+    lines.write.csv(path, header=True)
+    return raw.read_csv(spark, path, lines.schema)
 
 
 def table_of_path(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,10 +267,6 @@ def table_of_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].unionByName(tables[1]).groupBy(name).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-# Metrics whose weekly form is registered: those that a missing or repriced product changes.
-WEEKLY = ("revenue_by_category", "avg_rat_per_cat", "num_of_prod_sold", "avg_ordval_per_user", "total_revenue_per_city")
-
-
 def catalogue() -> dict[str, Query]:
     found: dict[str, Query] = {
         "flatten_users": users_flat,
@@ -226,6 +288,12 @@ def catalogue() -> dict[str, Query]:
         "json_roundtrip": json_roundtrip,
         "csv_roundtrip": csv_roundtrip,
         "table_of_path": table_of_path,
+        "table_of_published": table_of_published,
+        "published_range": published_range,
+        "warehouse_load": warehouse_load,
+        "history_roundtrip": history_roundtrip,
+        "m01_fine_prices": fine_prices,
+        **{f"json_arrays_{kind}": partial(json_arrays, kind) for kind in ("users", "products", "carts")},
     }
     for number, metric in enumerate(METRICS.values(), start=1):
         label = f"m{number:02d}"
@@ -233,6 +301,5 @@ def catalogue() -> dict[str, Query]:
         found[f"{label}_by_day"] = partial(metric_query, metric, dated=True)
         if metric.source == "buyer":
             found[f"{label}_by_cart_id"] = partial(metric_query, metric, owner=False)
-        if metric.name in WEEKLY:
-            found[f"{label}_by_day_weekly"] = partial(weekly_metric_query, metric)
+        found[f"{label}_by_day_weekly"] = partial(weekly_metric_query, metric)
     return found

@@ -17,28 +17,28 @@ from tallyroll.functions import money
 BUYER_KEYS = ("User_ID", "firstname", "lastname", "email")
 
 
-def _revenue() -> Column:
-    return money.amount(money.wide_total("revenue")).cast("double")
+def _revenue(places: money.Places) -> Column:
+    return money.amount(money.wide_total("revenue"), places.price).cast("double")
 
 
-def _revenue_cents() -> Column:
-    return F.round(money.amount(money.wide_total("revenue")), 2).cast("double")
+def _revenue_cents(places: money.Places) -> Column:
+    return F.round(money.amount(money.wide_total("revenue"), places.price), 2).cast("double")
 
 
-def _units() -> Column:
+def _units(places: money.Places) -> Column:
     return F.sum("units")
 
 
-def _lines() -> Column:
+def _lines(places: money.Places) -> Column:
     return F.sum("lines")
 
 
-def _mean_price() -> Column:
-    return money.ratio_half_up(money.wide_total("price_total"), F.sum("priced_lines"), 2)
+def _mean_price(places: money.Places) -> Column:
+    return money.ratio_half_up(money.wide_total("price_total"), F.sum("priced_lines"), 2, places.price)
 
 
-def _mean_rating() -> Column:
-    return money.ratio_half_up(money.wide_total("rating_points"), money.wide_total("rating_votes"), 1)
+def _mean_rating(places: money.Places) -> Column:
+    return money.ratio_half_up(money.wide_total("rating_points"), money.wide_total("rating_votes"), 1, places.rate)
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,7 @@ class Metric:
     name: str
     source: str
     keys: tuple[str, ...]
-    measure: Callable[[], Column]
+    measure: Callable[[money.Places], Column]
     output: str
     top: bool = False
 
@@ -61,14 +61,14 @@ class Metric:
         """Largest value first, NULL last; ties by key, so that the order is total."""
         return [F.col(self.output).desc_nulls_last(), *[F.col(key).asc_nulls_first() for key in self.keys]]
 
-    def compute(self, sales: DataFrame, by: Sequence[str] = (), ordered: bool = True) -> DataFrame:
-        """The metric over measures, for all rows or per ``by``.
+    def compute(self, sales: DataFrame, by: Sequence[str] = (), ordered: bool = True, places: money.Places = money.Places()) -> DataFrame:
+        """The metric over measures, for all rows or per ``by``. ``places`` are those the measures were made with.
 
         ``ordered`` sorts the result; leave it off where the writer sorts anyway.
         """
         result = (
             sales.groupBy(*by, *self.keys)
-            .agg(self.measure().alias(self.output))
+            .agg(self.measure(places).alias(self.output))
             .select(*by, *[F.col(key).alias(key) for key in self.keys], self.output)
         )
         if self.top and not by:
@@ -82,6 +82,7 @@ class Metric:
         return result.orderBy(*by, *self.order())
 
 
+# Names, keys and result columns of the twelve metrics.
 METRICS: dict[str, Metric] = {
     metric.name: metric
     for metric in [

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from tallyroll.functions import money
 from tallyroll.plans.metrics import METRICS, Metric
 from tallyroll.sources import zones
 from tallyroll.sources.raw import MissingInput
@@ -46,27 +46,27 @@ def run_jobs(jobs: Iterable[Callable[[], object]], parallel: int = PARALLEL_JOBS
             done.result()
 
 
-def publish_day(metric: Metric, sales: DataFrame, base: str, run_date: date) -> None:
+def publish_day(metric: Metric, sales: DataFrame, base: str, run_date: date, places: money.Places = money.Places()) -> None:
     """Replace one day of a metric table."""
-    result = metric.compute(sales)
+    result = metric.compute(sales, places=places)
     zones.replace_partition(result, zones.zone(base, "analytics", metric.name), {"run_date": run_date.isoformat()})
 
 
-def publish_days(metric: Metric, sales: DataFrame, base: str, days: DataFrame) -> None:
-    """Replace the days of a metric table that ``sales`` covers, sorted within each day.
+def publish_days(metric: Metric, sales: DataFrame, base: str, days: Sequence[date], sold: Sequence[date], places: money.Places = money.Places()) -> None:
+    """Replace the given days of a metric table, sorted within each day.
 
-    A metric without keys has a row for each of ``days``, NULL where nothing was sold.
+    Days that are not among ``sold`` become empty, or NULL where the metric has no keys.
     """
-    result = metric.compute(sales, by=("run_date",), ordered=False)
+    spark, path = sales.sparkSession, zones.zone(base, "analytics", metric.name)
+    result = metric.compute(sales, by=("run_date",), ordered=False, places=places)
     if not metric.keys:
-        result = days.join(result, ["run_date"], "left")
-    zones.replace_partitions(
-        result, zones.zone(base, "analytics", metric.name), by=["run_date"], order=metric.order()
-    )
-
-
-def between_days(first: date, last: date) -> Column:
-    return F.col("run_date").between(F.lit(first), F.lit(last))
+        all_days = spark.createDataFrame([(d,) for d in days], "run_date date")
+        result = all_days.join(result, ["run_date"], "left")
+    zones.replace_partitions(result, path, by=["run_date"], order=metric.order())
+    if metric.keys:
+        nothing = spark.createDataFrame([], result.schema)
+        for day in sorted(set(days) - set(sold)):
+            zones.replace_partition(nothing, path, {"run_date": day.isoformat()})
 
 
 def check_day(spark: SparkSession, base: str, run_date: date) -> None:
@@ -78,18 +78,15 @@ def check_day(spark: SparkSession, base: str, run_date: date) -> None:
             raise MissingOutput(f"{name} has no files for {run_date}") from error
 
 
-def check_days(base: str, days: DataFrame, first: date, last: date) -> None:
-    """Every metric table has rows for each of ``days``, all from ``first`` to ``last``."""
-
-    def check(name: str) -> None:
-        absent = zones.absent_partitions(days, zones.zone(base, "analytics", name), between_days(first, last))
-        gap = absent.orderBy("run_date").first()
-        if gap is not None:
-            raise MissingOutput(f"{name} has no rows for {gap.run_date}")
-
-    run_jobs([lambda name=name: check(name) for name in METRICS])
+def check_days(spark: SparkSession, base: str, days: Sequence[date]) -> None:
+    """Every metric table has a partition for each of ``days``."""
+    for name in METRICS:
+        there = {values.get("run_date") for _, values in zones.partitions(spark, zones.zone(base, "analytics", name))}
+        for day in sorted(days):
+            if day.isoformat() not in there:
+                raise MissingOutput(f"{name} has no files for {day}")
 
 
 def read_published(spark: SparkSession, base: str, name: str, first: date, last: date) -> DataFrame:
-    """Published rows of a metric for a range of days; scans only those partitions."""
-    return zones.read_table(spark, zones.zone(base, "analytics", name), between_days(first, last))
+    """Published rows of a metric for a range of days; lists and scans only those partitions."""
+    return zones.read_table(spark, zones.zone(base, "analytics", name), only=zones.between("run_date", first, last))

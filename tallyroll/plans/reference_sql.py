@@ -9,9 +9,7 @@ from __future__ import annotations
 PRODUCTS = """
 products AS (
   SELECT p_partkey AS id, p_type AS category, p_retailprice AS price,
-         CAST(round(p_retailprice * 10000) AS BIGINT) AS price_ticks,
-         CAST(floor(p_retailprice) AS BIGINT) AS votes, p_size / 10.0 AS rate,
-         CAST(p_size * 1000 AS BIGINT) AS rate_ticks, p_name AS title, p_brand AS brand
+         CAST(floor(p_retailprice) AS BIGINT) AS votes, p_size / 10.0 AS rate, p_name AS title, p_brand AS brand
   FROM part
 )"""
 
@@ -25,8 +23,7 @@ users AS (
 WEEKLY_PRODUCTS = """
 weekly_products AS (
   SELECT s.iso_year, s.iso_week, p.* REPLACE (
-           round(p.price + s.iso_week / 100.0, 2) AS price,
-           CAST(round(round(p.price + s.iso_week / 100.0, 2) * 10000) AS BIGINT) AS price_ticks)
+           round(p.price + s.iso_week / 100.0, 2) AS price)
   FROM (SELECT DISTINCT isoyear(l_shipdate) AS iso_year, week(l_shipdate) AS iso_week, l_partkey FROM lineitem) s
   JOIN products p ON p.id = s.l_partkey
 )"""
@@ -50,7 +47,7 @@ lines AS (
 )"""
 
 
-_ATTRIBUTES = "p.category, p.price, p.price_ticks, p.votes, p.rate, p.rate_ticks, u.city, u.email, u.firstname, u.lastname"
+_ATTRIBUTES = "p.category, p.price, p.votes, p.rate, u.city, u.email, u.firstname, u.lastname"
 
 
 def _wide(buyer: str = "o_custkey", where: str = "TRUE") -> str:
@@ -72,17 +69,21 @@ wide AS (
 )"""
 
 
-REVENUE = "CAST(sum(CAST(price AS DECIMAL(18,4)) * quantity) AS DOUBLE)"
-REVENUE_CENTS = "CAST(round(sum(CAST(price AS DECIMAL(18,4)) * quantity), 2) AS DOUBLE)"
+# Prices and rates are taken from their doubles to six places, whatever unit the engine counts in.
+_PRICE, _RATE = "CAST(price AS DECIMAL(18,6))", "CAST(rate AS DECIMAL(18,6))"
+_PRICE_MICROS, _RATE_MICROS = (f"CAST({x} * 1000000 AS BIGINT)" for x in (_PRICE, _RATE))
+REVENUE = f"CAST(sum({_PRICE} * quantity) AS DOUBLE)"
+REVENUE_CENTS = f"CAST(round(sum({_PRICE} * quantity), 2) AS DOUBLE)"
 UNITS = "CAST(sum(quantity) AS BIGINT)"
 LINES = "count(product)"
-MEAN_PRICE = (
-    "CAST((2 * sum(price_ticks) + count(price_ticks) * 100) // nullif(2 * count(price_ticks) * 100, 0) AS DOUBLE) / 100"
+MEAN_PRICE = f"CAST((2 * sum({_PRICE_MICROS}) + count(price) * 10000) // nullif(2 * count(price) * 10000, 0) AS DOUBLE) / 100"
+MEAN_RATING = (
+    f"CAST((2 * sum({_RATE_MICROS} * votes) + sum(votes) * 100000) // nullif(2 * sum(votes) * 100000, 0) AS DOUBLE) / 10"
 )
-MEAN_RATING = "CAST((2 * sum(rate_ticks * votes) + sum(votes) * 1000) // nullif(2 * sum(votes) * 1000, 0) AS DOUBLE) / 10"
 
 _BUYER = (("User_ID", "buyer"), ("firstname", "firstname"), ("lastname", "lastname"), ("email", "email"))
 
+# Names and result columns of the metrics.
 # Metric: output keys with their source column, measure, output column, whether only the top row counts.
 _METRICS = [
     ("revenue_by_category", (("category", "category"),), REVENUE, "total_revenue_byCat", False),
@@ -192,9 +193,8 @@ def reference_sql() -> dict[str, str]:
   'week_' || isoyear(o_orderdate) || '_' || week(o_orderdate) AS week_folder FROM orders""",
         "monday_refresh": """SELECT DISTINCT CAST(o_orderdate AS DATE) AS run_date, isodow(o_orderdate) = 1 AS due,
   TRUE AS due_if_forced FROM orders""",
-        "date_stamped_carts": """SELECT o_orderkey AS id, '2025-04-14' AS date,
-  CAST(CASE WHEN l_orderkey IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_products
-FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey""",
+        "date_stamped_carts": """SELECT o_orderkey AS id, '2025-04-14' AS date, count(l_orderkey) AS n_products
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey""",
         "date_id_rows": f"""{_wide()} {_positions("rev_prod_cat", f'''(SELECT run_date, category, product AS product_ID,
   {REVENUE} AS revenue_prod_byCat FROM wide GROUP BY run_date, category, product) d''')}""",
         "warehouse_rerun": _rerun(lambda rows: _positions("total_quantity_per_prod", rows)),
@@ -205,18 +205,28 @@ FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
         "weekly_landing_roundtrip": f"""WITH {PRODUCTS}, {WEEKLY_PRODUCTS}
 SELECT CAST(iso_year AS BIGINT) AS iso_year, CAST(iso_week AS BIGINT) AS iso_week, {_FLAT_PRODUCT} FROM weekly_products""",
         "json_roundtrip": _FLAT_USERS,
-        "csv_roundtrip": "SELECT l_returnflag, l_tax, l_quantity, CAST(l_shipdate AS DATE) AS l_shipday FROM lineitem",
+        "json_arrays_users": _FLAT_USERS,
+        "json_arrays_products": f"WITH {PRODUCTS} SELECT {_FLAT_PRODUCT} FROM products",
+        "json_arrays_carts": _CART_LINES.format(buyer="o_orderkey"),
+        "csv_roundtrip": "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem",
         "table_of_path": """SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     }
-    weekly = {"revenue_by_category", "avg_rat_per_cat", "num_of_prod_sold", "avg_ordval_per_user", "total_revenue_per_city"}
+    fine = _wide().replace("p_retailprice AS price", "p_retailprice + p_size / 1000000.0 AS price")
+    found["m01_fine_prices"] = _metric(fine, *_METRICS[0][1:], dated=False)
+    monthly = _wide().replace("CAST(o_orderdate AS DATE) AS run_date", "CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date")
+    found["history_roundtrip"] = _metric(monthly, *_METRICS[8][1:], dated=True)
+    found["warehouse_load"] = found["warehouse_rerun"]
+    days = "SELECT DISTINCT date_trunc('month', o_orderdate) AS m, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"
+    found["table_of_published"] = f"""SELECT 'revenue_by_category' AS table_name, count(*) AS n_rows FROM ({days}) d
+UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""
     for number, (name, *spec) in enumerate(_METRICS, start=1):
         label = f"m{number:02d}"
         found[f"{label}_{name}"] = _metric(_wide(), *spec, dated=False)
         found[f"{label}_by_day"] = _metric(_wide(), *spec, dated=True)
         if any(source in ("buyer", "city") for _, source in spec[0]):
             found[f"{label}_by_cart_id"] = _metric(_wide("o_orderkey"), *spec, dated=False)
-        if name in weekly:
-            found[f"{label}_by_day_weekly"] = _metric(_wide_weekly(), *spec, dated=True)
+        found[f"{label}_by_day_weekly"] = _metric(_wide_weekly(), *spec, dated=True)
     found["publish_roundtrip"] = found["m09_by_day"]
+    found["published_range"] = f"SELECT * FROM ({found['m09_by_day']}) t WHERE run_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
     return found

@@ -5,15 +5,15 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tallyroll.functions import money
 from tallyroll.functions.calendar import WEEK_KEY
-from tallyroll.operators.enrich import require_weeks
+from tallyroll.operators.enrich import MissingSnapshot
 from tallyroll.operators.flatten import flatten_products, flatten_users, sale_lines
 from tallyroll.operators.rollups import buyer_sales, product_sales
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
-from tallyroll.session import settle
+from tallyroll.session import settled
 from tallyroll.sources import zones
 
 DAY = ("run_date",)
@@ -24,8 +24,9 @@ def load_warehouse(spark: SparkSession, base: str, first: date, last: date, by_c
 
     def load(metric: Metric) -> None:
         rows = publish.read_published(spark, base, metric.name, first, last)
-        keyed = warehouse.content_rows(rows) if by_content else warehouse.position_rows(metric, rows)
-        warehouse.load(keyed, zones.zone(base, "warehouse", metric.name), first, last)
+        with settled(spark) as keep:
+            keyed = warehouse.content_rows(rows) if by_content else warehouse.position_rows(metric, rows, keep)
+            warehouse.load(keyed, zones.zone(base, "warehouse", metric.name), first, last, by_content)
 
     publish.run_jobs([lambda metric=metric: load(metric) for metric in METRICS.values()])
 
@@ -49,24 +50,28 @@ def run_day(
     products = flatten_products(zones.read_table(spark, zones.zone(base, "raw", "products", snapshot)))
     users = flatten_users(zones.read_table(spark, zones.zone(base, "raw", "users", snapshot)))
 
-    lines = sale_lines(carts, buyer_col)
-    per_product = product_sales(lines, products, users, dedupe_dims=dedupe_dims)
-    per_buyer = buyer_sales(lines, products, users, dedupe_dims=dedupe_dims)
+    lines, places = sale_lines(carts, buyer_col), money.places_needed(products)
+    per_product = product_sales(lines, products, users, dedupe_dims=dedupe_dims, places=places)
+    per_buyer = buyer_sales(lines, products, users, dedupe_dims=dedupe_dims, places=places)
     with publish.materialised(per_product, per_buyer):
         sales = {"product": per_product, "buyer": per_buyer}
         publish.run_jobs(
-            [lambda m=m: publish.publish_day(m, sales[m.source], base, run_date) for m in METRICS.values()]
+            [lambda m=m: publish.publish_day(m, sales[m.source], base, run_date, places) for m in METRICS.values()]
         )
     publish.check_day(spark, base, run_date)
     load_warehouse(spark, base, run_date, run_date, by_content)
 
 
-def _week_range(spark: SparkSession, base: str, kind: str, first: date, last: date) -> DataFrame:
-    """Snapshots of the ISO weeks from ``first`` to ``last``; other partitions are not listed."""
-    (low_year, low_week, _), (high_year, high_week, _) = first.isocalendar(), last.isocalendar()
-    week = F.col("iso_year") * 100 + F.col("iso_week")
-    inside = week.between(low_year * 100 + low_week, high_year * 100 + high_week)
-    return zones.read_table(spark, zones.zone(base, "raw", kind), inside)
+def _weeks(spark: SparkSession, base: str, kind: str, first: date, last: date) -> tuple[DataFrame, set[tuple[int, int]]]:
+    """Snapshots of the ISO weeks from ``first`` to ``last``, and which weeks there are; other partitions are not listed."""
+    low, high = first.isocalendar()[:2], last.isocalendar()[:2]
+
+    def week(values: dict[str, str]) -> tuple[int, int]:
+        return int(values["iso_year"]), int(values["iso_week"])
+
+    path = zones.zone(base, "raw", kind)
+    found = {week(values) for _, values in zones.partitions(spark, path)}
+    return zones.read_table(spark, path, only=lambda values: low <= week(values) <= high), found
 
 
 def run_history(
@@ -80,24 +85,34 @@ def run_history(
 ) -> None:
     """Metrics of every landed day from ``first`` to ``last`` in one go.
 
-    Each day meets the snapshots of its own ISO week. The rollups are written to the shared
-    scratch folder, so the carts are read twice however many metrics there are, and a lost
-    executor costs no rework of the fact. A day without any sale keeps its old rows in the
-    tables that have keys.
+    Each day meets the snapshots of its own ISO week. The days come from the names of the
+    landed partitions. The rollups are written to the shared scratch folder, so the carts are
+    read once for each of them however many metrics there are (and once more for hot keys
+    where prices are too large to broadcast), and a lost executor costs no rework of the fact.
+    A landed day without any sale becomes empty in every table, as in ``run_day``.
     """
-    carts = zones.read_table(spark, zones.zone(base, "raw", "carts"), publish.between_days(first, last))
-    products = flatten_products(_week_range(spark, base, "products", first, last), keep=WEEK_KEY)
-    users = flatten_users(_week_range(spark, base, "users", first, last), keep=WEEK_KEY)
-    days = carts.select("run_date").distinct()
-    require_weeks(days, products, "products")
-    require_weeks(days, users, "users")
-
-    lines = sale_lines(carts, buyer_col, by=DAY)
-    options = {"by": DAY, "weekly": True, "dedupe_dims": dedupe_dims}
-    sales = {
-        "product": settle(product_sales(lines, products, users, **options), "product_sales"),
-        "buyer": settle(buyer_sales(lines, products, users, **options), "buyer_sales"),
-    }
-    publish.run_jobs([lambda m=m: publish.publish_days(m, sales[m.source], base, days) for m in METRICS.values()])
-    publish.check_days(base, sales["product"].select("run_date").distinct(), first, last)
+    path = zones.zone(base, "raw", "carts")
+    inside = zones.between("run_date", first, last)
+    days = [date.fromisoformat(v["run_date"]) for _, v in zones.partitions(spark, path) if inside(v)]
+    carts = zones.read_table(spark, path, only=inside)
+    snapshots = {}
+    for kind in ("products", "users"):
+        snapshots[kind], weeks = _weeks(spark, base, kind, first, last)
+        for day in days:
+            if day.isocalendar()[:2] not in weeks:
+                raise MissingSnapshot(f"no {kind} snapshot for ISO week {'/'.join(map(str, day.isocalendar()[:2]))}")
+    products = flatten_products(snapshots["products"], keep=WEEK_KEY)
+    users = flatten_users(snapshots["users"], keep=WEEK_KEY)
+
+    lines, places = sale_lines(carts, buyer_col, by=DAY), money.places_needed(products)
+    options = {"by": DAY, "weekly": True, "dedupe_dims": dedupe_dims, "places": places}
+    with settled(spark) as keep:
+        sales = {
+            "product": keep(product_sales(lines, products, users, **options), "product_sales"),
+            "buyer": keep(buyer_sales(lines, products, users, **options), "buyer_sales"),
+        }
+        # At most one row for each day of the range.
+        sold = [r.run_date for r in sales["product"].select("run_date").distinct().collect()]
+        publish.run_jobs([lambda m=m: publish.publish_days(m, sales[m.source], base, days, sold, places) for m in METRICS.values()])
+    publish.check_days(spark, base, days)
     load_warehouse(spark, base, first, last, by_content)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -11,14 +12,17 @@ from pyspark.sql import types as T
 from tallyroll.functions import calendar, keys
 from tallyroll.operators.numbering import number_rows
 from tallyroll.plans.metrics import Metric
+from tallyroll.session import settle
 from tallyroll.sources import zones
 
 KEY = ("static_date", "date_id")
+# A table of positions per day up to this many days is broadcast (about 50 bytes each).
+BROADCAST_DAYS = 100_000
 
 
-def position_rows(metric: Metric, rows: DataFrame) -> DataFrame:
+def position_rows(metric: Metric, rows: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = settle) -> DataFrame:
     """Rows keyed by day and position in the metric's order: ``date_id``, ``static_date``, fields."""
-    numbered = number_rows(rows, ["run_date"], metric.order())
+    numbered = number_rows(rows, ["run_date"], metric.order(), keep=keep)
     day = calendar.day_label(F.col("run_date"))
     return numbered.select(
         keys.position_key(day, F.col("row_no")).alias("date_id"),
@@ -41,25 +45,48 @@ def fresh_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:
     return rows.join(stored.select(*KEY), list(KEY), "left_anti").select(*rows.columns)
 
 
-def after_load(rows: DataFrame, stored: DataFrame) -> DataFrame:
+def fresh_positions(rows: DataFrame, stored: DataFrame) -> DataFrame:
+    """The same for rows keyed by position.
+
+    The stored positions of a day are 1 to n unless the table was changed by hand, so a row is
+    new if its position is beyond n: one small aggregate instead of a join of all keys. A gap is
+    looked for first, and the keys are joined if there is one.
+    """
+    position = F.element_at(F.split("date_id", "_"), -1).cast("bigint")
+    per_day = stored.groupBy("static_date").agg(F.count(F.lit(1)).alias("_n"), F.max(position).alias("_last"), F.count_distinct(position).alias("_different"))
+    per_day = per_day.persist()
+    try:
+        counts = per_day.agg(F.count(F.lit(1)).alias("days"), F.count_if(F.expr("_n <> _last OR _different <> _n")).alias("gaps")).first()
+    finally:
+        per_day.unpersist()
+    if counts.gaps:
+        return fresh_rows(rows, stored)
+    ends = per_day.select("static_date", "_n")
+    if counts.days <= BROADCAST_DAYS:
+        ends = F.broadcast(ends)
+    joined = rows.join(ends, "static_date", "left")
+    return joined.where(position > F.coalesce("_n", F.lit(0))).select(*rows.columns)
+
+
+def after_load(rows: DataFrame, stored: DataFrame, by_content: bool = True) -> DataFrame:
     """The table as a load leaves it, columns matched by name."""
-    return stored.unionByName(fresh_rows(rows, stored))
+    return stored.unionByName((fresh_rows if by_content else fresh_positions)(rows, stored))
 
 
 def read_stored(rows: DataFrame, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
-    """The stored table with the columns of ``rows``; no rows if it does not exist yet."""
-    where = None
-    if first is not None and last is not None:
-        where = F.col("static_date").between(F.lit(first.isoformat()), F.lit(last.isoformat()))
+    """The stored table with the columns of ``rows``, or its days from ``first`` to ``last``; no rows if it does not exist yet."""
+    only = None if first is None or last is None else zones.between("static_date", first, last)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    return zones.read_table(rows.sparkSession, path, where, schema, missing="empty").select(*rows.columns)
+    return zones.read_table(rows.sparkSession, path, schema, missing="empty", only=only).select(*rows.columns)
 
 
-def load(rows: DataFrame, path: str, first: date, last: date) -> None:
+def load(rows: DataFrame, path: str, first: date, last: date, by_content: bool = True) -> None:
     """Create the table if absent, then append the rows whose key it lacks.
 
-    Only the days ``first`` to ``last`` of the table are read. Loads of the same day must not
-    run side by side: Parquet files have no transactions.
+    Only the days ``first`` to ``last`` of the table are listed and read. ``by_content=False`` is
+    for rows keyed by position. Loads of the same day must not run side by side: Parquet files
+    have no transactions.
     """
     stored = read_stored(rows, path, first, last)
-    zones.append_partitions(fresh_rows(rows, stored), path, ["static_date"])
+    fresh = (fresh_rows if by_content else fresh_positions)(rows, stored)
+    zones.append_partitions(fresh, path, ["static_date"])

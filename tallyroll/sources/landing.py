@@ -32,9 +32,17 @@ def land_carts(carts: DataFrame, base: str, run_date: date) -> None:
     )
 
 
-def land_carts_history(carts: DataFrame, base: str) -> None:
-    """Replace the cart snapshots of all days in ``carts`` at once; the day is the cart's own date."""
-    dated = carts.withColumn("run_date", F.to_date("date"))
+def land_carts_history(carts: DataFrame, base: str, undated: date | None = None) -> None:
+    """Replace the cart snapshots of all days in ``carts`` at once; the day is the cart's own date.
+
+    Carts without a date go to the day ``undated``; if none is given, one such cart is an error.
+    """
+    day = F.to_date("date")
+    if undated is None:
+        other = F.raise_error(F.concat(F.lit("cart without a date: "), F.coalesce(F.col("id").cast("string"), F.lit("no id")))).cast("date")
+    else:
+        other = F.lit(undated)
+    dated = carts.withColumn("run_date", F.when(day.isNull(), other).otherwise(day))
     zones.replace_partitions(dated, zones.zone(base, "raw", "carts"), by=["run_date"])
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroll.sources.schemas import RAW
@@ -14,7 +15,8 @@ class MissingInput(FileNotFoundError):
 
 
 def is_missing_path(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
+    # A folder without a single file has no schema to infer.
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -45,6 +47,15 @@ def read_raw(
         raise MissingInput(f"no {kind} at {path}") from error
 
 
+def write_json_arrays(df: DataFrame, path: str, per_file: int = 1000) -> None:
+    """Files that hold one indented JSON array of about ``per_file`` documents each, as the raw data comes."""
+    n = max(1, -(-df.count() // per_file))
+    document = F.to_json(F.struct(*df.columns), {"pretty": "true"}).alias("document")
+    groups = df.select(F.pmod(F.xxhash64(document), F.lit(n)).alias("file"), document).repartition(n, "file").groupBy("file")
+    arrays = groups.agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("document"), ",\n"), F.lit("\n]")).alias("value"))
+    arrays.write.option("maxRecordsPerFile", 1).partitionBy("file").text(path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """CSV with a header line. Without a schema the types are inferred, which reads the files twice."""
     if schema is None:

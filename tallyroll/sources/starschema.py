@@ -2,7 +2,7 @@
 
     products  part                        rating derived from size and price
     users     customer with its nation
-    carts     orders with their lines     several documents per cart, see ``carts``
+    carts     orders with their lines
     run date  day of o_orderdate
 """
 
@@ -103,17 +103,18 @@ def _ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sale_lines(
-    spark: SparkSession, sf_dir: str, owner: bool = False, dated: bool = False, where: str | None = None
+    spark: SparkSession, sf_dir: str, owner: bool = False, dated: bool = False, where: str | None = None, monthly: bool = False
 ) -> DataFrame:
     """Lines in the form of ``operators.flatten.sale_lines``, straight from the flat tables.
 
-    The order is the cart. Only its owner and its date (``dated``) need the orders table.
+    The order is the cart. Only its owner and its date (``dated``, or the first of its month) need the orders table.
     """
+    day = F.trunc(_day("o_orderdate"), "month") if monthly else _day("o_orderdate")
     lines = _ordered_lines(spark, sf_dir) if owner or dated else table(spark, sf_dir, "lineitem")
     if where:
         lines = lines.where(where)
     return lines.select(
-        *([_day("o_orderdate").alias("run_date")] if dated else []),
+        *([day.alias("run_date")] if dated else []),
         F.col("o_custkey" if owner else "l_orderkey").alias("User_ID"),
         F.col("l_partkey").alias("product_ID"),
         F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -122,26 +123,14 @@ def sale_lines(
 
 
 def carts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested cart documents, also of orders without lines.
-
-    A cart comes as one document per line, all with its id, so that no cart has to be
-    gathered in one row however many lines it has. Every result here is per line, which makes
-    this the same as one document with all lines.
-    """
+    """Nested cart documents: one for each order with all its lines, also for orders without any."""
     product = F.struct(F.col("l_partkey").alias("productId"), F.col("l_quantity").cast("bigint").alias("quantity"))
-    keys = ["l_orderkey", "o_custkey", "o_orderdate"]
-    filled = _ordered_lines(spark, sf_dir).select(*keys, F.array(product).alias("products"))
-    ordered = table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
-    bare = (
-        table(spark, sf_dir, "orders")
-        .withColumnRenamed("o_orderkey", "l_orderkey")
-        .join(ordered, "l_orderkey", "left_anti")
-        .select(*keys, F.array().cast(filled.schema["products"].dataType).alias("products"))
-    )
-    return filled.unionByName(bare).select(
-        F.col("l_orderkey").alias("id"),
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(product)).alias("products"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        F.col("o_orderkey").alias("id"),
         F.lit(0).cast("bigint").alias("__v"),
         F.col("o_custkey").alias("userId"),
         calendar.day_label(_day("o_orderdate")).alias("date"),
-        "products",
+        F.coalesce("products", F.array().cast(lines.schema["products"].dataType)).alias("products"),
     )

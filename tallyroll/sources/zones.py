@@ -8,7 +8,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,29 +26,56 @@ def zone(base: str, *parts: str) -> str:
 def read_table(
     spark: SparkSession,
     path: str,
-    where: Column | None = None,
     schema: T.StructType | None = None,
     missing: str = "error",
+    only: Callable[[dict[str, str]], bool] | None = None,
 ) -> DataFrame:
-    """Read a table; a filter on its partition columns lists and scans only those partitions.
+    """Read a table, or ``only`` those of its partitions whose values are accepted; files of others are not listed.
 
-    With ``missing="empty"`` and a schema, an absent table reads as no rows.
+    With ``missing="empty"`` and a schema, an absent table reads as no rows, as does a table
+    without an accepted partition.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
+    paths = [path]
+    if only is not None:
+        paths = [leaf for leaf, values in partitions(spark, path) if only(values)]
+        reader = reader.option("basePath", path)
     try:
-        table = reader.parquet(path)
+        if paths:
+            return reader.parquet(*paths)
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
-        if missing == "empty" and schema is not None:
-            return empty(spark, schema)
-        raise MissingInput(f"no table at {path}") from error
-    return table if where is None else table.where(where)
+    if missing == "empty" and schema is not None:
+        return empty(spark, schema)
+    raise MissingInput(f"no table at {path}" if only is None else f"no such partition at {path}")
+
+
+def partitions(spark: SparkSession, path: str) -> list[tuple[str, dict[str, str]]]:
+    """Partition folders of a table with their values, from the folders' names alone."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def below(folder, values: dict[str, str]) -> list[tuple[str, dict[str, str]]]:
+        if not files.exists(folder):
+            return []
+        names = [s.getPath() for s in files.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not names:
+            return [(folder.toString(), values)] if values else []
+        return [leaf for name in names for leaf in below(name, values | dict([name.getName().split("=", 1)]))]
+
+    return sorted(below(target, {}), key=lambda leaf: leaf[0])
+
+
+def between(key: str, first: date, last: date) -> Callable[[dict[str, str]], bool]:
+    """Accepts partitions whose day lies in the range."""
+    return lambda values: first.isoformat() <= values.get(key, "") <= last.isoformat()
 
 
 def table_name(path: Column) -> Column:
-    """Table name in a file path: the last segment without ``.parquet``."""
-    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.parquet$", "")
+    """Table name in a file path: the last segment above part files and ``key=value`` folders, without ``.parquet``."""
+    table = F.regexp_replace(path, r"(/[^/=]+=[^/]*)*/part-[^/]*$", "")
+    return F.regexp_replace(F.element_at(F.split(table, "/"), -1), r"\.parquet$", "")
 
 
 def replace_partition(df: DataFrame, path: str, partition: Mapping[str, object]) -> None:
@@ -85,15 +113,3 @@ def replace_partitions(
 
 def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)
-
-
-def absent_partitions(expected: DataFrame, path: str, where: Column | None = None) -> DataFrame:
-    """Rows of ``expected`` (partition values) that the table has no rows for.
-
-    ``where`` bounds the partitions that are looked at.
-    """
-    try:
-        present = read_table(expected.sparkSession, path, where)
-    except MissingInput:
-        return expected
-    return expected.join(present.select(*expected.columns).distinct(), expected.columns, "left_anti")

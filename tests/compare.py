@@ -9,7 +9,7 @@ import duckdb
 TABLES = "region nation customer supplier part orders lineitem".split()
 
 # Spark type of each column type the queries may return.
-TYPES = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

@@ -3,7 +3,6 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 import golden
 from tallyroll.operators.enrich import MissingSnapshot, enrich
@@ -190,10 +189,13 @@ def test_checks_name_the_gap(spark, documents, tmp_path):
     publish.check_day(spark, base, DAY)
     with pytest.raises(publish.MissingOutput, match="2025-04-15"):
         publish.check_day(spark, base, NEXT)
-    days = spark.createDataFrame([(DAY,), (NEXT,)], "run_date date")
-    publish.check_days(base, days.where(F.col("run_date") == F.lit(DAY)), DAY, NEXT)
+    publish.check_days(spark, base, [DAY])
     with pytest.raises(publish.MissingOutput, match="2025-04-15"):
-        publish.check_days(base, days, DAY, NEXT)
+        publish.check_days(spark, base, [DAY, NEXT])
+    # A folder without a file is no output either.
+    (tmp_path / "analytics" / "ord_bycity" / f"run_date={NEXT}").mkdir()
+    with pytest.raises(publish.MissingOutput):
+        publish.check_day(spark, base, NEXT)
 
 
 def test_day_without_carts(spark, documents, tmp_path):
@@ -217,6 +219,29 @@ def test_history_with_a_day_without_sales(spark, documents, tmp_path):
     assert published(spark, base, "total_day_revenue", DAY) == golden.EXPECTED["total_day_revenue"]
 
 
+def test_history_run_empties_a_day_that_lost_its_sales(spark, documents, tmp_path):
+    """Landed again without any product, on both routes, and no scratch file is left."""
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    for base, run in ((one, lambda: run_day(spark, one, DAY)), (many, lambda: run_history(spark, many, DAY, DAY))):
+        land(documents, base, [DAY])
+        run()
+        landing.land_carts(documents["carts"].where("id = 5"), base, DAY)
+        run()
+        for name, metric in METRICS.items():
+            assert published(spark, base, name, DAY) == ([(None,)] if not metric.keys else [])
+    for name in METRICS:
+        assert stored(spark, one, name).count() == stored(spark, many, name).count()
+
+
+def test_positional_rerun_with_a_gap_joins_keys(spark, tmp_path):
+    metric = METRICS["num_of_prod_sold"]
+    rows_of = lambda *v: warehouse.position_rows(metric, spark.createDataFrame([(DAY, p, n) for p, n in v], "run_date date, product_ID long, Num_prod_sold long"))
+    full = rows_of((1, 9), (2, 8), (3, 7))
+    stored_rows = full.where(f"date_id <> '{DAY}_2'")
+    got = warehouse.after_load(rows_of((1, 9), (2, 5), (3, 7)), stored_rows, by_content=False)
+    assert sorted(rows(got.select("date_id", "product_ID"))) == [(f"{DAY}_1", 1), (f"{DAY}_2", 3), (f"{DAY}_3", 3)]
+
+
 def test_positional_rerun_keeps_what_is_stored(spark, tmp_path):
     metric = METRICS["total_quantity_per_prod"]
 
@@ -226,14 +251,14 @@ def test_positional_rerun_keeps_what_is_stored(spark, tmp_path):
 
     path = str(tmp_path / "table")
     for _ in range(2):
-        warehouse.load(keyed((1, 10), (2, 5)), path, DAY, DAY)
+        warehouse.load(keyed((1, 10), (2, 5)), path, DAY, DAY, by_content=False)
     rerun = keyed((2, 50), (1, 10), (3, 1))
     stored_rows = warehouse.read_stored(rerun, path)
     expected = [(f"{DAY}_1", 1, 10), (f"{DAY}_2", 2, 5), (f"{DAY}_3", 3, 1)]
     columns = ["date_id", "Product_ID", "quantity_per_productID"]
-    assert sorted(rows(warehouse.after_load(rerun, stored_rows).select(columns))) == expected
+    assert sorted(rows(warehouse.after_load(rerun, stored_rows, by_content=False).select(columns))) == expected
     for _ in range(2):
-        warehouse.load(rerun, path, DAY, DAY)
+        warehouse.load(rerun, path, DAY, DAY, by_content=False)
     assert sorted(rows(warehouse.read_stored(rerun, path).select(columns))) == expected
 
 

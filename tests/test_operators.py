@@ -1,5 +1,6 @@
 """Joins of large dimensions, numbering, arithmetic, calendar, readers, landing."""
 
+import os
 from collections import Counter
 from datetime import date, timedelta
 from decimal import Decimal
@@ -14,7 +15,7 @@ from tallyroll.operators import joins, numbering
 from tallyroll.operators.enrich import enrich
 from tallyroll.operators.rollups import buyer_sales, line_measures, product_sales
 from tallyroll.plans.metrics import METRICS
-from tallyroll.session import object_store_settings, scratch_path
+from tallyroll.session import object_store_settings, scratch_path, settled
 from tallyroll.sources import landing, raw, zones
 
 
@@ -56,11 +57,20 @@ def dims(spark):
     return products.unionByName(repeated), users.unionByName(users.where("User_ID = 3"))
 
 
-def test_hot_keys_finds_every_heavy_value(skewed):
-    found = joins.hot_keys(skewed, "product_ID", 0.05)
-    assert {7, None} <= set(found)
-    assert len(found) <= 20
-    assert 3 in joins.hot_keys(skewed, "User_ID")
+def test_hot_keys_are_those_beyond_a_mean_partition(skewed):
+    found = {r.product_ID: r._parts for r in joins.hot_keys(skewed, ["product_ID"], 8).collect()}
+    assert found == {7: 11, None: 11}
+    # The more partitions, the smaller a hot key: User_ID 3 has a fifth of the rows.
+    found = {r.User_ID: r._parts for r in joins.hot_keys(skewed, ["User_ID"], 100).collect()}
+    assert set(found) == {3} and 80 <= found[3] <= 82
+    both = {(r.User_ID, r.product_ID) for r in joins.hot_keys(skewed, ["User_ID", "product_ID"], 100).collect()}
+    assert both == {(3, 7), (3, None)}
+
+
+def test_no_hot_keys_in_even_data(spark):
+    even = spark.range(100_000).select((F.col("id") % 1000).alias("k"))
+    assert joins.hot_keys(even, ["k"], 200) is None
+    assert joins.hot_keys(even.limit(0), ["k"], 200) is None
 
 
 def test_measured_bytes(spark):
@@ -103,7 +113,7 @@ def test_broadcast_only_below_the_measured_limit(skewed, dims):
     size = joins.measured_bytes(dim)
 
     def plan(limit):
-        return joins.lookup_join(skewed, dim, ["product_ID"], ["cart_id"], broadcast_bytes=limit)._jdf.queryExecution().toString()
+        return joins.lookup_join(skewed, dim, ["product_ID"], ["cart_id"], broadcast_bytes=limit, hot_factor=100)._jdf.queryExecution().toString()
 
     assert "strategy=broadcast" in plan(size)
     assert "strategy=broadcast" not in plan(size - 1)
@@ -209,6 +219,22 @@ def test_money_beyond_bigint(spark):
 def test_ticks(spark):
     df = spark.createDataFrame([(109.95,), (0.1 + 0.2,), (22.3,), (None,)], "p double")
     assert [r[0] for r in df.select(money.to_ticks(F.col("p"))).collect()] == [1099500, 3000, 223000, None]
+    fine = spark.createDataFrame([(0.00004, 4.5), (1.0, None)], "price double, rate double")
+    with pytest.raises(Exception, match="4.0E-5 has more than 4 decimal places"):
+        fine.select(money.to_ticks(F.col("price"))).collect()
+    assert money.places_needed(fine) == (5, 4)
+    assert money.places_needed(fine.limit(0)) == (4, 4)
+    assert fine.select(money.to_ticks(F.col("price"), 5)).first()[0] == 4
+    with pytest.raises(money.TooFine, match="price 1e-12"):
+        money.places_needed(spark.createDataFrame([(1e-12, 1.0)], "price double, rate double"))
+
+
+def test_fine_prices_keep_their_revenue(spark):
+    lines = spark.createDataFrame([(1, 1, 100_000, 1)], "User_ID long, product_ID long, quantity long, cart_id long")
+    products = spark.createDataFrame([(1, "c", 0.00004, 1, 4.5)], "Product_ID long, category string, price double, count long, rate double")
+    places = money.places_needed(products)
+    metric = METRICS["revenue_by_category"]
+    assert metric.compute(product_sales(lines, products, places=places), places=places).first()[1] == 4.0
 
 
 def test_calendar_matches_python(spark):
@@ -259,9 +285,9 @@ def test_history_landing_touches_only_its_days(spark, tmp_path):
     assert sorted((r.id, r.date) for r in table.collect()) == [
         (1, "2025-04-14T08:00:00.000Z"), (9, "2025-04-15"),
     ]
-    one_day = zones.read_table(spark, zones.zone(base, "raw", "carts"), F.col("run_date") == F.lit(date(2025, 4, 14)))
+    one_day = zones.read_table(spark, zones.zone(base, "raw", "carts"), only=zones.between("run_date", date(2025, 4, 14), date(2025, 4, 14)))
     assert len(one_day.inputFiles()) >= 1 and one_day.count() == 1
-    assert "PartitionFilters: [isnotnull(run_date" in one_day._jdf.queryExecution().toString()
+    assert all("run_date=2025-04-14/" in f for f in one_day.inputFiles())
 
 
 def test_missing_raw_input(spark, tmp_path):
@@ -289,6 +315,28 @@ def test_csv(spark, tmp_path):
 def test_table_name(spark):
     df = spark.createDataFrame([("s3a://b/partition_2025-04-14/ord_bycity.parquet",)], "p string")
     assert df.select(zones.table_name(F.col("p"))).first()[0] == "ord_bycity"
+    df = spark.createDataFrame([("s3a://b/analytics/rev_prod_cat/run_date=2025-04-14/part-00000-x.snappy.parquet",), ("/t/x/year=1/week=2/part-0.parquet",), ("/t/orders.parquet/part-0001.parquet",)], "p string")
+    assert [r[0] for r in df.select(zones.table_name(F.col("p"))).collect()] == ["rev_prod_cat", "x", "orders"]
+
+
+def test_only_the_wanted_partitions_are_listed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = spark.range(20).selectExpr("id", "date_add(DATE'2025-04-01', int(id)) AS run_date")
+    zones.replace_partitions(days, path, by=["run_date"])
+    one = zones.read_table(spark, path, only=zones.between("run_date", date(2025, 4, 5), date(2025, 4, 6)))
+    assert {f.split("run_date=")[1][:10] for f in one.inputFiles()} == {"2025-04-05", "2025-04-06"}
+    assert sorted(map(tuple, one.collect())) == [(4, date(2025, 4, 5)), (5, date(2025, 4, 6))]
+    with pytest.raises(raw.MissingInput):
+        zones.read_table(spark, path, only=zones.between("run_date", date(2026, 1, 1), date(2026, 1, 2)))
+
+
+def test_undated_carts_are_stamped_or_refused(spark, tmp_path):
+    carts = spark.createDataFrame([(1, "2025-04-14"), (2, None)], "id long, date string")
+    with pytest.raises(Exception, match="cart without a date: 2"):
+        landing.land_carts_history(carts, str(tmp_path / "a"))
+    landing.land_carts_history(carts, str(tmp_path / "b"), undated=date(2025, 4, 15))
+    table = zones.read_table(spark, zones.zone(str(tmp_path / "b"), "raw", "carts"))
+    assert {r.id: r.run_date for r in table.collect()} == {1: date(2025, 4, 14), 2: date(2025, 4, 15)}
 
 
 def test_absent_table_reads_as_no_rows(spark, tmp_path):
@@ -298,12 +346,19 @@ def test_absent_table_reads_as_no_rows(spark, tmp_path):
         zones.read_table(spark, str(tmp_path / "no"))
 
 
-def test_scratch_follows_the_cluster_setting(spark, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    assert before is None or scratch_path(spark, "x").startswith(before)
+def test_scratch_follows_the_cluster_setting(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_settled_files_go_with_their_owner(spark):
+    with settled(spark) as keep:
+        kept = keep(spark.range(5), "x")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert kept.count() == 5 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_object_store_settings():
     given = object_store_settings("http://store", "k", "s")
     assert given["spark.hadoop.fs.s3a.path.style.access"] == "true"
