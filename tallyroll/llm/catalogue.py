@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.llm.bpe import bpe_digests
 from tallyroll.llm.chat import chat_format
-from tallyroll.llm.decontaminate import contamination
+from tallyroll.llm.decontaminate import matches
 from tallyroll.llm.language_model import score
 from tallyroll.llm.license_scan import license_scan
 from tallyroll.llm.minhash import near_duplicates
@@ -53,7 +53,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return matches(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

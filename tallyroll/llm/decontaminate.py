@@ -37,6 +37,7 @@ MIN_CHARS = 32
 BLOCK_CHARS = 4 << 20
 BIT_TABLE, COUNT_TABLE = 22, 20
 MATCH = "array<struct<item_id: long, edits: int, start: int, stop: int>>"
+ARROW_MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
 _SEED = 0x9FB21C651E98DF25
 NOTHING = 0xFFFFFFFF  # no code point
 
@@ -213,15 +214,23 @@ def _search(items: Items):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = find(items, batch.column("text"))
-            if batch.num_rows and any(found):
-                earlier = batch.column("_matches").to_pylist()
-                place = batch.schema.get_field_index("_matches")
-                batch = batch.set_column(place, "_matches", pa.array([a + b for a, b in zip(earlier, found, strict=True)], batch.schema.field(place).type))
-            yield batch
+            # Batches with and without matches must have one schema, so the column is always made anew.
+            matches = [a + b for a, b in zip(batch.column("_matches").to_pylist(), found, strict=True)]
+            place = batch.schema.get_field_index("_matches")
+            yield batch.set_column(place, pa.field("_matches", ARROW_MATCH), pa.array(matches, ARROW_MATCH))
 
     return search
 
 
+def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, edits, start, stop``: the best match of each item in each text that holds it.
+
+    Places are in the normalized text; ``start`` is exact within the edits.
+    """
+    read = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return searched(read, benchmark).select("doc_id", F.explode("_matches").alias("m")).select("doc_id", "m.*")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_items, items, fewest_edits, contaminated``."""
     read = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))

@@ -24,6 +24,10 @@ def test_sql(spark, sf_dir, name):
 @pytest.mark.parametrize("name", sorted(set(catalogue()) - set(oracle_sql())))
 def test_others_return_a_row_for_each_input_row(spark, sf_dir, name):
     df = catalogue()[name](spark, sf_dir)
+    if name.startswith("op8_"):
+        # Only what it finds.
+        assert 0 < df.count() < spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+        return
     if name.startswith("op6_"):
         expected = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id").distinct().count()
     else:

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from tallyroll.llm.decontaminate import Items, align, contamination, edit_budget, keep_unseen, searched
+from tallyroll.llm.decontaminate import Items, align, contamination, edit_budget, keep_unseen, matches, searched
 
 
 def normal(text):
@@ -84,10 +84,17 @@ def test_odd_rows(spark):
     benchmark = spark.createDataFrame([(7, item), (8, item), (None, item + item), (9, None), (10, "short")], "item_id long, text string")
     rows = contamination(docs, benchmark).collect()
     assert sorted((str(r.doc_id), r["items"], r.fewest_edits) for r in rows) == sorted([("1", "", None), ("2", "", None), ("None", "7,8", 0), ("3", "7,8", 0), ("3", "7,8", 0), ("4", "", None), ("5", "7,8", 0), ("6", "", None)])
+    found = matches(docs, benchmark).collect()
+    assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in found) == [(0, 7, 0), (0, 8, 0), (3, 7, 0), (3, 7, 0), (3, 8, 0), (3, 8, 0), (5, 7, 0), (5, 8, 0)]
     kept = keep_unseen(docs, benchmark)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, 4, 6}
     assert contamination(docs.limit(0), benchmark).collect() == []
     assert keep_unseen(docs, benchmark.limit(0)).count() == docs.count()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    try:
+        assert sum(r.contaminated for r in contamination(docs.coalesce(1), benchmark).collect()) == 4
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     small = searched(docs, benchmark, block_chars=70)
     assert {(r.doc_id, len(r._matches)) for r in small.collect()} == {(1, 0), (2, 0), (None, 2), (3, 2), (4, 0), (5, 2), (6, 0)}
 
