@@ -166,11 +166,12 @@ def warehouse_rerun_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two loads into a table that doesn't exist at first, and the second one again."""
+    """Two loads of monthly rows into a table that doesn't exist at first, and the second one again."""
     metric, path = METRICS["total_quantity_per_prod"], scratch_path(spark, "warehouse")
-    first, last = _order_days(spark, sf_dir).agg(F.min("run_date"), F.max("run_date")).first()
+    month = F.trunc("run_date", "month")
+    first, last = _order_days(spark, sf_dir).agg(F.min(month), F.max(month)).first()
     for where in (FIRST_LOAD, None, None):
-        rows = warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir, where))
+        rows = warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir, where, monthly=True))
         warehouse.load(rows, path, first, last, by_content=False)
     return warehouse.read_stored(rows, path)
 

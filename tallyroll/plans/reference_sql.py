@@ -214,9 +214,9 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     }
     fine = _wide().replace("p_retailprice AS price", "p_retailprice + p_size / 1000000.0 AS price")
     found["m01_fine_prices"] = _metric(fine, *_METRICS[0][1:], dated=False)
-    monthly = _wide().replace("CAST(o_orderdate AS DATE) AS run_date", "CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date")
-    found["history_roundtrip"] = _metric(monthly, *_METRICS[8][1:], dated=True)
-    found["warehouse_load"] = found["warehouse_rerun"]
+    by_month = ("CAST(o_orderdate AS DATE) AS run_date", "CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date")
+    found["history_roundtrip"] = _metric(_wide().replace(*by_month), *_METRICS[8][1:], dated=True)
+    found["warehouse_load"] = found["warehouse_rerun"].replace(*by_month)
     days = "SELECT DISTINCT date_trunc('month', o_orderdate) AS m, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"
     found["table_of_published"] = f"""SELECT 'revenue_by_category' AS table_name, count(*) AS n_rows FROM ({days}) d
 UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""

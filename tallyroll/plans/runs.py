@@ -70,8 +70,8 @@ def _weeks(spark: SparkSession, base: str, kind: str, first: date, last: date) -
         return int(values["iso_year"]), int(values["iso_week"])
 
     path = zones.zone(base, "raw", kind)
-    found = {week(values) for _, values in zones.partitions(spark, path)}
-    return zones.read_table(spark, path, only=lambda values: low <= week(values) <= high), found
+    found = {week(values) for _, values in zones.partitions(spark, path, keys=2)}
+    return zones.read_table(spark, path, only=lambda values: low <= week(values) <= high, keys=2), found
 
 
 def run_history(

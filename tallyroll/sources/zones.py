@@ -29,8 +29,9 @@ def read_table(
     schema: T.StructType | None = None,
     missing: str = "error",
     only: Callable[[dict[str, str]], bool] | None = None,
+    keys: int = 1,
 ) -> DataFrame:
-    """Read a table, or ``only`` those of its partitions whose values are accepted; files of others are not listed.
+    """Read a table, or ``only`` those of its partitions (by ``keys`` columns) whose values are accepted; files of others are not listed.
 
     With ``missing="empty"`` and a schema, an absent table reads as no rows, as does a table
     without an accepted partition.
@@ -38,7 +39,7 @@ def read_table(
     reader = spark.read if schema is None else spark.read.schema(schema)
     paths = [path]
     if only is not None:
-        paths = [leaf for leaf, values in partitions(spark, path) if only(values)]
+        paths = [leaf for leaf, values in partitions(spark, path, keys) if only(values)]
         reader = reader.option("basePath", path)
     try:
         if paths:
@@ -51,20 +52,13 @@ def read_table(
     raise MissingInput(f"no table at {path}" if only is None else f"no such partition at {path}")
 
 
-def partitions(spark: SparkSession, path: str) -> list[tuple[str, dict[str, str]]]:
-    """Partition folders of a table with their values, from the folders' names alone."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-
-    def below(folder, values: dict[str, str]) -> list[tuple[str, dict[str, str]]]:
-        if not files.exists(folder):
-            return []
-        names = [s.getPath() for s in files.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
-        if not names:
-            return [(folder.toString(), values)] if values else []
-        return [leaf for name in names for leaf in below(name, values | dict([name.getName().split("=", 1)]))]
-
-    return sorted(below(target, {}), key=lambda leaf: leaf[0])
+def partitions(spark: SparkSession, path: str, keys: int = 1) -> list[tuple[str, dict[str, str]]]:
+    """Partition folders of a table with that many keys, with their values, from the folders' names alone."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pattern = hadoop.Path("/".join([path, *["*=*"] * keys]))
+    found = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(pattern)
+    folders = sorted(p.toString() for p in hadoop.FileUtil.stat2Paths(found)) if found else []
+    return [(folder, dict(part.split("=", 1) for part in folder.split("/")[-keys:])) for folder in folders]
 
 
 def between(key: str, first: date, last: date) -> Callable[[dict[str, str]], bool]:
