@@ -20,7 +20,7 @@ from tallyroll.operators.flatten import sale_lines as explode_sale_lines
 from tallyroll.operators.rollups import buyer_sales, product_sales
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
-from tallyroll.plans.runs import run_history
+from tallyroll.plans.runs import run_day, run_history
 from tallyroll.session import scratch_path, settle
 from tallyroll.sources import landing, raw, zones
 from tallyroll.sources import starschema as star
@@ -197,6 +197,16 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zones.read_table(spark, path).select("run_date", *metric.keys, metric.output)
 
 
+def day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all carts as those of one day, with that week's snapshots; run the day; read a metric back."""
+    base, metric, day = scratch_path(spark, "shop"), METRICS["rev_prod_cat"], calendar.parse_day(STAMP_DATE)
+    landing.land_carts(star.carts(spark, sf_dir), base, day)
+    landing.land_weekly(star.products(spark, sf_dir), base, "products", day)
+    landing.land_weekly(star.users(spark, sf_dir), base, "users", day)
+    run_day(spark, base, day)
+    return publish.read_published(spark, base, metric.name, day, day).select("run_date", *metric.keys, metric.output)
+
+
 def published_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One year of the published days, read by its partitions."""
     metric, base = METRICS["rev_prod_cat"], scratch_path(spark, "published")
@@ -293,6 +303,7 @@ def catalogue() -> dict[str, Query]:
         "published_range": published_range,
         "warehouse_load": warehouse_load,
         "history_roundtrip": history_roundtrip,
+        "day_roundtrip": day_roundtrip,
         "m01_fine_prices": fine_prices,
         **{f"json_arrays_{kind}": partial(json_arrays, kind) for kind in ("users", "products", "carts")},
     }

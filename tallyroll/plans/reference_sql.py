@@ -228,5 +228,6 @@ UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""
             found[f"{label}_by_cart_id"] = _metric(_wide("o_orderkey"), *spec, dated=False)
         found[f"{label}_by_day_weekly"] = _metric(_wide_weekly(), *spec, dated=True)
     found["publish_roundtrip"] = found["m09_by_day"]
+    found["day_roundtrip"] = f"SELECT DATE '2025-04-14' AS run_date, t.* FROM ({found['m09_rev_prod_cat']}) t"
     found["published_range"] = f"SELECT * FROM ({found['m09_by_day']}) t WHERE run_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
     return found
