@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.llm import kernels as K
+from tallyroll.llm.tables import numbered, text_place
 
 Q = 8
 EDIT_PERCENT = 10
@@ -204,16 +205,16 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
 def searched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with the column ``_matches``: best match of each item that occurs."""
     names = docs.columns
-    out = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), F.col(f"`{text_col}`").cast("string").alias("text"), F.array().cast(MATCH).alias("_matches"))
+    out = numbered(docs, text_col, F.array().cast(MATCH).alias("_matches"))
     for items in blocks(benchmark, text_col="text", block_chars=block_chars):
-        out = out.mapInArrow(_search(items), out.schema)
+        out = out.mapInArrow(_search(items, text_place(docs, text_col)), out.schema)
     return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), "_matches")
 
 
-def _search(items: Items):
+def _search(items: Items, text: str):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = find(items, batch.column("text"))
+            found = find(items, batch.column(text))
             # Batches with and without matches must have one schema, so the column is always made anew.
             matches = [a + b for a, b in zip(batch.column("_matches").to_pylist(), found, strict=True)]
             place = batch.schema.get_field_index("_matches")

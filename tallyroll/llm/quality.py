@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroll.llm import kernels as K
-from tallyroll.llm.tables import keyed
+from tallyroll.llm.tables import numbered, text_place
 
 # The symbols and limits of the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -185,11 +185,12 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
     """``docs`` with its counts, distances and verdict in the struct column ``_quality``."""
     reference = references(docs, text_col, lang_col).persist()
     if reference.count() <= BROADCAST_LANGUAGES:
-        schema = reference.schema
-        reference_rows = [tuple(r) for r in reference.collect()]
-        reference = F.broadcast(docs.sparkSession.createDataFrame(reference_rows, schema))
+        rows = [tuple(r) for r in reference.collect()]
+        reference.unpersist()
+        reference = F.broadcast(docs.sparkSession.createDataFrame(rows, reference.schema))
     names = docs.columns
-    own = docs.select(*(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), F.col(f"`{lang_col}`").cast("string").alias("own_lang"))
+    own = numbered(docs, text_col, F.col(f"`{lang_col}`").cast("string").alias("own_lang"))
+    text = text_place(docs, text_col)
     met = own.join(reference, F.col("own_lang").eqNullSafe(F.col("lang")), "left").drop("lang", "own_lang")
     added = T.StructType.fromDDL("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double")
     passed = [f.name for f in met.schema.fields if f.name.startswith("c") and f.name[1:].isdigit()]
@@ -197,7 +198,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = features(batch.column("text"))
+            got = features(batch.column(text))
             n = batch.num_rows
             far = {}
             for kind, guard in (("chars", got["n_chars"] >= MIN_CHARS), ("words", got["words"].sum(axis=1) >= MIN_COMMON_WORDS)):

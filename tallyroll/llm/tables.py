@@ -25,6 +25,18 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more
     )
 
 
+def text_place(docs: DataFrame, text_col: str) -> str:
+    """Where ``numbered`` has the text: in its own place if it is a string there, else in ``text``."""
+    return f"c{docs.columns.index(text_col)}" if dict(docs.dtypes)[text_col] == "string" else "text"
+
+
+def numbered(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
+    """All columns as ``c0, c1, ...``, so that no name clashes; the text is not sent to Python twice."""
+    own = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
+    cast = [F.col(f"`{text_col}`").cast("string").alias("text")] if text_place(docs, text_col) == "text" else []
+    return docs.select(*own, *cast, *more)
+
+
 def reachable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, if it isn't installed."""
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
