@@ -28,6 +28,8 @@ from tallyroll.llm import kernels as K
 from tallyroll.llm.tables import keyed
 
 ORDER, BACKOFF = 2, 0.4
+# N-grams of every order take several times the memory of the texts, hence smaller cells.
+CELL_BYTES = 8 << 20
 RESULT = "doc_id long, n_words long, log_score double, mean_log_score double"
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -91,7 +93,7 @@ def _with(work: Callable[[pa.Table, int], pa.Table], order: int) -> Callable[[pa
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
     """One row per input row: ``doc_id, n_words, log_score, mean_log_score``."""
-    dealt, n = C.dealt(keyed(docs, id_col, text_col))
+    dealt, n = C.dealt(keyed(docs, id_col, text_col), CELL_BYTES)
 
     def blocks(table: pa.Table, k: int) -> pa.Table:
         _, distinct, _, count = _Cell(table).grams(k)
