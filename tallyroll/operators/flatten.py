@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 LINE_IDENTITY = ("cart_id", "product_ID", "quantity")
 
+# Names and order of the flat columns below.
+
 
 def flatten_users(users: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Flat users; ``keep`` names partition columns to carry along."""
