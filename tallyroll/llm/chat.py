@@ -29,15 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.llm.tables import NO_ID
 from tallyroll.operators.numbering import number_rows
 
 ROLES = ("system", "user", "assistant")
 MERGE, RELABEL, INSERT = 1, 2, 3
 BLOCK = 1000
+# Turns that a task's function sees at once, about.
+CELL_TURNS = 20_000
 NEVER = 1 << 40
 # Last role: 0 none, 1 system, 2 user, 3 assistant. Which roles may follow each.
 FOLLOWS = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
-COSTS = "conv_id long, block long, last boolean, costs array<long>"
+COSTS = "conv long, block long, costs array<long>"
 TURNS = "conv_id long, block long, n_turns long, n_merged long, n_relabelled long, n_inserted long, cost long, rendered string, rendered_sha256 string"
 
 
@@ -74,6 +77,7 @@ def turn_costs(role: int) -> np.ndarray:
 
 
 TURN = np.stack([turn_costs(r) for r in range(4)])
+PLAIN = TURN.tolist()
 
 
 def meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -82,6 +86,7 @@ def meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def block_costs(roles: list[int]) -> np.ndarray:
+    """From each last role to each, by a block of turns."""
     out = np.where(np.eye(4, dtype=bool), 0, NEVER)
     for role in roles:
         out = meet(out, TURN[role])
@@ -90,14 +95,15 @@ def block_costs(roles: list[int]) -> np.ndarray:
 
 def repaired(roles: list[int], start: int, stop: int) -> list[int]:
     """The role of each turn on the cheapest way from the last role ``start`` to ``stop``."""
-    to_go = [np.where(np.arange(4) == stop, 0, NEVER)]
+    to_go = [[0 if r == stop else NEVER for r in range(4)]]
     for role in reversed(roles):
-        to_go.append((TURN[role] + to_go[-1][None, :]).min(axis=1))
+        rest = to_go[-1]
+        to_go.append([min(c + r for c, r in zip(row, rest, strict=True)) for row in PLAIN[role]])
     out, at = [], start
     for role, rest in zip(roles, reversed(to_go[:-1]), strict=True):
-        total = TURN[role][at] + rest
-        best = total.min()
-        at = role if role and total[role] == best else int(np.argmin(total))
+        total = [c + r for c, r in zip(PLAIN[role][at], rest, strict=True)]
+        best = min(total)
+        at = role if role and total[role] == best else total.index(best)
         out.append(at)
     return out
 
@@ -129,47 +135,73 @@ def render(texts: list[str], roles: list[int], chosen: list[int], start: int, la
     return "".join(parts), merged, sum(a != b for a, b in zip(roles, chosen, strict=True)), inserted
 
 
+def _sorted(table: pa.Table, *by: str) -> tuple[pa.Table, np.ndarray]:
+    """Rows in order, and where each group of equal values in all but the last column begins, with the end."""
+    keys = [table.column(c).to_numpy() for c in by]
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order) + 1, bool)
+    new[[0, -1]] = True
+    for key in keys[:-1]:
+        new[1:-1] |= key[order[1:]] != key[order[:-1]]
+    return table.take(pa.array(order)), np.flatnonzero(new) if len(order) else np.zeros(1, np.int64)
+
+
 def chat_format(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``conv_id, block, n_turns, n_merged, n_relabelled, n_inserted, cost, rendered, rendered_sha256``."""
     read = conversations.select(
-        F.col(f"`{conv_col}`").cast("long").alias("conv_id"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
+        F.coalesce(F.col(f"`{conv_col}`").cast("long"), F.lit(NO_ID)).alias("conv"), F.col(f"`{turn_col}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role_col}`").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
     )
-    numbered = number_rows(read, ["conv_id"], [F.col(c) for c in ("turn", "role", "text")]).withColumn("block", F.floor((F.col("row_no") - 1) / block).cast("long"))
+    numbered = number_rows(read, ["conv"], [F.col(c) for c in ("turn", "role", "text")]).withColumn("block", F.floor((F.col("row_no") - 1) / block).cast("long"))
+    # Many short conversations go through a task's function together. Blocks are bounded, so cells of them are.
+    least = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = max(least, -(-numbered.count() // CELL_TURNS))
+    numbered = numbered.withColumn("cell", F.pmod(F.xxhash64("conv", "block"), F.lit(n)).cast("int"))
 
     def costs(table: pa.Table) -> pa.Table:
-        order = np.argsort(table.column("row_no").to_numpy())
-        found = block_costs([role_number(r) for r in table.column("role").take(pa.array(order)).to_pylist()])
-        return pa.table([table.column("conv_id")[:1], table.column("block")[:1], pa.array([False]), pa.array([found.ravel().tolist()], pa.list_(pa.int64()))], names=["conv_id", "block", "last", "costs"])
+        table, edges = _sorted(table, "conv", "block", "row_no")
+        roles = [role_number(r) for r in table.column("role").to_pylist()]
+        found = [block_costs(roles[a:b]).ravel().tolist() for a, b in zip(edges, edges[1:], strict=False)]
+        firsts = table.select(["conv", "block"]).take(pa.array(edges[:-1]))
+        return firsts.append_column("costs", pa.array(found, pa.list_(pa.int64())))
 
     def ends(table: pa.Table) -> pa.Table:
-        """Last role before and after each block of a conversation."""
-        table = table.take(pa.array(np.argsort(table.column("block").to_numpy())))
+        """Last role before and after each block, conversation by conversation."""
+        table, edges = _sorted(table, "conv", "block")
         tables = np.array(table.column("costs").to_pylist(), np.int64).reshape(-1, 4, 4)
-        to_go = [END]
-        for one in tables[::-1]:
-            to_go.append((one + to_go[-1][None, :]).min(axis=1))
-        at, pairs = 0, []
-        for one, rest in zip(tables, to_go[-2::-1], strict=True):
-            new = int(np.argmin(one[at] + rest))
-            pairs.append((at, new))
-            at = new
-        n = len(pairs)
-        columns = [table.column("conv_id"), table.column("block"), *(pa.array([p[i] for p in pairs], pa.int32()) for i in (0, 1)), pa.array(np.arange(n) == n - 1)]
-        return pa.table(columns, names=["conv_id", "block", "start", "stop", "last"])
+        starts, stops, lasts = [], [], []
+        for a, b in zip(edges, edges[1:], strict=False):
+            to_go = [END]
+            for one in tables[a:b][::-1]:
+                to_go.append((one + to_go[-1][None, :]).min(axis=1))
+            at = 0
+            for one, rest in zip(tables[a:b], to_go[-2::-1], strict=True):
+                new = int(np.argmin(one[at] + rest))
+                starts.append(at)
+                stops.append(new)
+                at = new
+            lasts += [False] * int(b - a - 1) + [True]
+        columns = [table.column("conv"), table.column("block"), pa.array(starts, pa.int32()), pa.array(stops, pa.int32()), pa.array(lasts, pa.bool_())]
+        return pa.table(columns, names=["conv", "block", "start", "stop", "last"])
 
     def write(table: pa.Table, around: pa.Table) -> pa.Table:
-        order = pa.array(np.argsort(table.column("row_no").to_numpy()))
-        roles = [role_number(r) for r in table.column("role").take(order).to_pylist()]
-        start, stop, last = (around.column(c)[0].as_py() for c in ("start", "stop", "last"))
-        chosen = repaired(roles, start, stop)
-        text, merged, relabelled, inserted = render(table.column("text").take(order).to_pylist(), roles, chosen, start, last)
-        row = (around.column("conv_id")[0].as_py(), around.column("block")[0].as_py(), len(roles), merged, relabelled, inserted, MERGE * merged + RELABEL * relabelled + INSERT * inserted, text, hashlib.sha256(text.encode()).hexdigest())
+        table, edges = _sorted(table, "conv", "block", "row_no")
+        known = dict(zip(zip(around.column("conv").to_pylist(), around.column("block").to_pylist(), strict=True), zip(*(around.column(c).to_pylist() for c in ("start", "stop", "last")), strict=True), strict=True))
+        convs, numbers, texts = (table.column(c).to_pylist() for c in ("conv", "block", "text"))
+        roles = [role_number(r) for r in table.column("role").to_pylist()]
+        rows = []
+        for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+            start, stop, last = known[convs[a], numbers[a]]
+            own = roles[a:b]
+            text, merged, relabelled, inserted = render(texts[a:b], own, repaired(own, start, stop), start, last)
+            conv = None if convs[a] == NO_ID else convs[a]
+            rows.append((conv, numbers[a], b - a, merged, relabelled, inserted, MERGE * merged + RELABEL * relabelled + INSERT * inserted, text, hashlib.sha256(text.encode()).hexdigest()))
         names = [part.split()[0] for part in TURNS.split(", ")]
         kinds = [pa.int64()] * 7 + [pa.string()] * 2
-        return pa.table([pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)], names=names)
+        return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
 
-    by_block = numbered.groupBy("conv_id", "block")
-    tables = numbered.select("conv_id", "block", "row_no", "role").groupBy("conv_id", "block").applyInArrow(costs, COSTS)
-    around = tables.groupBy("conv_id").applyInArrow(ends, "conv_id long, block long, start int, stop int, last boolean")
-    return by_block.cogroup(around.groupBy("conv_id", "block")).applyInArrow(write, TURNS)
+    tables = numbered.select("cell", "conv", "block", "row_no", "role").groupBy("cell").applyInArrow(costs, COSTS)
+    of_conversation = F.pmod(F.xxhash64("conv"), F.lit(n)).cast("int")
+    around = tables.withColumn("cell", of_conversation).groupBy("cell").applyInArrow(ends, "conv long, block long, start int, stop int, last boolean")
+    around = around.withColumn("cell", F.pmod(F.xxhash64("conv", "block"), F.lit(n)).cast("int"))
+    return numbered.groupBy("cell").cogroup(around.groupBy("cell")).applyInArrow(write, TURNS)
