@@ -36,7 +36,7 @@ Q = 8
 EDIT_PERCENT = 10
 MIN_CHARS = 32
 BLOCK_CHARS = 4 << 20
-BIT_TABLE, COUNT_TABLE = 22, 20
+BIT_TABLE, COUNT_TABLE = 22, 18
 MATCH = "array<struct<item_id: long, edits: int, start: int, stop: int>>"
 ARROW_MATCH = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
 _SEED = 0x9FB21C651E98DF25

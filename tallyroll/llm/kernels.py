@@ -20,7 +20,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 # A fixed table, so that hashes agree between tasks and runs.
 TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
 BASE = U64(0x9E3779B97F4A7C15)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -32,6 +32,12 @@ from tallyroll.llm import kernels as K
 from tallyroll.llm.tables import NO_ID, keyed
 
 LENGTH, SEED = 100, 32
+# Contexts take several times the memory of the texts they come from, hence smaller cells.
+CELL_BYTES = 2 << 20
+# Suffixes that are sorted at once (or one group of equal beginnings), and contexts (or those of one seed).
+CHUNK, CONTEXTS = 100_000, 4_000
+# Types of what is kept of a repeat: context, offset, depth, number, first.
+KEPT = (np.int32, np.uint16, np.uint16, np.int64, np.bool_)
 # A seed in at least this many cells goes window by window (replies count up to 255).
 HOT_CELLS = 255
 SPANS = "doc_id long, id long, h long, n_bytes long, n_removed long, spans array<struct<start: long, stop: long>>, kept_sha256 string"
@@ -141,24 +147,62 @@ def intervals(common: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, n
     return found[:, 0], found[:, 1], found[:, 2]
 
 
-def repeats(texts: list[bytes], rank: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def repeats(texts: list[bytes], rank: np.ndarray, length: int, every: bool = True) -> tuple[np.ndarray, ...]:
     """Maximal repeats among distinct contexts: context, offset, depth, number of the repeat and whether it is the earliest, for every occurrence.
 
-    ``rank`` orders the contexts' earliest occurrences; an offset never changes that order within a repeat.
+    ``rank`` orders the contexts' earliest occurrences; an offset never changes that order within
+    a repeat. Without ``every``, just the longest repeat at each place that has an earlier occurrence.
     """
     size = np.array([len(t) for t in texts], np.int64)
     buffer = np.frombuffer(b"".join(texts), np.uint8)
     base = np.cumsum(size) - size
     windows = np.maximum(size - length + 1, 0)
-    context = np.repeat(np.arange(len(texts)), windows)
-    offset = np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)
-    head = K.rolling(K.TABLE[buffer], length)[base[context] + offset] if len(context) else np.zeros(0, np.uint64)
+    context = np.repeat(np.arange(len(texts), dtype=np.int32), windows)
+    place = (np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)).astype(np.int32)
+    # The first 100 bytes of every suffix, some contexts at a time.
+    head = np.zeros(len(context), np.uint64)
+    at = 0
+    for low, high in K.runs(np.append(base, len(buffer))):
+        n = int(windows[low:high].sum())
+        own = K.rolling(K.TABLE[buffer[base[low] : base[high - 1] + size[high - 1]]], length)
+        head[at : at + n] = own[base[context[at : at + n]] - base[low] + place[at : at + n]]
+        at += n
     # Only suffixes whose first 100 bytes occur twice can share them.
-    _, back, times = np.unique(head, return_inverse=True, return_counts=True)
-    some = np.flatnonzero(times[back] > 1) if len(head) else np.zeros(0, np.int64)
-    context, offset, group = context[some], offset[some], back[some]
-    if not len(context):
-        return (np.zeros(0, np.int64),) * 4 + (np.zeros(0, bool),)
+    order = np.argsort(head)
+    head = head[order]
+    new = np.concatenate(([True], head[1:] != head[:-1])) if len(head) else np.zeros(0, bool)
+    single = new & np.append(new[1:], True) if len(head) else new
+    some, group = order[~single], np.cumsum(new)[~single]
+    del head, order, new, single
+    context, offset = context[some], place[some]
+    del some, place
+    # Suffixes that differ in their first 100 bytes share no interval, so a run of whole groups is a suffix array by itself.
+    edges = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, np.int64)
+    found, at, repeats_so_far = [], 0, 0
+    while at < len(edges) - 1:
+        stop = max(at + 1, int(np.searchsorted(edges, edges[at] + CHUNK, side="right")) - 1)
+        part = slice(int(edges[at]), int(edges[stop]))
+        where, begin, depth, number, first = _chunk(buffer, base, size, rank, context[part].astype(np.int64), offset[part].astype(np.int64), group[part], length)
+        if not every:
+            where, begin, depth = _longest(*(x[~first] for x in (where, begin, depth)))
+            number, first = np.zeros(len(where), np.int64), np.zeros(len(where), bool)
+        repeats_so_far, number = repeats_so_far + int(number.max(initial=-1)) + 1, number + repeats_so_far
+        found.append(tuple(x.astype(kind) for x, kind in zip((where, begin, depth, number, first), KEPT, strict=True)))
+        at = stop
+    kinds = KEPT
+    return tuple(C.joined([f[i] for f in found], kind) for i, kind in enumerate(kinds))
+
+
+def _longest(context: np.ndarray, offset: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The greatest depth at each place."""
+    order = np.lexsort((-depth, offset, context))
+    context, offset, depth = context[order], offset[order], depth[order]
+    new = np.concatenate(([True], (context[1:] != context[:-1]) | (offset[1:] != offset[:-1]))) if len(order) else np.zeros(0, bool)
+    return context[new], offset[new], depth[new]
+
+
+def _chunk(buffer: np.ndarray, base: np.ndarray, size: np.ndarray, rank: np.ndarray, context: np.ndarray, offset: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Sort the suffixes of some groups, scan their common prefixes and keep the intervals that differ to the left."""
     start, rest = base[context] + offset + length, size[context] - offset - length
     width = -(-max(1, int(rest.max())) // 8) * 8
     tail = np.zeros((len(context), width), np.uint8)
@@ -213,11 +257,19 @@ def _intervals_of(table: pa.Table, length: int, every: bool) -> pa.Table:
     seed_of[which] = seed
     _, back, kinds = np.unique(seed_of, return_inverse=True, return_counts=True)
     met = np.flatnonzero(kinds[back] > 1)
+    met = met[np.argsort(back[met], kind="stable")]
     names = list(texts)
-    context, offset, depth, number, first = repeats([names[i] for i in met], rank[met], length)
-    context = met[context]
-    if not every:
-        context, offset, depth, number, first = (x[~first] for x in (context, offset, depth, number, first))
+    # Equal windows have one seed, so whole seeds go one run after another.
+    runs = np.flatnonzero(np.concatenate(([True], back[met[1:]] != back[met[:-1]], [True]))) if len(met) else np.zeros(1, np.int64)
+    found, at, repeats_so_far = [], 0, 0
+    while at < len(runs) - 1:
+        stop = max(at + 1, int(np.searchsorted(runs, runs[at] + CONTEXTS, side="right")) - 1)
+        own = met[runs[at] : runs[stop]]
+        where, begin, depth, number, first = repeats([names[i] for i in own], rank[own], length, every)
+        found.append((own[where].astype(np.int32), begin, depth, number + repeats_so_far, first))
+        repeats_so_far += int(number.max(initial=-1)) + 1
+        at = stop
+    context, offset, depth, number, first = (C.joined([f[i] for f in found], kind) for i, kind in enumerate(KEPT))
     # Spans of a context, for each of its entries that needs them.
     by = np.argsort(context, kind="stable")
     context, offset, depth, number, first = (x[by] for x in (context, offset, depth, number, first))
@@ -232,16 +284,16 @@ def _intervals_of(table: pa.Table, length: int, every: bool) -> pa.Table:
         count = edges[which[wanted] + 1] - edges[which[wanted]]
         take = np.repeat(edges[which[wanted]] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
         entry = np.repeat(wanted - own[0] if n else wanted, count)
-        data.append(C.pack(earliest[own], times[which[own]] > 1, entry.astype(np.uint32), offset[take].astype(np.uint8), depth[take].astype(np.uint8), number[take].astype(np.uint64) ^ salt, first[take]))
+        data.append(C.pack(earliest[own], times[which[own]] > 1, entry.astype(np.uint32), offset[take], depth[take], number[take].astype(np.uint64) ^ salt, first[take]))
     return C.answers(table, 2, data)
 
 
-REPLY = (np.bool_, np.bool_, np.uint32, np.uint8, np.uint8, np.uint64, np.bool_)
+REPLY = (np.bool_, np.bool_, np.uint32, np.uint16, np.uint16, np.uint64, np.bool_)
 
 
 def _asked(docs: DataFrame, length: int, hot: int, every: bool) -> tuple[DataFrame, DataFrame, int]:
     """Cells and all replies to them."""
-    dealt, n = C.dealt(docs)
+    dealt, n = C.dealt(docs, CELL_BYTES)
 
     def seed_blocks(table: pa.Table) -> pa.Table:
         seeds, times = _Cell(table, length).seed_counts()

@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 
+from tallyroll.llm import suffix
 from tallyroll.llm.suffix import intervals, repeat_groups, suffix_dedup
 
 
@@ -30,12 +31,29 @@ def check(docs, length=100, hot=255):
     return got
 
 
+def test_chunks_change_nothing(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = list({"".join(rng.choice(list("ab"), int(rng.integers(12, 40)))).encode() for _ in range(300)})
+    rank = rng.permutation(len(texts))
+
+    def found():
+        context, offset, depth, number, first = suffix.repeats(texts, rank, 9)
+        by = {}
+        for c, o, d, n, f in zip(context.tolist(), offset.tolist(), depth.tolist(), number.tolist(), first.tolist(), strict=True):
+            by.setdefault(n, []).append((c, o, d, f))
+        return sorted(sorted(v) for v in by.values())
+
+    whole = found()
+    monkeypatch.setattr(suffix, "CHUNK", 20)
+    assert found() == whole and len(whole) > 100
+
+
 @pytest.mark.parametrize("folder,hot", [("sf0.001", 255), ("sf0.001", 2), ("sf0.01", 255)])
 def test_whole_table(spark, folder, hot):
     assert any(r[2] for r in check(spark.read.parquet(f"/root/testdata/{folder}/documents.parquet"), hot=hot))
 
 
-@pytest.mark.parametrize("length,hot", [(100, 255), (40, 255), (7, 255), (40, 3)])
+@pytest.mark.parametrize("length,hot", [(100, 255), (40, 255), (7, 255), (40, 3), (170, 255)])
 def test_few_letters(spark, length, hot):
     """Periodic and random texts of few letters: repeats within and between documents, and chains of overlaps."""
     rng = np.random.default_rng(7)
