@@ -4,7 +4,8 @@ Method: each document has a histogram of character classes and one of common wor
 reference of a language is the mean histogram of all its documents, so that one very long
 document weighs no more than another. The Jensen-Shannon distance (base 2, 0 to 1) of a
 document from its reference rejects it, where it is long enough for the histograms to say
-something.
+something. The fewer words a document has, the farther its histogram of words lies from the
+reference by chance alone, so the limit of that distance follows the number of words.
 
 Defined results: null or empty text has no words and fails the base rule (fewer than ten
 words). A null language is a language of its own. Null ids, repeated rows and other columns
@@ -27,11 +28,14 @@ from tallyroll.llm.tables import numbered, text_place
 # The symbols and limits of the contract.
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
-# Guards: a histogram of fewer characters or words than this doesn't reject.
+# Guards: a histogram of fewer characters than the first doesn't reject; one of fewer words than the
+# second is not part of a reference and has a wider limit.
 MIN_CHARS, MIN_COMMON_WORDS = 200, 100
 # A document is rejected beyond the first distance of its characters, or if both histograms are odd:
 # beyond the second one of its characters and beyond that of its words.
 MAX_CHAR_DISTANCE, ODD_CHAR_DISTANCE, ODD_WORD_DISTANCE = 0.30, 0.14, 0.24
+# Under MIN_COMMON_WORDS words that limit grows with 1 / sqrt(words), at this rate and up to this.
+WORD_SPREAD, MOST_WORD_DISTANCE = 2.4, 0.31
 # A table of references up to this many languages is broadcast (about 200 bytes each).
 BROADCAST_LANGUAGES = 10_000
 
@@ -149,6 +153,12 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((part(p) + part(q)) / 2, 0, 1))
 
 
+def word_limit(n_words: np.ndarray) -> np.ndarray:
+    """The distance of words beyond which a document of so many words is odd."""
+    spread = WORD_SPREAD * (1 / np.sqrt(np.maximum(n_words, 1)) - 1 / np.sqrt(MIN_COMMON_WORDS))
+    return np.minimum(ODD_WORD_DISTANCE + np.maximum(spread, 0), MOST_WORD_DISTANCE)
+
+
 def _as_lists(values: np.ndarray) -> pa.Array:
     n, width = values.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), pa.array(values.astype(np.float64).ravel()))
@@ -200,8 +210,8 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
         for batch in batches:
             got = features(batch.column(text))
             n = batch.num_rows
-            far = {}
-            for kind, guard in (("chars", got["n_chars"] >= MIN_CHARS), ("words", got["words"].sum(axis=1) >= MIN_COMMON_WORDS)):
+            far, counted = {}, got["words"].sum(axis=1)
+            for kind, guard in (("chars", got["n_chars"] >= MIN_CHARS), ("words", counted > 0)):
                 lists = batch.column(f"ref_{kind}")
                 usable = guard & ~np.asarray(lists.is_null())
                 result = np.full(n, np.nan)
@@ -211,7 +221,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
                 far[kind] = result
             failed = (got["n_words"] < MIN_WORDS) | (100 * got["n_repeat_words"] > REPEAT_PERCENT * got["n_words"])
             with np.errstate(invalid="ignore"):
-                odd = (far["chars"] > MAX_CHAR_DISTANCE) | ((far["chars"] > ODD_CHAR_DISTANCE) & (far["words"] > ODD_WORD_DISTANCE))
+                odd = (far["chars"] > MAX_CHAR_DISTANCE) | ((far["chars"] > ODD_CHAR_DISTANCE) & (far["words"] > word_limit(counted)))
             columns = [pa.array(got[c]) for c in COUNTS[1:]]
             columns += [pa.array(failed), pa.array(~failed & ~odd)]
             columns += [pa.array(far[k], pa.float64(), from_pandas=True) for k in ("chars", "words")]
@@ -223,7 +233,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: the id, counts, ``base_failed``, ``kept`` and the two distances (null below the guards)."""
+    """One row per input row: the id, counts, ``base_failed``, ``kept`` and the two distances (null under MIN_CHARS characters, without words, or without a reference)."""
     read = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang"))
     return judged(read).select("doc_id", "_quality.*")
 

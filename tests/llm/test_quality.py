@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 
-from tallyroll.llm.quality import distance, keep_good, quality_rules
+from tallyroll.llm.quality import MIN_CHARS, MIN_COMMON_WORDS, distance, features, keep_good, quality_rules, word_limit
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,6 +64,26 @@ def test_junk_goes_and_clean_text_stays(spark, sf_dir):
     assert sum(not r.kept for r in rows if r.quality == 0) >= 0.6 * sum(r.quality == 0 for r in rows)
 
 
+def test_documents_of_few_words_are_judged(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    verdict = {r.doc_id: r for r in quality_rules(docs).collect()}
+    label = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    table = docs.select("doc_id", "text").toArrow()
+    got = features(table.column("text"))
+    counted = dict(zip(table.column("doc_id").to_pylist(), zip(got["n_chars"], got["words"].sum(axis=1), strict=True), strict=True))
+    short = [r for i, r in verdict.items() if counted[i][0] >= MIN_CHARS and counted[i][1] < MIN_COMMON_WORDS and not r.base_failed]
+    junk, clean = ([r for r in short if label.get(r.doc_id) == q] for q in (0, 1))
+    assert len(junk) >= 50 and len(clean) >= 300
+    assert sum(not r.kept for r in junk) >= 0.8 * len(junk)
+    assert sum(r.kept for r in clean) >= 0.99 * len(clean)
+    assert not verdict[315].kept and all(r.word_distance is not None for r in short if counted[r.doc_id][1])
+
+
+def test_limit_follows_the_number_of_words():
+    limit = word_limit(np.array([0, 1, 30, 80, 99, 100, 10_000]))
+    assert (np.diff(limit) <= 0).all() and limit[4] > limit[5] == limit[6] == 0.24 and limit[0] == 0.31
+
+
 def test_distance():
     p, q = np.array([[0.5, 0.5, 0.0], [1.0, 0.0, 0.0]]), np.array([[0.5, 0.5, 0.0], [0.0, 0.5, 0.5]])
     assert np.allclose(distance(p, q), [0, 1])
