@@ -25,6 +25,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(documents(spark, sf_dir))
 
 
+def op2_trigram_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid backoff with three words. ``op2_lm_scoring`` stays with the two words that its SQL defines."""
+    found = score(documents(spark, sf_dir), order=3)
+    return found.withColumns({"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)})
+
+
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of logarithms depend on their order in the last digits, hence rounded."""
     found = score(documents(spark, sf_dir))
@@ -65,7 +71,7 @@ def op10_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op1_suffix_dedup, op2_lm_scoring, op3_substring_dedup, op4_token_counts, op5_quality_rules, op6_chat_formatting, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
+    every = (op1_suffix_dedup, op2_trigram_scoring, op2_lm_scoring, op3_substring_dedup, op4_token_counts, op5_quality_rules, op6_chat_formatting, op7_bpe, op8_decontamination, op9_license_scan, op10_minhash_dedup)
     return {query.__name__: query for query in every}
 
 

@@ -53,6 +53,36 @@ logs AS (
 SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_words, round(coalesce(s, 0), 4) AS log_score, round(s / size.n, 6) AS mean_log_score
 FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN logs ON logs.doc_id = d.doc_id"""
 
+OP2_TRIGRAMS = f"""WITH {_MANY.format(text=_LOWER)},
+single AS (SELECT doc_id, unnest(w) AS c, unnest(range(1, len(w) + 1)) AS i FROM words),
+triple AS (
+  SELECT s.doc_id, s.i, q.c AS a, p.c AS b, s.c
+  FROM single s LEFT JOIN single p ON p.doc_id = s.doc_id AND p.i = s.i - 1 LEFT JOIN single q ON q.doc_id = s.doc_id AND q.i = s.i - 2
+),
+own1 AS (SELECT doc_id, c, count(*) AS n FROM single GROUP BY doc_id, c), n1 AS (SELECT c, sum(n) AS n FROM own1 GROUP BY c),
+own2 AS (SELECT doc_id, b, c, count(*) AS n FROM triple WHERE b IS NOT NULL GROUP BY doc_id, b, c), n2 AS (SELECT b, c, sum(n) AS n FROM own2 GROUP BY b, c),
+own3 AS (SELECT doc_id, a, b, c, count(*) AS n FROM triple WHERE a IS NOT NULL GROUP BY doc_id, a, b, c), n3 AS (SELECT a, b, c, sum(n) AS n FROM own3 GROUP BY a, b, c),
+left1 AS (SELECT doc_id, c, n1.n - own1.n AS n FROM own1 JOIN n1 USING (c)),
+left2 AS (SELECT doc_id, b, c, n2.n - own2.n AS n FROM own2 JOIN n2 USING (b, c)),
+left3 AS (SELECT doc_id, a, b, c, n3.n - own3.n AS n FROM own3 JOIN n3 USING (a, b, c)),
+total AS (SELECT count(*) AS n FROM single), size AS (SELECT doc_id, count(*) AS n FROM single GROUP BY doc_id),
+values AS (
+  SELECT t.doc_id, t.b, t.a, x1.n AS one, x2.n AS two, x3.n AS three, y1.n AS context1, y2.n AS context2, (SELECT n FROM total) - size.n AS rest
+  FROM triple t JOIN size ON size.doc_id = t.doc_id JOIN left1 x1 ON x1.doc_id = t.doc_id AND x1.c = t.c
+  LEFT JOIN left1 y1 ON y1.doc_id = t.doc_id AND y1.c = t.b
+  LEFT JOIN left2 x2 ON x2.doc_id = t.doc_id AND x2.b = t.b AND x2.c = t.c
+  LEFT JOIN left2 y2 ON y2.doc_id = t.doc_id AND y2.b = t.a AND y2.c = t.b
+  LEFT JOIN left3 x3 ON x3.doc_id = t.doc_id AND x3.a = t.a AND x3.b = t.b AND x3.c = t.c
+),
+logs AS (
+  SELECT doc_id, sum(CASE WHEN three > 0 THEN ln(three) - ln(context2)
+    ELSE CASE WHEN a IS NOT NULL THEN ln(0.4) ELSE 0 END + CASE WHEN two > 0 THEN ln(two) - ln(context1)
+    ELSE CASE WHEN b IS NOT NULL THEN ln(0.4) ELSE 0 END + CASE WHEN one > 0 THEN ln(one) - ln(rest) ELSE ln(0.4) - ln(rest + 1) END END END) AS s
+  FROM values GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_words, round(coalesce(s, 0), 4) AS log_score, round(s / size.n, 6) AS mean_log_score
+FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN logs ON logs.doc_id = d.doc_id"""
+
 OP3 = f"""WITH {_MANY.format(text="coalesce(text, '')")},
 windows AS (
   SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS k
@@ -84,4 +114,4 @@ FROM documents d LEFT JOIN size ON size.doc_id = d.doc_id LEFT JOIN (SELECT a, m
 
 
 def reference_sql() -> dict[str, str]:
-    return {"op1_suffix_dedup": OP1, "op2_lm_scoring": OP2, "op3_substring_dedup": OP3, "op10_minhash_dedup": OP10}
+    return {"op1_suffix_dedup": OP1, "op2_trigram_scoring": OP2_TRIGRAMS, "op2_lm_scoring": OP2, "op3_substring_dedup": OP3, "op10_minhash_dedup": OP10}

@@ -7,7 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tallyroll.llm.language_model import score
+from tallyroll.llm import cells as C
+from tallyroll.llm.catalogue import op2_trigram_scoring
+from tallyroll.llm.language_model import _met, _sent, score
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -69,3 +71,22 @@ def test_odd_rows(spark):
     assert score(docs.limit(0)).collect() == []
     alone = score(spark.createDataFrame([(1, "a b")], "doc_id long, text string")).first()
     assert math.isclose(alone.log_score, 2 * math.log(0.4) + math.log(0.4))
+
+
+def test_registered_query_scores_trigrams(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = plain([(r.doc_id, r.text) for r in docs.collect()], 3)
+    total = {i: s for (i, _), (_, s) in expected.items()}
+    rows = op2_trigram_scoring(spark, sf_dir).collect()
+    assert len(rows) == len(total) and all(math.isclose(r.log_score, total[r.doc_id], abs_tol=1e-3) for r in rows)
+
+
+@pytest.mark.parametrize("n", [1, 3, 70_000])
+def test_blocks_lose_nothing(n):
+    rng = np.random.default_rng(n)
+    hashes = np.unique(np.concatenate([rng.integers(0, 2**64, 5000, np.uint64), np.arange(600, dtype=np.uint64), np.array([0, 2**64 - 1, 1 << 48, (1 << 48) - 1], np.uint64)]))
+    counts = rng.choice([1, 1, 1, 2, 255, 256, 257, 10**12], len(hashes))
+    table = _sent(7, 2, hashes, counts, n)
+    got = [_met(d.as_py()) for d in table.column("data")]
+    assert np.array_equal(np.concatenate([g[0] for g in got]), hashes) and np.array_equal(np.concatenate([g[1] for g in got]), counts)
+    assert [len(g[0]) for g in got] == [x for x in np.diff(C.bucket_edges(hashes, n)).tolist() if x]
