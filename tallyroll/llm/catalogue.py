@@ -42,7 +42,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(documents(spark, sf_dir))
+    return token_counts(documents(spark, sf_dir), max_bytes=None)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,11 +4,13 @@ Method: the vocabulary is a trie. When a word leaves the trie, the longest piece
 was read so far are popped and matching goes on at the failure link, the node of what is left over;
 the number of popped pieces is precomputed, so a word takes time in proportion to its length and
 nothing is matched twice. All distinct words of a batch step through the automaton together: one
-array operation per byte position, transitions found by binary search in the sorted edges.
+array operation per byte position, transitions found by binary search in the sorted edges. Where
+only a few long words are left, each is read to its end by itself.
 
 The vocabulary comes from the file of a byte-level vocabulary, a parameter, read where it lies:
 its tokens that begin with a space's symbol begin a word, all others continue one. A word that
-pieces cannot cover counts as one unknown token, as does a word of more than ``max_bytes`` bytes.
+pieces cannot cover counts as one unknown token, as does a word of more than ``max_bytes`` bytes,
+if there is such a limit. The registered query has none.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text, unchanged. Defined results: null or empty
 text has no words and no tokens. Any id, repeated rows and other columns don't matter; each row is
@@ -30,6 +32,8 @@ from tallyroll.llm import kernels as K
 from tallyroll.llm.bpe import byte_symbols
 
 MAX_BYTES = 200
+# So many words or fewer are read one by one, which then takes less time than array operations.
+FEW = 64
 RESULT = "doc_id long, n_words long, n_tokens long, n_unknown long"
 
 
@@ -98,6 +102,8 @@ class Automaton:
         order = sorted(edges)
         self.keys = np.array([node << 8 | byte for node, byte in order], np.int64)
         self.to = np.array([edges[key] for key in order], np.int64)
+        self.ways = dict(zip(self.keys.tolist(), self.to.tolist(), strict=True))
+        self.links = list(zip(self.fail.tolist(), self.pops.tolist(), strict=True))
 
     def step(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
         """Where each node goes with its byte, or -1."""
@@ -105,6 +111,18 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
         return np.where(self.keys[at] == key, self.to[at], -1) if len(self.keys) else np.full(len(node), -1)
 
+    def read(self, node: int, popped: int, word: bytes) -> tuple[int, int]:
+        """Node (-1: not covered) and number of popped pieces after the bytes of one word."""
+        ways, links = self.ways, self.links
+        for byte in word:
+            while (to := ways.get(node << 8 | byte)) is None:
+                node, more = links[node]
+                popped += more
+                if node < 0:
+                    return node, popped
+            node = to
+        return node, popped
+
     def count(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Number of pieces of each word, -1 if they can't cover it."""
         total = np.zeros(len(start), np.int64)
@@ -112,8 +130,13 @@ class Automaton:
         size = (end - start)[order]
         node = np.zeros(len(start), np.int64)
         popped = np.zeros(len(start), np.int64)
+        shortest_last = -size
         for i in range(int(size.max(initial=0))):
-            n = int(np.searchsorted(-size, -i, side="left"))
+            n = int(np.searchsorted(shortest_last, -i, side="left"))
+            if n <= FEW:
+                for k in np.flatnonzero(node[:n] >= 0).tolist():
+                    node[k], popped[k] = self.read(int(node[k]), int(popped[k]), data[start[order[k]] + i : end[order[k]]].tobytes())
+                break
             live = np.flatnonzero(node[:n] >= 0)
             byte = data[start[order[live]] + i].astype(np.int64)
             while len(live):
@@ -140,7 +163,7 @@ def automaton(path: str) -> Automaton:
     return Automaton(*pieces_of(path))
 
 
-def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", max_bytes: int = MAX_BYTES) -> DataFrame:
+def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", max_bytes: int | None = MAX_BYTES) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_tokens, n_unknown``."""
     path = path or vocabulary_path()
 
@@ -153,7 +176,7 @@ def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id
                 size = found.end - found.start
                 # Words that agree in 64 bits of hash and in length are one word.
                 _, first, back = np.unique(found.hash, return_index=True, return_inverse=True)
-                fit = size[first] <= max_bytes
+                fit = np.full(len(first), True) if max_bytes is None else size[first] <= max_bytes
                 pieces = np.full(len(first), -1, np.int64)
                 pieces[fit] = automaton(path).count(data, found.start[first][fit], found.end[first][fit])
                 unknown = pieces[back] < 0

@@ -5,7 +5,8 @@ import re
 import numpy as np
 import pytest
 
-from tallyroll.llm.wordpiece import MAX_BYTES, Automaton, pieces_of, token_counts, vocabulary_path
+from tallyroll.llm.catalogue import op4_token_counts
+from tallyroll.llm.wordpiece import FEW, MAX_BYTES, Automaton, pieces_of, token_counts, vocabulary_path
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -58,3 +59,40 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as n_words", "2 as low")
     check(docs)
     assert token_counts(docs.limit(0)).collect() == []
+
+
+def greedy_bounded(word, first, rest, most):
+    """As ``greedy``, trying no end beyond the size of the longest piece."""
+    at, count, own = 0, 0, first
+    while at < len(word):
+        end = next((e for e in range(min(len(word), at + most), at, -1) if word[at:e] in own), None)
+        if end is None:
+            return -1
+        at, count, own = end, count + 1, rest
+    return count
+
+
+def test_registered_query_counts_long_words(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    letters = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789/_-=日本語"), 100_000))
+    texts = [letters, "the\u00e9" * 30_000, "日本語" * 23, "https://" + "a1/" * 71, "x" * 201 + " tokens", None]
+    # More long words than are read one by one.
+    texts.append(" ".join(letters[k * 1000 : k * 1000 + 300 + k] for k in range(FEW + 30)))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    first, rest = pieces_of(vocabulary_path())
+    most = max(map(len, first | rest))
+    for row in op4_token_counts(spark, str(tmp_path)).collect():
+        counts = [greedy_bounded(w, first, rest, most) for w in WORD.findall((texts[row.doc_id] or "").encode())]
+        assert row[1:] == (len(counts), sum(max(c, 1) for c in counts), sum(c < 0 for c in counts))
+        assert row.n_tokens > row.n_words or not counts
+
+
+def test_long_words_of_small_vocabularies():
+    rng = np.random.default_rng(8)
+    first, rest = {b"a", b"ab", b"ba"}, {b"a", b"abb", b"bab", b"b"}
+    words = [bytes(rng.choice(list(b"abc"), int(rng.integers(1, 3000)), p=[0.5, 0.4999, 0.0001]).tolist()) for _ in range(3 * FEW)]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    got = Automaton(first, rest).count(data, end - [len(w) for w in words], end)
+    expected = [greedy_bounded(w, first, rest, 3) for w in words]
+    assert got.tolist() == expected and -1 in expected and max(expected) > 500
