@@ -176,6 +176,16 @@ def warehouse_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_stored(rows, path)
 
 
+def warehouse_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loads of ``warehouse_load`` with the rows of each day, a partition for each."""
+    metric, path = METRICS["total_quantity_per_prod"], scratch_path(spark, "warehouse")
+    first, last = _order_days(spark, sf_dir).agg(F.min("run_date"), F.max("run_date")).first()
+    for where in (FIRST_LOAD, None, None):
+        rows = warehouse.position_rows(metric, _daily_rows(metric, spark, sf_dir, where))
+        warehouse.load(rows, path, first, last, by_content=False)
+    return warehouse.read_stored(rows, path)
+
+
 def history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all carts on the first of their month, with snapshots of those weeks; run; read a metric back."""
     base, metric = scratch_path(spark, "shop"), METRICS["rev_prod_cat"]
@@ -302,6 +312,7 @@ def catalogue() -> dict[str, Query]:
         "table_of_published": table_of_published,
         "published_range": published_range,
         "warehouse_load": warehouse_load,
+        "warehouse_daily_roundtrip": warehouse_daily_roundtrip,
         "history_roundtrip": history_roundtrip,
         "day_roundtrip": day_roundtrip,
         "m01_fine_prices": fine_prices,
