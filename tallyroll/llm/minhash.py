@@ -216,7 +216,10 @@ def _sets(column: pa.Array) -> list[np.ndarray]:
 
 
 def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, id, h, n_shingles, component``: for each row of ``docs`` (as from ``keyed``) the smallest id it reaches."""
+    """``doc_id, id, h, n_shingles, component, component_h``: for each row of ``docs`` (as from ``keyed``) the smallest id it reaches.
+
+    ``component_h`` is the ``h`` of the row that stands for the group, the smallest of those with that id.
+    """
     rows = settle(signed(docs), "signed")
     whole = rows.filter("n_shingles > 0")
     classes = settle(whole.groupBy("node").agg(F.min(F.struct("id", "h")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
@@ -249,10 +252,11 @@ def groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     if not more.isEmpty():
         label = components(links.unionByName(more)).withColumnRenamed("root", "part")
 
-    named = classes.join(label, "node", "left").select("node", F.coalesce("part", "node").alias("part"), F.col("first.id").alias("id"))
-    smallest = named.groupBy("part").agg(F.min("id").alias("component"))
-    named = named.join(smallest, "part").select("node", "component")
-    return rows.join(named, "node", "left").select("doc_id", "id", "h", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id")).alias("component"))
+    named = classes.join(label, "node", "left").select("node", F.coalesce("part", "node").alias("part"), "first")
+    smallest = named.groupBy("part").agg(F.min("first").alias("first"))
+    named = named.drop("first").join(smallest, "part").select("node", F.col("first.id").alias("component"), F.col("first.h").alias("component_h"))
+    own = [F.when(F.col("n_shingles") > 0, F.col(c)).otherwise(F.col(other)).alias(c) for c, other in (("component", "id"), ("component_h", "h"))]
+    return rows.join(named, "node", "left").select("doc_id", "id", "h", "n_shingles", *own)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -262,9 +266,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stand for their group."""
-    gone = groups(keyed(docs, id_col, text_col), percent).filter("id <> component").select("id", "h").distinct()
+    """One row of ``docs`` for each group, that with the smallest id and hash; of rows equal in both, any one."""
+    found = groups(keyed(docs, id_col, text_col), percent).filter("n_shingles > 0")
+    stays = (F.col("id") == F.col("component")) & (F.col("h") == F.col("component_h"))
+    marks = settle(found.groupBy("id", "h", stays.alias("stays")).agg(F.count("*").alias("times")).filter("NOT stays OR times > 1"), "marks")
+    gone, repeated = marks.select("id", "h"), marks.filter("stays").select("id", "h")
     mark = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))]
     names = docs.columns
     own = docs.select(F.struct(*(F.col(f"`{n}`") for n in names)).alias("row"), mark[0].alias("id"), mark[1].alias("h"))
-    return own.join(gone, ["id", "h"], "left_anti").select(*(F.col("row").getField(n).alias(n) for n in names))
+    kept = own.join(gone, ["id", "h"], "left_anti")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(own.join(repeated, ["id", "h"], "left_semi").dropDuplicates(["id", "h"]))
+    return kept.select(*(F.col("row").getField(n).alias(n) for n in names))

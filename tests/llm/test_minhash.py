@@ -104,6 +104,20 @@ def test_odd_rows(spark):
     assert near_duplicates(docs.limit(0)).collect() == []
 
 
+def test_one_row_of_a_group_stays(spark):
+    near = [" ".join(f"w{i if i != at else -at}" for i in range(60)) for at in (0, 30)]
+    data = [
+        (1, "a b c d e f"), (1, "a b c d e f"), (1, "A b c d e f"), (2, "a b c d e f"), (4, near[0]), (4, near[1]), (5, near[1]),
+        (None, "q r s t u v"), (None, "q r s t u v"), (None, "Q r s t u v"), (None, "some other text of its own"), (7, ""), (7, ""),
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "map('a', 1) as more")
+    kept = keep_one(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), (r.text or "").lower()) for r in kept.collect())
+    assert [i for i, _ in got] == ["1", "4", "7", "7", "None", "None"]
+    assert [t for i, t in got if i in ("1", "None")] == ["a b c d e f", "q r s t u v", "some other text of its own"]
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 400, (260, 2))] + [(1000 + i, 1001 + i) for i in range(60)] + [(5000, x) for x in range(5001, 5200)]
