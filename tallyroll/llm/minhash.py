@@ -11,8 +11,8 @@ meet the threshold. Links are made in steps that never emit all pairs of a group
    keys where the bound is too low have no link. Every key's head is the class with the
    smallest share of such shingles, for a family's original has few. Each class is verified
    against the head it shares most keys with. Verified links give components.
-3. Classes that share a band's key but not a component are met in full, if a one-bit sketch of
-   their signatures doesn't rule the pair out, and verified. Then the components are final.
+3. Classes that share a band's key with another component are met across components by prefix
+   filtering on their full sets, which loses no pair, and verified. Then the components are final.
 
 Step 3 finds every candidate pair that could still join two components, so no link that the
 bands see is lost; within a component further links change nothing. With 40 bands of 4
