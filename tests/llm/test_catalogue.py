@@ -9,7 +9,7 @@ from tallyroll.llm.catalogue import catalogue, oracle_sql
 
 
 def test_names():
-    assert {name.split("_")[0] for name in catalogue()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in catalogue()} == {f"op{n}" for n in range(1, 14)}
     assert set(catalogue()) | {"pipeline"} <= set(contract.queries())
     assert set(oracle_sql()) <= set(catalogue()) and set(oracle_sql()) <= set(contract.oracle_sql())
 
@@ -17,7 +17,8 @@ def test_names():
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    for table in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
     assert check(catalogue()[name](spark, sf_dir), con, oracle_sql()[name]) > 0
 
 
