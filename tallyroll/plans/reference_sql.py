@@ -208,7 +208,14 @@ SELECT CAST(iso_year AS BIGINT) AS iso_year, CAST(iso_week AS BIGINT) AS iso_wee
         "json_arrays_users": _FLAT_USERS,
         "json_arrays_products": f"WITH {PRODUCTS} SELECT {_FLAT_PRODUCT} FROM products",
         "json_arrays_carts": _CART_LINES.format(buyer="o_orderkey"),
-        "csv_roundtrip": "SELECT * REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem",
+        "raw_quarantine": """WITH carts AS (
+  SELECT o_orderkey AS id, count(l_orderkey) AS n_products, o_orderkey // 500 AS file FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+)
+SELECT id, n_products, 'read' AS state FROM carts WHERE file % 7 <> 3 AND (id % 97 <> 0 OR n_products = 0)
+UNION ALL SELECT id, NULL, 'a field of another type' FROM carts WHERE file % 7 <> 3 AND id % 97 = 0 AND n_products > 0
+UNION ALL SELECT DISTINCT file, CAST(NULL AS BIGINT), 'not one JSON document or array' FROM carts WHERE file % 7 = 3""",
+        "csv_roundtrip": """SELECT * REPLACE (CAST(l_orderkey AS INTEGER) AS l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey,
+  CAST(l_suppkey AS INTEGER) AS l_suppkey, CAST(l_shipdate AS DATE) AS l_shipdate) FROM lineitem""",
         "table_of_path": """SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders
 UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     }
