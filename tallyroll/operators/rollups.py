@@ -47,23 +47,38 @@ def _rated_products(products: DataFrame, weekly: bool, dedupe_dims: bool, places
     return rows.select(*week, "product_ID", "category", *_rated(F.col("price"), F.col("rate"), F.col("count"), places))
 
 
+def _named(columns: list[Column], name: str, places: int) -> list[Column]:
+    return [column.alias(n) for column, n in zip(columns, money.limb_names(name, places), strict=True)]
+
+
 def _rated(price: Column, rate: Column, votes: Column, places: money.Places) -> list[Column]:
     return [
-        money.to_ticks(price, places.price).alias("price_ticks"),
-        (money.to_ticks(rate, places.rate) * votes).alias("points"),
+        *_named(money.limbs(price, places.price), "price_ticks", places.price),
+        *_named([limb * votes for limb in money.limbs(rate, places.rate)], "points", places.rate),
         votes.alias("votes"),
     ]
 
 
-def _product_measures(units: Column, lines: Column) -> list[Column]:
+def _products_of(factor: str, by: Column, name: str, places: int) -> list[Column]:
+    """The amount ``factor`` times ``by``, limb by limb, each a pair of bigints."""
+    pairs = zip(money.limb_names(factor, places), money.limb_names(name, places), strict=True)
+    return [part for limb, out in pairs for part in money.wide_product(F.col(limb), by, out)]
+
+
+def _product_measures(units: Column, lines: Column, places: money.Places) -> list[Column]:
     """Revenue of ``units`` and rating weights of ``lines`` of one product, as pairs of bigints."""
     return [
-        *money.wide_product(F.col("price_ticks"), units, "revenue"),
-        *money.wide_product(F.col("points"), lines, "rating_points"),
+        *_products_of("price_ticks", units, "revenue", places.price),
+        *_products_of("points", lines, "rating_points", places.rate),
         *money.wide_product(F.col("votes"), lines, "rating_votes"),
     ]
 
 
+def _price_totals(places: money.Places) -> list[Column]:
+    pairs = zip(money.limb_names("price_ticks", places.price), money.limb_names("price_total", places.price), strict=True)
+    return [part for limb, out in pairs for part in money.wide_parts(F.col(limb), out)]
+
+
 def _fits(dim: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **_) -> bool:
     return measured_bytes(dim) <= broadcast_bytes
 
@@ -107,7 +122,7 @@ def product_sales(
     if weekly:
         weighed = with_week(weighed)
     return weighed.join(rows, [*week, "product_ID"], "left").select(
-        *by, "product_ID", "category", "units", "lines", *_product_measures(F.col("units"), F.col("lines"))
+        *by, "product_ID", "category", "units", "lines", *_product_measures(F.col("units"), F.col("lines"), places)
     )
 
 
@@ -130,22 +145,27 @@ def buyer_sales(
     fields = USER_FIELDS if by_id else ("city",)
     if dedupe_dims:
         # By all fields, so that the row kept is the same everywhere.
-        prices = _rated_products(products, weekly, dedupe_dims, places).select(*week, "product_ID", "price_ticks")
+        prices = _rated_products(products, weekly, dedupe_dims, places).select(*week, "product_ID", *money.limb_names("price_ticks", places.price))
         user_rows = dedupe(user_dim(users, weekly=weekly), [*week, "User_ID"]).select(*week, "User_ID", *fields)
     else:
-        price = money.to_ticks(F.col("price"), places.price).alias("price_ticks")
-        prices = product_dim(products, fields=("price",), weekly=weekly).select(*week, "product_ID", price)
+        price = _named(money.limbs(F.col("price"), places.price), "price_ticks", places.price)
+        prices = product_dim(products, fields=("price",), weekly=weekly).select(*week, "product_ID", *price)
         user_rows = user_dim(users, fields, weekly)
     valued = lookup_join(
         with_week(lines) if weekly else lines, prices, [*week, "product_ID"], LINE_IDENTITY, **join_options
     )
     priced = F.col("price_ticks").isNotNull().cast("bigint")
+    if isinstance(places.price, money.Scale):
+        revenue = _products_of("price_ticks", F.col("quantity"), "revenue", places.price)
+    else:
+        # A price in ticks times one line's quantity is a bigint.
+        revenue = money.wide_parts(F.col("price_ticks") * F.col("quantity"), "revenue")
     valued = valued.select(
         *by,
         "User_ID",
         F.col("quantity").alias("units"),
-        *money.wide_parts(F.col("price_ticks") * F.col("quantity"), "revenue"),
-        *money.wide_parts(F.col("price_ticks"), "price_total"),
+        *revenue,
+        *_price_totals(places),
         priced.alias("priced_lines"),
     )
     measures = [name for name in valued.columns if name not in (*by, "User_ID")]
@@ -166,7 +186,7 @@ def line_measures(enriched: DataFrame, places: money.Places = money.Places()) ->
         *enriched.columns,
         F.col("quantity").alias("units"),
         F.col("product_ID").isNotNull().cast("bigint").alias("lines"),
-        *_product_measures(F.col("quantity"), one),
-        *money.wide_parts(F.col("price_ticks"), "price_total"),
+        *_product_measures(F.col("quantity"), one, places),
+        *_price_totals(places),
         F.col("price_ticks").isNotNull().cast("bigint").alias("priced_lines"),
     )

@@ -244,6 +244,22 @@ def fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric.compute(product_sales(star.sale_lines(spark, sf_dir), fine, places=places), places=places)
 
 
+def any_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by category, total and mean price by user with prices of very different size, a third of them without an end."""
+    size, price = F.col("Product_ID") % 4, F.col("price")
+    products, users = _dims(spark, sf_dir)
+    priced = F.when(size == 0, price / F.lit(3.0)).when(size == 1, price * F.lit(1e-7)).when(size == 2, price * F.lit(1e5)).otherwise(price)
+    products = settle(products.withColumn("price", priced), "priced")
+    places, found = money.places_needed(products), []
+    lines = star.sale_lines(spark, sf_dir, owner=True)
+    sums = {"product": product_sales(lines, products, places=places), "buyer": buyer_sales(lines, products, users, places=places)}
+    for name in ("revenue_by_category", "total_day_revenue", "avg_ordval_per_user"):
+        metric = METRICS[name]
+        key = F.col(metric.keys[0]).cast("string") if metric.keys else F.lit(None).cast("string")
+        found.append(metric.compute(sums[metric.source], ordered=False, places=places).select(F.lit(name).alias("metric"), key.alias("key"), F.col(metric.output).alias("value")))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 def json_arrays(kind: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as files of one indented JSON array each, read back and flattened."""
     path = scratch_path(spark, "json")
@@ -344,6 +360,7 @@ def catalogue() -> dict[str, Query]:
         "history_roundtrip": history_roundtrip,
         "day_roundtrip": day_roundtrip,
         "m01_fine_prices": fine_prices,
+        "any_prices": any_prices,
         **{f"json_arrays_{kind}": partial(json_arrays, kind) for kind in ("users", "products", "carts")},
     }
     for number, metric in enumerate(METRICS.values(), start=1):

@@ -18,11 +18,11 @@ BUYER_KEYS = ("User_ID", "firstname", "lastname", "email")
 
 
 def _revenue(places: money.Places) -> Column:
-    return money.amount(money.wide_total("revenue"), places.price).cast("double")
+    return money.total("revenue", places.price)
 
 
 def _revenue_cents(places: money.Places) -> Column:
-    return F.round(money.amount(money.wide_total("revenue"), places.price), 2).cast("double")
+    return money.total_half_up("revenue", 2, places.price)
 
 
 def _units(places: money.Places) -> Column:
@@ -34,11 +34,11 @@ def _lines(places: money.Places) -> Column:
 
 
 def _mean_price(places: money.Places) -> Column:
-    return money.ratio_half_up(money.wide_total("price_total"), F.sum("priced_lines"), 2, places.price)
+    return money.mean_half_up("price_total", F.sum("priced_lines"), 2, places.price)
 
 
 def _mean_rating(places: money.Places) -> Column:
-    return money.ratio_half_up(money.wide_total("rating_points"), money.wide_total("rating_votes"), 1, places.rate)
+    return money.mean_half_up("rating_points", money.wide_total("rating_votes"), 1, places.rate)
 
 
 @dataclass(frozen=True)

@@ -221,6 +221,16 @@ UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     }
     fine = _wide().replace("p_retailprice AS price", "p_retailprice + p_size / 1000000.0 AS price")
     found["m01_fine_prices"] = _metric(fine, *_METRICS[0][1:], dated=False)
+    # Whole numbers of 1e-22, from the decimal text of each price.
+    found["any_prices"] = f"""WITH {PRODUCTS}, priced AS (
+  SELECT id, category, CASE id % 4 WHEN 0 THEN price / 3.0::DOUBLE WHEN 1 THEN price * 1e-7::DOUBLE WHEN 2 THEN price * 1e5::DOUBLE ELSE price END AS price FROM products
+),
+units AS (SELECT id, category, CAST(replace(CAST(CAST(CAST(price AS VARCHAR) AS DECIMAL(38,22)) AS VARCHAR), '.', '') AS HUGEINT) AS u FROM priced), {_lines("o_custkey")},
+wide AS (SELECT l.*, u.category, u.u FROM lines l JOIN units u ON u.id = l.product)
+SELECT 'revenue_by_category' AS metric, category AS key, CAST(CAST(sum(u * quantity) AS VARCHAR) || 'e-22' AS DOUBLE) AS value FROM wide GROUP BY category
+UNION ALL SELECT 'total_day_revenue', NULL, CAST((2 * sum(u * quantity) + 100000000000000000000) // 200000000000000000000 AS DOUBLE) / 100 FROM wide
+UNION ALL SELECT 'avg_ordval_per_user', CAST(buyer AS VARCHAR), CAST((2 * sum(u) + count(*) * 100000000000000000000) // (2 * count(*) * 100000000000000000000) AS DOUBLE) / 100
+FROM wide GROUP BY buyer"""
     by_month = ("CAST(o_orderdate AS DATE) AS run_date", "CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date")
     found["history_roundtrip"] = _metric(_wide().replace(*by_month), *_METRICS[8][1:], dated=True)
     found["warehouse_load"] = found["warehouse_rerun"].replace(*by_month)

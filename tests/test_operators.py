@@ -1,9 +1,11 @@
 """Joins of large dimensions, numbering, arithmetic, calendar, readers, landing."""
 
 import os
+import random
 from collections import Counter
 from datetime import date, timedelta
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from hypothesis import given, settings
@@ -225,8 +227,79 @@ def test_ticks(spark):
     assert money.places_needed(fine) == (5, 4)
     assert money.places_needed(fine.limit(0)) == (4, 4)
     assert fine.select(money.to_ticks(F.col("price"), 5)).first()[0] == 4
-    with pytest.raises(money.TooFine, match="price 1e-12"):
-        money.places_needed(spark.createDataFrame([(1e-12, 1.0)], "price double, rate double"))
+    # Finer ones are cut into limbs, as many as the digits from the finest to the largest value take.
+    for value, places, limbs in ((1e-12, 12, 1), (1e15, 4, 2), (1 / 3, 16, 2), (-2.5e-300, 301, 1), (1.5e300, 4, 34)):
+        found = money.places_needed(spark.createDataFrame([(value, 1.0), (None, None)], "price double, rate double"))
+        assert (found.price, found.price.limbs, found.rate) == (places, limbs, 4), value
+    for value in (float("nan"), float("inf"), -float("inf")):
+        with pytest.raises(money.NotFinite, match="rate"):
+            money.places_needed(spark.createDataFrame([(1.0, value)], "price double, rate double"))
+
+
+# Products with prices and rates of all sizes; the value of a double is its shortest decimal.
+WILD = {
+    "as ticks": [0.1, 0.2, 19.99, 7.0],
+    "thirds": [1 / 3, 1e-12, 1e15, 0.1],
+    "negative": [-1 / 3, 1 / 3, -1e15, 1e-12, -7.25],
+    "cancelling": [1e22, -1e22, 1e-9, 1 / 7],
+    "far apart": [1e40, -1e40, 3e-40, 2.5],
+    "large": [123456789012345678.0, 1e16, 9007199254740993.0, 0.5],
+    "halves": [0.005, 0.015, 1.005, 2.675, 1e-13],
+}
+
+
+@pytest.mark.parametrize("name", WILD)
+def test_sums_of_any_doubles_are_exact(spark, name):
+    prices = WILD[name]
+    exact = [Fraction(Decimal(repr(p))) for p in prices]
+    rng = random.Random(1)
+    rows = [(i % 5, i % len(prices), rng.choice([1, 6, 70_000]), i) for i in range(60)]
+    lines = spark.createDataFrame(rows, "User_ID long, product_ID long, quantity long, cart_id long").repartition(7)
+    products = spark.createDataFrame([(i, f"c{i % 2}", p, i + 1, abs(p) if abs(p) < 1e9 else 1 / 3) for i, p in enumerate(prices)], "Product_ID long, category string, price double, count long, rate double")
+    users = spark.createDataFrame([(u, f"city{u % 2}", "e", "f", "l") for u in range(5)], "User_ID long, city string, email string, firstname string, lastname string")
+    places = money.places_needed(products)
+    sums = {"product": product_sales(lines, products, places=places), "buyer": buyer_sales(lines, products, users, places=places), "lines": line_measures(enrich(lines, products, users), places)}
+
+    def result(metric, source):
+        return {tuple(r)[:-1]: r[-1] for r in METRICS[metric].compute(sums[source], places=places).collect()}
+
+    def nearest(values):
+        return float(sum(values, Fraction(0)))
+
+    def rounded(value, digits):
+        whole = (abs(value) * 10**digits * 2 + 1) // 2
+        return (-1 if value < 0 else 1) * float(whole) / 10**digits
+
+    by_category = {(c,): [exact[p] * q for _, p, q, _ in rows if f"c{p % 2}" == c] for c in ("c0", "c1")}
+    by_user = {u: [(p, q) for w, p, q, _ in rows if w == u] for u in range(5)}
+    for source in ("product", "lines"):
+        assert result("revenue_by_category", source) == {k: nearest(v) for k, v in by_category.items()}
+        # A total without a digit left to round is given as it is.
+        whole = sum((x for v in by_category.values() for x in v), Fraction(0))
+        assert result("total_day_revenue", source)[()] == (rounded(whole, 2) if abs(whole) < 10**15 else pytest.approx(float(whole), rel=1e-15))
+    for source in ("buyer", "lines"):
+        got = result("revenue_by_users_ID", source)
+        assert {k[0]: v for k, v in got.items()} == {u: nearest([exact[p] * q for p, q in of]) for u, of in by_user.items()}
+        means = {k[0]: v for k, v in result("avg_ordval_per_user", source).items()}
+        for u, of in by_user.items():
+            mean = sum((exact[p] for p, _ in of), Fraction(0)) / len(of)
+            assert means[u] == (rounded(mean, 2) if abs(mean) < 10**13 else pytest.approx(float(mean), rel=1e-15)), (u, mean)
+    rates = [Fraction(Decimal(repr(abs(p) if abs(p) < 1e9 else 1 / 3))) for p in prices]
+    ratings = result("avg_rat_per_cat", "product")
+    for c in ("c0", "c1"):
+        of = [p for _, p, _, _ in rows if f"c{p % 2}" == c]
+        assert ratings[(c,)] == rounded(sum((rates[p] * (p + 1) for p in of), Fraction(0)) / sum(p + 1 for p in of), 1)
+
+
+def test_sums_of_any_doubles_do_not_depend_on_the_order(spark):
+    rng = random.Random(4)
+    prices = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-30, 30) for _ in range(200)]
+    products = spark.createDataFrame([(i, "c", p, 1, 1.0) for i, p in enumerate(prices)], "Product_ID long, category string, price double, count long, rate double")
+    places = money.places_needed(products)
+    want = float(sum((Fraction(Decimal(repr(p))) * (i % 9 + 1) for i, p in enumerate(prices)), Fraction(0)))
+    for parts in (1, 3, 8):
+        lines = spark.createDataFrame([(1, i, i % 9 + 1, i) for i in rng.sample(range(200), 200)], "User_ID long, product_ID long, quantity long, cart_id long").repartition(parts)
+        assert METRICS["revenue_by_category"].compute(product_sales(lines, products, places=places), places=places).first()[1] == want
 
 
 def test_fine_prices_keep_their_revenue(spark):
