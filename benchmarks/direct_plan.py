@@ -23,9 +23,8 @@ from tallyroll.operators.enrich import product_dim, user_dim, with_week
 from tallyroll.operators.flatten import flatten_products, flatten_users, sale_lines
 from tallyroll.operators.rollups import buyer_sales, line_measures, product_sales
 from tallyroll.plans import publish
-from tallyroll.plans.metrics import METRICS
 from tallyroll.session import build_session, scratch_path, settle
-from tallyroll.sources import zones
+from tallyroll.sources import landing, zones
 
 DAY = ("run_date",)
 
@@ -42,7 +41,7 @@ def main() -> None:
     out = scratch_path(spark, "benchmark")
     start = time.perf_counter()
 
-    carts = zones.read_table(spark, zones.zone(base, "raw", "carts"), only=zones.between("run_date", first, last))
+    carts = landing.read_carts(spark, base, first, last)
     products = flatten_products(zones.read_table(spark, zones.zone(base, "raw", "products")), keep=WEEK_KEY)
     users = flatten_users(zones.read_table(spark, zones.zone(base, "raw", "users")), keep=WEEK_KEY)
     lines = sale_lines(carts, buyer_col, by=DAY)
@@ -67,7 +66,7 @@ def main() -> None:
         print("rollups", round(time.perf_counter() - start, 1), flush=True)
 
     days = [r.run_date for r in carts.select("run_date").distinct().collect()]
-    publish.run_jobs([lambda m=m: publish.publish_days(m, sales[m.source], out, days, days) for m in METRICS.values()])
+    publish.publish(spark, out, days, lambda m, folder: publish.stage_days(m, sales[m.source], folder, days))
     print(way, "total", round(time.perf_counter() - start, 1))
 
 

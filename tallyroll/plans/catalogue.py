@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,53 +186,69 @@ def warehouse_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_stored(rows, path)
 
 
+def _all_published(spark: SparkSession, base: str, first: date, last: date) -> DataFrame:
+    """The rows of all twelve tables: metric, day, keys as one text, value."""
+    found = []
+    for metric in METRICS.values():
+        table = publish.read_published(spark, base, metric.name, first, last)
+        key = F.concat_ws("|", *(F.coalesce(F.col(name).cast("string"), F.lit("-")) for name in metric.keys))
+        found.append(table.select(F.lit(metric.name).alias("metric"), "run_date", key.alias("key"), F.col(metric.output).cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land all carts on the first of their month, with snapshots of those weeks; run; read a metric back."""
-    base, metric = scratch_path(spark, "shop"), METRICS["rev_prod_cat"]
-    month = F.trunc(F.to_date("date"), "month")
-    landing.land_carts_history(star.carts(spark, sf_dir).withColumn("date", calendar.day_label(month)), base)
-    # One row for each month of the table.
-    days = [r.day for r in _order_days(spark, sf_dir).select(F.trunc("run_date", "month").alias("day")).distinct().collect()]
-    weeks = F.array(*(F.struct(F.lit(y).alias("iso_year"), F.lit(w).alias("iso_week")) for y, w in sorted({d.isocalendar()[:2] for d in days})))
-    for kind, rows in (("products", star.products(spark, sf_dir)), ("users", star.users(spark, sf_dir))):
-        landing.land_weekly_history(rows.select("*", F.explode(weeks).alias("week")).select("*", "week.*").drop("week"), base, kind)
+    """Land the carts of all days and the snapshots of all weeks; run the history; read all twelve tables back."""
+    base, days = scratch_path(spark, "shop"), _days(spark, sf_dir)
+    landing.land_carts_history(star.carts(spark, sf_dir), base)
+    # A snapshot for each week with orders, also for those in which nothing was shipped: it has an id that no one buys.
+    weeks = spark.createDataFrame(sorted({d.isocalendar()[:2] for d in days}), "iso_year int, iso_week int")
+    for kind, rows in (("products", star.weekly_products(spark, sf_dir)), ("users", star.weekly_users(spark, sf_dir))):
+        landing.land_weekly_history(rows.unionByName(weeks.withColumn("id", F.lit(-1).cast("bigint")), allowMissingColumns=True), base, kind)
     run_history(spark, base, min(days), max(days), buyer_col="userId")
-    return publish.read_published(spark, base, metric.name, min(days), max(days)).select("run_date", *metric.keys, metric.output)
+    return _all_published(spark, base, min(days), max(days))
+
+
+def _days(spark: SparkSession, sf_dir: str, monthly: bool = False) -> list[date]:
+    """One for each day, or month, of the table."""
+    day = F.trunc("run_date", "month") if monthly else F.col("run_date")
+    return [r.day for r in _order_days(spark, sf_dir).select(day.alias("day")).distinct().collect()]
+
+
+def _stage_daily(spark: SparkSession, sf_dir: str, days: list[date], monthly: bool = False) -> Callable[[Metric, str], dict[str, int]]:
+    return lambda metric, folder: publish.stage_days(metric, sales(metric, spark, sf_dir, dated=True, monthly=monthly), folder, days)
 
 
 def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric = METRICS["rev_prod_cat"]
-    path = zones.zone(scratch_path(spark, "published"), "analytics", metric.name)
-    zones.replace_partitions(_daily_rows(metric, spark, sf_dir), path, by=["run_date"], order=metric.order())
-    return zones.read_table(spark, path).select("run_date", *metric.keys, metric.output)
+    base, days = scratch_path(spark, "published"), _days(spark, sf_dir)
+    publish.publish(spark, base, days, _stage_daily(spark, sf_dir, days), [metric])
+    return publish.read_published(spark, base, metric.name, min(days), max(days)).select("run_date", *metric.keys, metric.output)
 
 
 def day_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land all carts as those of one day, with that week's snapshots; run the day; read a metric back."""
-    base, metric, day = scratch_path(spark, "shop"), METRICS["rev_prod_cat"], calendar.parse_day(STAMP_DATE)
+    """Land all carts as those of one day, with that week's snapshots; run the day; read all twelve tables back."""
+    base, day = scratch_path(spark, "shop"), calendar.parse_day(STAMP_DATE)
     landing.land_carts(star.carts(spark, sf_dir), base, day)
     landing.land_weekly(star.products(spark, sf_dir), base, "products", day)
     landing.land_weekly(star.users(spark, sf_dir), base, "users", day)
-    run_day(spark, base, day)
-    return publish.read_published(spark, base, metric.name, day, day).select("run_date", *metric.keys, metric.output)
+    run_day(spark, base, day, by_content=True)
+    return _all_published(spark, base, day, day)
 
 
 def published_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One year of the published days, read by its partitions."""
-    metric, base = METRICS["rev_prod_cat"], scratch_path(spark, "published")
-    path = zones.zone(base, "analytics", metric.name)
-    zones.replace_partitions(_daily_rows(metric, spark, sf_dir), path, by=["run_date"], order=metric.order())
+    """One year of the published days; the others are skipped by the files' statistics."""
+    metric, base, days = METRICS["rev_prod_cat"], scratch_path(spark, "published"), _days(spark, sf_dir)
+    publish.publish(spark, base, days, _stage_daily(spark, sf_dir, days), [metric])
     year = publish.read_published(spark, base, metric.name, date(1995, 1, 1), date(1995, 12, 31))
     return year.select("run_date", *metric.keys, metric.output)
 
 
 def table_of_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of published tables, each named by the path of its partitioned files."""
-    base, found = scratch_path(spark, "published"), []
-    for metric in (METRICS["revenue_by_category"], METRICS["total_day_revenue"]):
-        path = zones.zone(base, "analytics", metric.name)
-        zones.replace_partitions(_daily_rows(metric, spark, sf_dir, monthly=True), path, by=["run_date"], order=metric.order())
-        found.append(zones.read_table(spark, path).select("_metadata.file_path"))
+    """Rows of published tables, each named by the path of its files."""
+    base, days = scratch_path(spark, "published"), _days(spark, sf_dir, monthly=True)
+    names = ("revenue_by_category", "total_day_revenue")
+    publish.publish(spark, base, days, _stage_daily(spark, sf_dir, days, monthly=True), [METRICS[name] for name in names])
+    found = [publish.read_published(spark, base, name, min(days), max(days)).select("_metadata.file_path") for name in names]
     return found[0].unionByName(found[1]).groupBy(zones.table_name(F.col("file_path")).alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -297,8 +313,7 @@ def raw_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "landed")
     landing.land_carts_history(star.carts(spark, sf_dir), base)
-    landed = zones.read_table(spark, zones.zone(base, "raw", "carts"))
-    return explode_sale_lines(landed, "userId", by=("run_date",))
+    return explode_sale_lines(landing.read_carts(spark, base), "userId", by=("run_date",))
 
 
 def weekly_landing_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

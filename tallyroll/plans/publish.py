@@ -9,11 +9,12 @@ from datetime import date
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyroll.functions import money
 from tallyroll.plans.metrics import METRICS, Metric
-from tallyroll.sources import zones
-from tallyroll.sources.raw import MissingInput
+from tallyroll.session import remove
+from tallyroll.sources import versions, zones
 
 # Metric jobs over the rollups are short; a few at a time keep the executors busy.
 PARALLEL_JOBS = 4
@@ -46,47 +47,75 @@ def run_jobs(jobs: Iterable[Callable[[], object]], parallel: int = PARALLEL_JOBS
             done.result()
 
 
-def publish_day(metric: Metric, sales: DataFrame, base: str, run_date: date, places: money.Places = money.Places()) -> None:
-    """Replace one day of a metric table."""
+def _stage(result: DataFrame, folder: str, name: str) -> dict[str, int]:
+    path = zones.zone(folder, name)
+    result.write.parquet(path)
+    return versions.files(result.sparkSession, path)
+
+
+def stage_day(metric: Metric, sales: DataFrame, folder: str, run_date: date, places: money.Places = money.Places()) -> dict[str, int]:
+    """Write one day of a metric into the folder of a run; its files."""
     result = metric.compute(sales, places=places)
-    zones.replace_partition(result, zones.zone(base, "analytics", metric.name), {"run_date": run_date.isoformat()})
+    return _stage(result.select(F.lit(run_date).alias("run_date"), "*"), folder, metric.name)
 
 
-def publish_days(metric: Metric, sales: DataFrame, base: str, days: Sequence[date], sold: Sequence[date], places: money.Places = money.Places()) -> None:
-    """Replace the given days of a metric table, sorted within each day.
+def stage_days(metric: Metric, sales: DataFrame, folder: str, days: Sequence[date], places: money.Places = money.Places()) -> dict[str, int]:
+    """Write the given days of a metric, in the order of days and within each day, into the folder of a run.
 
-    Days that are not among ``sold`` become empty, or NULL where the metric has no keys.
+    Days are no folders: files are sorted by day, so a reader of a few days skips the others by the files' own statistics,
+    and a history of any length has as many files as it has tasks. A day without rows has none,
+    or one of NULL where the metric has no keys.
     """
-    spark, path = sales.sparkSession, zones.zone(base, "analytics", metric.name)
     result = metric.compute(sales, by=("run_date",), ordered=False, places=places)
     if not metric.keys:
-        all_days = spark.createDataFrame([(d,) for d in days], "run_date date")
+        all_days = sales.sparkSession.createDataFrame([(d,) for d in days], "run_date date")
         result = all_days.join(result, ["run_date"], "left")
-    zones.replace_partitions(result, path, by=["run_date"], order=metric.order())
-    if metric.keys:
-        nothing = spark.createDataFrame([], result.schema)
-        for day in sorted(set(days) - set(sold)):
-            zones.replace_partition(nothing, path, {"run_date": day.isoformat()})
+    order = [F.col("run_date"), *metric.order()]
+    return _stage(result.repartitionByRange(*order).sortWithinPartitions(*order), folder, metric.name)
+
+
+def publish(spark: SparkSession, base: str, days: Iterable[date], stage: Callable[[Metric, str], dict[str, int]], metrics: Iterable[Metric] = METRICS.values()) -> None:
+    """Replace some days of all metric tables at once: ``stage`` writes a metric into the folder it is given.
+
+    If one of them fails, no table changes.
+    """
+    analytics, name, added = zones.zone(base, "analytics"), versions.new_folder(), {}
+    folder = zones.zone(analytics, name)
+
+    def one(metric: Metric) -> None:
+        added[metric.name] = stage(metric, folder)
+
+    try:
+        run_jobs([lambda m=m: one(m) for m in metrics])
+        versions.commit(spark, analytics, name, [d.isoformat() for d in days], added)
+    except BaseException:
+        remove(spark, folder)
+        raise
 
 
 def check_day(spark: SparkSession, base: str, run_date: date) -> None:
-    """Every metric table has files for the day, be it without rows."""
-    for name in METRICS:
-        try:
-            zones.read_table(spark, zones.zone(base, "analytics", name, f"run_date={run_date.isoformat()}"))
-        except MissingInput as error:
-            raise MissingOutput(f"{name} has no files for {run_date}") from error
+    """Every metric table has its files for the day, be it without rows."""
+    check_days(spark, base, [run_date])
 
 
 def check_days(spark: SparkSession, base: str, days: Sequence[date]) -> None:
-    """Every metric table has a partition for each of ``days``."""
-    for name in METRICS:
-        there = {values.get("run_date") for _, values in zones.partitions(spark, zones.zone(base, "analytics", name))}
-        for day in sorted(days):
-            if day.isoformat() not in there:
-                raise MissingOutput(f"{name} has no files for {day}")
+    """Each of ``days`` is published, and every metric table has the files that its run wrote, no other and of their length."""
+    analytics = zones.zone(base, "analytics")
+    found = versions.current(versions.log(spark, analytics))
+    for day in sorted(days):
+        if day.isoformat() not in found:
+            raise MissingOutput(f"no files for {day}")
+    for commit in {found[day.isoformat()].folder: found[day.isoformat()] for day in days}.values():
+        for name in METRICS:
+            there, written = versions.files(spark, zones.zone(analytics, commit.folder, name)), commit.files.get(name, {})
+            if not written:
+                raise MissingOutput(f"{name} has no files for {commit.days[0]} to {commit.days[-1]}")
+            wrong = sorted(file for file in {*there, *written} if there.get(file) != written.get(file))
+            if wrong:
+                state = "is missing" if wrong[0] not in there else "was not written by its run" if wrong[0] not in written else "has another length"
+                raise MissingOutput(f"{name}: {commit.folder}/{wrong[0]} {state}")
 
 
 def read_published(spark: SparkSession, base: str, name: str, first: date, last: date) -> DataFrame:
-    """Published rows of a metric for a range of days; lists and scans only those partitions."""
-    return zones.read_table(spark, zones.zone(base, "analytics", name), only=zones.between("run_date", first, last))
+    """Published rows of a metric for a range of days, each day as its last run left it."""
+    return versions.read(spark, zones.zone(base, "analytics"), name, first, last)

@@ -6,6 +6,8 @@ the rollups too.
 
 from __future__ import annotations
 
+from tallyroll.plans.metrics import METRICS
+
 PRODUCTS = """
 products AS (
   SELECT p_partkey AS id, p_type AS category, p_retailprice AS price,
@@ -121,6 +123,16 @@ def _metric(with_wide: str, keys, measure: str, output: str, top: bool, dated: b
     return f"{with_wide} {sql}"
 
 
+def _all_metrics(with_wide: str, day: str) -> str:
+    """All twelve metrics, per day or for one: metric, day, keys as one text, value."""
+    dated, found = day == "run_date", []
+    for name, (_, keys, measure, output, top) in zip(METRICS, _METRICS, strict=True):
+        key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '-')" for k, _ in keys) or "''"
+        rows = _metric("", keys, measure, output, top, dated)
+        found.append(f"SELECT '{name}' AS metric, {day} AS run_date, {key} AS key, CAST({output} AS DOUBLE) AS value FROM ({rows}) t")
+    return f"{with_wide} " + " UNION ALL ".join(found)
+
+
 def _positions(name: str, rows: str) -> str:
     """Rows of a daily metric keyed by day and position."""
     _, keys, _, output, _ = next(m for m in _METRICS if m[0] == name)
@@ -232,7 +244,6 @@ UNION ALL SELECT 'total_day_revenue', NULL, CAST((2 * sum(u * quantity) + 100000
 UNION ALL SELECT 'avg_ordval_per_user', CAST(buyer AS VARCHAR), CAST((2 * sum(u) + count(*) * 100000000000000000000) // (2 * count(*) * 100000000000000000000) AS DOUBLE) / 100
 FROM wide GROUP BY buyer"""
     by_month = ("CAST(o_orderdate AS DATE) AS run_date", "CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date")
-    found["history_roundtrip"] = _metric(_wide().replace(*by_month), *_METRICS[8][1:], dated=True)
     found["warehouse_load"] = found["warehouse_rerun"].replace(*by_month)
     found["warehouse_daily_roundtrip"] = found["warehouse_rerun"]
     days = "SELECT DISTINCT date_trunc('month', o_orderdate) AS m, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"
@@ -246,6 +257,7 @@ UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""
             found[f"{label}_by_cart_id"] = _metric(_wide("o_orderkey"), *spec, dated=False)
         found[f"{label}_by_day_weekly"] = _metric(_wide_weekly(), *spec, dated=True)
     found["publish_roundtrip"] = found["m09_by_day"]
-    found["day_roundtrip"] = f"SELECT DATE '2025-04-14' AS run_date, t.* FROM ({found['m09_rev_prod_cat']}) t"
+    found["history_roundtrip"] = _all_metrics(_wide_weekly(), "run_date")
+    found["day_roundtrip"] = _all_metrics(_wide("o_orderkey"), "DATE '2025-04-14'")
     found["published_range"] = f"SELECT * FROM ({found['m09_by_day']}) t WHERE run_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
     return found

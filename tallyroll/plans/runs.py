@@ -14,7 +14,7 @@ from tallyroll.operators.rollups import buyer_sales, product_sales
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
 from tallyroll.session import settled
-from tallyroll.sources import zones
+from tallyroll.sources import landing, zones
 
 DAY = ("run_date",)
 
@@ -46,7 +46,7 @@ def run_day(
     """
     year, week, _ = run_date.isocalendar()
     snapshot = f"iso_year={year}/iso_week={week}"
-    carts = zones.read_table(spark, zones.zone(base, "raw", "carts", f"run_date={run_date.isoformat()}"))
+    carts = landing.read_carts(spark, base, run_date, run_date)
     products = flatten_products(zones.read_table(spark, zones.zone(base, "raw", "products", snapshot)))
     users = flatten_users(zones.read_table(spark, zones.zone(base, "raw", "users", snapshot)))
 
@@ -55,9 +55,7 @@ def run_day(
     per_buyer = buyer_sales(lines, products, users, dedupe_dims=dedupe_dims, places=places)
     with publish.materialised(per_product, per_buyer):
         sales = {"product": per_product, "buyer": per_buyer}
-        publish.run_jobs(
-            [lambda m=m: publish.publish_day(m, sales[m.source], base, run_date, places) for m in METRICS.values()]
-        )
+        publish.publish(spark, base, [run_date], lambda m, folder: publish.stage_day(m, sales[m.source], folder, run_date, places))
     publish.check_day(spark, base, run_date)
     load_warehouse(spark, base, run_date, run_date, by_content)
 
@@ -85,16 +83,14 @@ def run_history(
 ) -> None:
     """Metrics of every landed day from ``first`` to ``last`` in one go.
 
-    Each day meets the snapshots of its own ISO week. The days come from the names of the
-    landed partitions. The rollups are written to the shared scratch folder, so the carts are
+    Each day meets the snapshots of its own ISO week. The days come from the log of the
+    landed snapshots. The rollups are written to the shared scratch folder, so the carts are
     read once for each of them however many metrics there are (and once more for hot keys
     where prices are too large to broadcast), and a lost executor costs no rework of the fact.
     A landed day without any sale becomes empty in every table, as in ``run_day``.
     """
-    path = zones.zone(base, "raw", "carts")
-    inside = zones.between("run_date", first, last)
-    days = [date.fromisoformat(v["run_date"]) for _, v in zones.partitions(spark, path) if inside(v)]
-    carts = zones.read_table(spark, path, only=inside)
+    days = landing.landed_days(spark, base, first, last)
+    carts = landing.read_carts(spark, base, first, last)
     snapshots = {}
     for kind in ("products", "users"):
         snapshots[kind], weeks = _weeks(spark, base, kind, first, last)
@@ -111,8 +107,6 @@ def run_history(
             "product": keep(product_sales(lines, products, users, **options), "product_sales"),
             "buyer": keep(buyer_sales(lines, products, users, **options), "buyer_sales"),
         }
-        # At most one row for each day of the range.
-        sold = [r.run_date for r in sales["product"].select("run_date").distinct().collect()]
-        publish.run_jobs([lambda m=m: publish.publish_days(m, sales[m.source], base, days, sold, places) for m in METRICS.values()])
+        publish.publish(spark, base, days, lambda m, folder: publish.stage_days(m, sales[m.source], folder, days, places))
     publish.check_days(spark, base, days)
     load_warehouse(spark, base, first, last, by_content)

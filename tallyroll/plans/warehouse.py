@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroll.functions import calendar, keys
 from tallyroll.operators.numbering import number_rows
 from tallyroll.plans.metrics import Metric
-from tallyroll.session import settle
-from tallyroll.sources import zones
+from tallyroll.session import remove, settle
+from tallyroll.sources import versions, zones
+from tallyroll.sources.raw import MissingInput, empty
 
 KEY = ("static_date", "date_id")
 # A table of positions per day up to this many days is broadcast (about 50 bytes each).
@@ -73,20 +74,56 @@ def after_load(rows: DataFrame, stored: DataFrame, by_content: bool = True) -> D
     return stored.unionByName((fresh_rows if by_content else fresh_positions)(rows, stored))
 
 
-def read_stored(rows: DataFrame, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
-    """The stored table with the columns of ``rows``, or its days from ``first`` to ``last``; no rows if it does not exist yet."""
-    only = None if first is None or last is None else zones.between("static_date", first, last)
+def read_stored(
+    rows: DataFrame, path: str, first: date | None = None, last: date | None = None, commits: Sequence[versions.Commit] | None = None
+) -> DataFrame:
+    """The stored table with the columns of ``rows``, or its days from ``first`` to ``last``; no rows if it does not exist yet.
+
+    Only what has been committed, now or as of ``commits``; loads without one of those days are not listed.
+    """
+    spark = rows.sparkSession
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
-    return zones.read_table(rows.sparkSession, path, schema, missing="empty", only=only).select(*rows.columns)
+    low, high = first.isoformat() if first else "", last.isoformat() if last else "9999-12-31"
+    found = versions.log(spark, path) if commits is None else commits
+    paths = [zones.zone(path, commit.folder) for commit in found if any(low <= day <= high for day in commit.days)]
+    if not paths:
+        return empty(spark, schema)
+    table = spark.read.schema(schema).parquet(*paths)
+    return table if first is None and last is None else table.where(F.col("static_date").between(low, high))
+
+
+def read_warehouse(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A stored metric table as it is now."""
+    path = zones.zone(base, "warehouse", name)
+    commits = versions.log(spark, path)
+    if not commits:
+        raise MissingInput(f"no table at {path}")
+    return spark.read.parquet(*(zones.zone(path, commit.folder) for commit in commits))
 
 
 def load(rows: DataFrame, path: str, first: date, last: date, by_content: bool = True) -> None:
     """Create the table if absent, then append the rows whose key it lacks.
 
-    Only the days ``first`` to ``last`` of the table are listed and read. ``by_content=False`` is
-    for rows keyed by position. Loads of the same day must not run side by side: Parquet files
-    have no transactions.
+    Only loads with days from ``first`` to ``last`` are listed, and only those days read: files are sorted by day. ``by_content=False`` is
+    for rows keyed by position. Loads may run side by side: the new rows are staged in a folder of this load and
+    published in one step (``sources.versions``). If another load has published one of the same days meanwhile, the staged rows go and
+    are determined anew against what is stored then, so every key comes once.
     """
-    stored = read_stored(rows, path, first, last)
-    fresh = (fresh_rows if by_content else fresh_positions)(rows, stored)
-    zones.append_partitions(fresh, path, ["static_date"])
+    spark = rows.sparkSession
+    while True:
+        seen, folder = versions.log(spark, path), versions.new_folder()
+        fresh = (fresh_rows if by_content else fresh_positions)(rows, read_stored(rows, path, first, last, seen))
+        staged, written = zones.zone(path, folder), Observation()
+        try:
+            # Rows keyed by position come in the order of their days, which is kept.
+            fresh.observe(written, F.collect_set("static_date").alias("days")).sortWithinPartitions("static_date").write.parquet(staged)
+            days = set(written.get["days"])
+            added = {"": versions.files(spark, staged)}
+            done = not days or versions.commit(spark, path, folder, days, added, seen, lambda other, days=days: not days.isdisjoint(other.days))
+        except BaseException:
+            remove(spark, staged)
+            raise
+        if not days or not done:
+            remove(spark, staged)
+        if done:
+            return

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.functions import calendar
-from tallyroll.sources import zones
+from tallyroll.session import remove
+from tallyroll.sources import versions, zones
 
 
 def stamp_carts(carts: DataFrame, run_date: date) -> DataFrame:
@@ -27,9 +28,7 @@ def land_weekly(df: DataFrame, base: str, kind: str, run_date: date, force: bool
 
 def land_carts(carts: DataFrame, base: str, run_date: date) -> None:
     """Replace the cart snapshot of one day."""
-    zones.replace_partition(
-        stamp_carts(carts, run_date), zones.zone(base, "raw", "carts"), {"run_date": run_date.isoformat()}
-    )
+    _land(stamp_carts(carts, run_date).withColumn("run_date", F.lit(run_date)), base, [run_date.isoformat()])
 
 
 def land_carts_history(carts: DataFrame, base: str, undated: date | None = None) -> None:
@@ -43,7 +42,31 @@ def land_carts_history(carts: DataFrame, base: str, undated: date | None = None)
     else:
         other = F.lit(undated)
     dated = carts.withColumn("run_date", F.when(day.isNull(), other).otherwise(day))
-    zones.replace_partitions(dated, zones.zone(base, "raw", "carts"), by=["run_date"])
+    # In the order of days, so that a reader of a few days skips the other files; a day of any size is spread over the tasks.
+    _land(dated.repartitionByRange("run_date", "id").sortWithinPartitions("run_date"), base)
+
+
+def _land(carts: DataFrame, base: str, days: list[str] | None = None) -> None:
+    """Write carts into a folder of their own and publish their days, found while writing unless given."""
+    spark, path, folder, written = carts.sparkSession, zones.zone(base, "raw", "carts"), versions.new_folder(), Observation()
+    staged = zones.zone(path, folder)
+    try:
+        carts.observe(written, F.collect_set("run_date").alias("days")).write.parquet(staged)
+        found = days if days is not None else [day.isoformat() for day in written.get["days"]]
+        versions.commit(spark, path, folder, found, {"": versions.files(spark, staged)})
+    except BaseException:
+        remove(spark, staged)
+        raise
+
+
+def landed_days(spark: SparkSession, base: str, first: date | None = None, last: date | None = None) -> list[date]:
+    """Days with a cart snapshot, be it empty."""
+    return sorted(map(date.fromisoformat, versions.current(versions.log(spark, zones.zone(base, "raw", "carts")), first, last)))
+
+
+def read_carts(spark: SparkSession, base: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Landed carts with their ``run_date``; of a range of days, only those are read."""
+    return versions.read(spark, zones.zone(base, "raw", "carts"), "", first, last)
 
 
 def land_weekly_history(df: DataFrame, base: str, kind: str) -> None:

@@ -1,9 +1,12 @@
 """Partitioned Parquet tables under one base URI.
 
     raw/users, raw/products      iso_year=…/iso_week=…     weekly snapshots
-    raw/carts                    run_date=…                one snapshot per day
-    analytics/<metric>           run_date=…                published metrics
-    warehouse/<metric>           static_date=…             keyed rows, appended only
+
+The other zones are versioned (``sources.versions``):
+
+    raw/carts/run=…                                        one snapshot per day, sorted by day
+    analytics/run=…/<metric>                               published metrics, sorted by day
+    warehouse/<metric>/run=…                               keyed rows, appended only, sorted by day
 """
 
 from __future__ import annotations
@@ -103,7 +106,3 @@ def replace_partitions(
         .partitionBy(*by)
         .parquet(path)
     )
-
-
-def append_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    df.hint("rebalance", *by).write.mode("append").partitionBy(*by).parquet(path)

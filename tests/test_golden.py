@@ -124,7 +124,7 @@ def published(spark, base, name, day):
 
 
 def stored(spark, base, name):
-    return spark.read.parquet(zones.zone(base, "warehouse", name))
+    return warehouse.read_warehouse(spark, base, name)
 
 
 def test_run_day(spark, documents, tmp_path):
@@ -192,10 +192,21 @@ def test_checks_name_the_gap(spark, documents, tmp_path):
     publish.check_days(spark, base, [DAY])
     with pytest.raises(publish.MissingOutput, match="2025-04-15"):
         publish.check_days(spark, base, [DAY, NEXT])
-    # A folder without a file is no output either.
-    (tmp_path / "analytics" / "ord_bycity" / f"run_date={NEXT}").mkdir()
-    with pytest.raises(publish.MissingOutput):
-        publish.check_day(spark, base, NEXT)
+    # Files are compared with what the run wrote.
+    folder = next((tmp_path / "analytics").glob("run=*")) / "ord_bycity"
+    file = next(folder.glob("part-*.parquet"))
+    twice = folder / "part-99999-twice.parquet"
+    twice.write_bytes(file.read_bytes())
+    with pytest.raises(publish.MissingOutput, match="ord_bycity.*part-99999-twice.parquet was not written by its run"):
+        publish.check_day(spark, base, DAY)
+    twice.unlink()
+    publish.check_day(spark, base, DAY)
+    file.write_bytes(file.read_bytes()[:-5])
+    with pytest.raises(publish.MissingOutput, match=f"{file.name} has another length"):
+        publish.check_day(spark, base, DAY)
+    file.unlink()
+    with pytest.raises(publish.MissingOutput, match=f"{file.name} is missing"):
+        publish.check_days(spark, base, [DAY])
 
 
 def test_day_without_carts(spark, documents, tmp_path):

@@ -341,12 +341,13 @@ def test_daily_landing_stamps_and_replaces_one_day(spark, tmp_path):
     landing.land_carts(carts, base, date(2025, 4, 14))
     landing.land_carts(carts, base, date(2025, 4, 15))
     landing.land_carts(carts.where("id = 2"), base, date(2025, 4, 15))
-    path = zones.zone(base, "raw", "carts")
-    assert sorted((r.id, r.date, str(r.run_date)) for r in spark.read.parquet(path).collect()) == [
+    assert sorted((r.id, r.date, str(r.run_date)) for r in landing.read_carts(spark, base).collect()) == [
         (1, "2025-04-14", "2025-04-14"), (2, "2025-04-14", "2025-04-14"), (2, "2025-04-15", "2025-04-15"),
     ]
     landing.land_carts(carts.limit(0), base, date(2025, 4, 15))
-    assert spark.read.parquet(path).count() == 2
+    assert landing.read_carts(spark, base).count() == 2
+    assert landing.landed_days(spark, base) == [date(2025, 4, 14), date(2025, 4, 15)]
+    assert landing.read_carts(spark, base, date(2025, 4, 15), date(2025, 4, 15)).count() == 0
 
 
 def test_history_landing_touches_only_its_days(spark, tmp_path):
@@ -354,13 +355,14 @@ def test_history_landing_touches_only_its_days(spark, tmp_path):
     one = spark.createDataFrame([(1, "2025-04-14T08:00:00.000Z"), (2, "2025-04-15")], "id long, date string")
     landing.land_carts_history(one, base)
     landing.land_carts_history(one.where("id = 2").withColumn("id", F.lit(9).cast("bigint")), base)
-    table = zones.read_table(spark, zones.zone(base, "raw", "carts"))
+    table = landing.read_carts(spark, base)
     assert sorted((r.id, r.date) for r in table.collect()) == [
         (1, "2025-04-14T08:00:00.000Z"), (9, "2025-04-15"),
     ]
-    one_day = zones.read_table(spark, zones.zone(base, "raw", "carts"), only=zones.between("run_date", date(2025, 4, 14), date(2025, 4, 14)))
-    assert len(one_day.inputFiles()) >= 1 and one_day.count() == 1
-    assert all("run_date=2025-04-14/" in f for f in one_day.inputFiles())
+    # The folder of the second landing, which has no cart of this day, is not listed.
+    one_day = landing.read_carts(spark, base, date(2025, 4, 14), date(2025, 4, 14))
+    assert one_day.count() == 1 and len({f.split("run=")[1][:32] for f in one_day.inputFiles()}) == 1
+    assert len({f.split("run=")[1][:32] for f in table.inputFiles()}) == 2
 
 
 def test_missing_raw_input(spark, tmp_path):
@@ -408,7 +410,8 @@ def test_undated_carts_are_stamped_or_refused(spark, tmp_path):
     with pytest.raises(Exception, match="cart without a date: 2"):
         landing.land_carts_history(carts, str(tmp_path / "a"))
     landing.land_carts_history(carts, str(tmp_path / "b"), undated=date(2025, 4, 15))
-    table = zones.read_table(spark, zones.zone(str(tmp_path / "b"), "raw", "carts"))
+    assert not list((tmp_path / "a" / "raw" / "carts").glob("run=*"))
+    table = landing.read_carts(spark, str(tmp_path / "b"))
     assert {r.id: r.run_date for r in table.collect()} == {1: date(2025, 4, 14), 2: date(2025, 4, 15)}
 
 

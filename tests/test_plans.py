@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import golden
 from tallyroll.operators.flatten import cart_lines, sale_lines
 from tallyroll.plans.catalogue import catalogue
-from tallyroll.sources import landing, raw, zones
+from tallyroll.sources import landing, raw
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -76,8 +76,8 @@ def test_landed_carts_are_pruned_by_day_and_field(spark, tmp_path):
     paths = golden.write_raw(tmp_path)
     landing.land_carts_history(raw.read_raw(spark, "carts", paths["carts"]), base)
     day = F.col("run_date") == F.lit("2020-03-02").cast("date")
-    carts = zones.read_table(spark, zones.zone(base, "raw", "carts")).where(day)
+    carts = landing.read_carts(spark, base).where(day)
     for lines in (cart_lines(carts), sale_lines(carts)):
         text = plan(lines.groupBy("product_ID").count())
-        assert "ReadSchema: struct<products:array<struct<productId:bigint>>>" in text
-        assert re.search(r"PartitionFilters: \[.*run_date#\d+ = 2020-03-02", text)
+        assert "ReadSchema: struct<products:array<struct<productId:bigint>>,run_date:date>" in text
+        assert re.search(r"PushedFilters: \[.*EqualTo\(run_date,2020-03-02\)", text)
