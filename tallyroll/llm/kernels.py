@@ -6,6 +6,7 @@ Hashes are 64-bit polynomial hashes over a fixed random table, mixed at the end.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,6 +24,16 @@ BASE = U64(0x9E3779B97F4A7C15)
 SLICE_BYTES = 1 << 18
 
 
+def give_back() -> None:
+    """Return what this Python worker has freed to the system: workers are used again and else keep their peaks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        # Another C library; nothing to return by this way.
+        return
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all others."""
     x = x ^ (x >> U64(30))

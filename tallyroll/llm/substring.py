@@ -31,6 +31,8 @@ from tallyroll.llm import kernels as K
 from tallyroll.llm.tables import keyed
 
 WINDOW, ANCHOR = 13, 6
+# Cells are smaller where texts and other columns go through Python and come back.
+PASSED_CELL = 6 << 20
 RESULT = "n_words long, n_removed long, kept_text string, kept_sha256 string"
 
 
@@ -93,20 +95,22 @@ def _smaller_owner(table: pa.Table) -> pa.Table:
     return C.answers(table, 2, [np.packbits(part).tobytes() for part in C.split(least[back] < ids, [len(g[0]) for g in got])])
 
 
-def removed_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True) -> DataFrame:
+def removed_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True, cell_bytes: int = C.CELL_BYTES) -> DataFrame:
     """What ``keyed`` gives, with ``n_words, n_removed, kept_text, kept_sha256`` in place of its text.
 
-    ``kept_text`` is the text itself where nothing is removed, and null if texts aren't wanted.
+    Either ``kept_text`` is given, which is the text itself where nothing is removed, or ``kept_sha256``; the other is null.
     """
-    dealt, n = C.dealt(docs)
+    dealt, n = C.dealt(docs, cell_bytes)
     passed = [f for f in docs.schema.fields if f.name != "text"]
     result = T.StructType([*passed, *T.StructType.fromDDL(RESULT).fields])
 
     def anchor_blocks(table: pa.Table) -> pa.Table:
+        K.give_back()
         keys, times = np.unique(_Cell(table, window).anchors()[0], return_counts=True)
         return C.blocks(_cell_number(table), keys, n, times > 1)
 
     def window_blocks(table: pa.Table, replies: pa.Table) -> pa.Table:
+        K.give_back()
         if not replies.num_rows:
             return C._BLOCK.empty_table()
         cell = _Cell(table, window)
@@ -114,6 +118,7 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True)
         return C.blocks(_cell_number(table), distinct, n, least)
 
     def cut(table: pa.Table, replies: pa.Table) -> pa.Table:
+        K.give_back()
         cell = _Cell(table, window)
         gone = np.zeros(len(cell.hash), bool)
         if replies.num_rows:
@@ -124,12 +129,14 @@ def removed_passages(docs: DataFrame, window: int = WINDOW, texts: bool = True)
         text, digest, removed = [], [], []
         for r in range(table.num_rows):
             low, high = int(cell.bounds[r]), int(cell.bounds[r + 1])
-            words = cell.data[cell.offsets[r] : cell.offsets[r + 1]].tobytes().split()
-            mask = gone[low:high]
+            mask, whole = gone[low:high], cell.data[cell.offsets[r] : cell.offsets[r + 1]].tobytes()
             removed.append(int(mask.sum()))
-            kept = b" ".join(compress(words, ~mask) if removed[-1] else words)
-            text.append((kept if removed[-1] else cell.data[cell.offsets[r] : cell.offsets[r + 1]].tobytes()).decode() if texts else None)
-            digest.append(hashlib.sha256(kept).hexdigest())
+            if texts:
+                text.append((b" ".join(compress(whole.split(), ~mask)) if removed[-1] else whole).decode())
+            else:
+                words = whole.split()
+                digest.append(hashlib.sha256(b" ".join(compress(words, ~mask) if removed[-1] else words)).hexdigest())
+        text, digest = (found or [None] * table.num_rows for found in (text, digest))
         columns = [table.column(f.name) for f in passed]
         columns += [pa.array(np.diff(cell.bounds)), pa.array(removed, pa.int64()), pa.array(text, pa.string()), pa.array(digest, pa.string())]
         return pa.table(columns, names=result.names)
@@ -149,7 +156,7 @@ def cut_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     names = docs.columns
     others = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(names) if name != text_col]
     read = keyed(docs, id_col, text_col, F.col(f"`{text_col}`").isNull().alias("missing"), *others)
-    found = removed_passages(read, window)
+    found = removed_passages(read, window, cell_bytes=PASSED_CELL)
     new = {text_col: F.when(~F.col("missing"), F.col("kept_text"))}
     if "n_chars" in names:
         place = f"c{names.index('n_chars')}"
