@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyroll.functions import calendar
 from tallyroll.operators.flatten import LINE_IDENTITY
 from tallyroll.operators.joins import lookup_join
+from tallyroll.operators.validity import VALID, valid_join
 
 PRODUCT_FIELDS = ("category", "price", "count", "rate")
 USER_FIELDS = ("city", "email", "firstname", "lastname")
@@ -27,14 +28,29 @@ def dedupe(dim: DataFrame, on: Sequence[str]) -> DataFrame:
     )
 
 
+def time_key(dim: DataFrame, weekly: bool) -> tuple[str, ...]:
+    """Columns that say when a row of a dimension holds: none, its week, or its interval of weeks."""
+    if not weekly:
+        return ()
+    return VALID if set(VALID) <= set(dim.columns) else calendar.WEEK_KEY
+
+
+def time_join(fact: DataFrame, dim: DataFrame, key: str, weekly: bool, spread_by: Sequence[str] = LINE_IDENTITY, **join_options) -> DataFrame:
+    """``fact`` left join ``dim`` on the key, and on the week of ``run_date`` if the dimension has weeks or intervals of them."""
+    time = time_key(dim, weekly)
+    if time == VALID:
+        return valid_join(fact, dim, key, spread_by, **join_options)
+    return lookup_join(with_week(fact) if weekly else fact, dim, [*time, key], spread_by, **join_options)
+
+
 def product_dim(products: DataFrame, fields: Sequence[str] = PRODUCT_FIELDS, weekly: bool = False) -> DataFrame:
     """Flat products keyed for the join with sale lines."""
-    return products.select(*(calendar.WEEK_KEY if weekly else ()), F.col("Product_ID").alias("product_ID"), *fields)
+    return products.select(*time_key(products, weekly), F.col("Product_ID").alias("product_ID"), *fields)
 
 
 def user_dim(users: DataFrame, fields: Sequence[str] = USER_FIELDS, weekly: bool = False) -> DataFrame:
     """Flat users keyed for the join with sale lines."""
-    return users.select(*(calendar.WEEK_KEY if weekly else ()), "User_ID", *fields)
+    return users.select(*time_key(users, weekly), "User_ID", *fields)
 
 
 def with_week(df: DataFrame, day: str = "run_date") -> DataFrame:
@@ -53,15 +69,14 @@ def enrich(
     """The wide fact: sale lines ⟕ products ⟕ users.
 
     Lines without a match keep NULL attributes, and an id that occurs twice in a dimension
-    doubles its lines unless ``dedupe_dims``. ``weekly`` joins on the ISO week of ``run_date`` too.
+    doubles its lines unless ``dedupe_dims``. ``weekly`` joins on the ISO week of ``run_date`` too; the
+    dimensions have a row for each week, or for each interval of weeks (``operators.validity``).
     """
-    week = calendar.WEEK_KEY if weekly else ()
     product_rows, user_rows = product_dim(products, weekly=weekly), user_dim(users, weekly=weekly)
     if dedupe_dims:
-        product_rows = dedupe(product_rows, [*week, "product_ID"])
-        user_rows = dedupe(user_rows, [*week, "User_ID"])
-    if weekly:
-        lines = with_week(lines)
-    wide = lookup_join(lines, product_rows, [*week, "product_ID"], LINE_IDENTITY, **join_options)
-    wide = lookup_join(wide, user_rows, [*week, "User_ID"], LINE_IDENTITY, profile=lines, **join_options)
+        product_rows = dedupe(product_rows, [*time_key(products, weekly), "product_ID"])
+        user_rows = dedupe(user_rows, [*time_key(users, weekly), "User_ID"])
+    wide = time_join(lines, product_rows, "product_ID", weekly, **join_options)
+    profile = None if time_key(users, weekly) == VALID else with_week(lines) if weekly else lines
+    wide = time_join(wide, user_rows, "User_ID", weekly, profile=profile, **join_options)
     return wide.select(*by, *PRODUCT_FIELDS, "User_ID", "product_ID", "quantity", *USER_FIELDS)

@@ -27,10 +27,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyroll.functions import calendar, money
-from tallyroll.operators.enrich import USER_FIELDS, dedupe, product_dim, user_dim, with_week
+from tallyroll.functions import money
+from tallyroll.operators.enrich import USER_FIELDS, dedupe, product_dim, time_join, time_key, user_dim, with_week
 from tallyroll.operators.flatten import LINE_IDENTITY
 from tallyroll.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes
+from tallyroll.operators.validity import VALID, valid_join
 
 
 def repeated_keys(dim: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -38,10 +39,18 @@ def repeated_keys(dim: DataFrame, on: Sequence[str]) -> DataFrame:
     return dim.groupBy(*on).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
+def _time(dim: DataFrame, weekly: bool, dedupe_dims: bool = False) -> list[str]:
+    """Columns that say when a row holds. Of several rows of an id, one a week is chosen before intervals are made of them."""
+    time = time_key(dim, weekly)
+    if dedupe_dims and time == VALID:
+        raise ValueError("remove repeated ids from the weekly snapshots, not from intervals")
+    return list(time)
+
+
 def _rated_products(products: DataFrame, weekly: bool, dedupe_dims: bool, places: money.Places) -> DataFrame:
     """Products with price in ticks, number of ratings and their sum, converted once per product."""
     rows = product_dim(products, weekly=weekly)
-    week = list(calendar.WEEK_KEY) if weekly else []
+    week = _time(products, weekly, dedupe_dims)
     if dedupe_dims:
         rows = dedupe(rows, [*week, "product_ID"])
     return rows.select(*week, "product_ID", "category", *_rated(F.col("price"), F.col("rate"), F.col("count"), places))
@@ -83,6 +92,14 @@ def _fits(dim: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, **_) -> bool:
     return measured_bytes(dim) <= broadcast_bytes
 
 
+def _attributes(summed: DataFrame, rows: DataFrame, key: str, weekly: bool, by: Sequence[str], **join_options) -> DataFrame:
+    """Sums per ``by`` and key with the attributes of the key."""
+    time = time_key(rows, weekly)
+    if time == VALID:
+        return valid_join(summed, rows, key, by, **join_options)
+    return (with_week(summed) if weekly else summed).join(rows, [*time, key], "left")
+
+
 def product_sales(
     lines: DataFrame,
     products: DataFrame,
@@ -100,9 +117,11 @@ def product_sales(
     Leave it out when the ids are known to be unique. Without ``by_id`` a product may have any
     number of rows.
     """
-    week = list(calendar.WEEK_KEY) if weekly else []
     copies = F.lit(1).cast("bigint")
     if users is not None and not dedupe_dims:
+        week = list(time_key(users, weekly))
+        if VALID == tuple(week):
+            raise ValueError("whether ids repeat is found in weekly snapshots, not in intervals")
         repeated = repeated_keys(user_dim(users, fields=(), weekly=weekly), [*week, "User_ID"])
         if not repeated.isEmpty():
             lines = with_week(lines) if weekly else lines
@@ -115,13 +134,11 @@ def product_sales(
         (F.col("quantity") * copies).alias("units"),
         F.when(F.col("product_ID").isNotNull(), copies).otherwise(F.lit(0)).alias("lines"),
     )
-    if not by_id and _fits(rows, **join_options):
+    if time_key(products, weekly) != VALID and not by_id and _fits(rows, **join_options):
         rows = F.broadcast(rows)
     else:
         weighed = weighed.groupBy(*by, "product_ID").agg(F.sum("units").alias("units"), F.sum("lines").alias("lines"))
-    if weekly:
-        weighed = with_week(weighed)
-    return weighed.join(rows, [*week, "product_ID"], "left").select(
+    return _attributes(weighed, rows, "product_ID", weekly, by, **join_options).select(
         *by, "product_ID", "category", "units", "lines", *_product_measures(F.col("units"), F.col("lines"), places)
     )
 
@@ -141,19 +158,18 @@ def buyer_sales(
 
     Without ``by_id`` a buyer may have any number of rows and only the city comes along.
     """
-    week = list(calendar.WEEK_KEY) if weekly else []
     fields = USER_FIELDS if by_id else ("city",)
     if dedupe_dims:
+        week = _time(products, weekly, dedupe_dims)
         # By all fields, so that the row kept is the same everywhere.
         prices = _rated_products(products, weekly, dedupe_dims, places).select(*week, "product_ID", *money.limb_names("price_ticks", places.price))
+        week = _time(users, weekly, dedupe_dims)
         user_rows = dedupe(user_dim(users, weekly=weekly), [*week, "User_ID"]).select(*week, "User_ID", *fields)
     else:
         price = _named(money.limbs(F.col("price"), places.price), "price_ticks", places.price)
-        prices = product_dim(products, fields=("price",), weekly=weekly).select(*week, "product_ID", *price)
+        prices = product_dim(products, fields=("price",), weekly=weekly).select(*time_key(products, weekly), "product_ID", *price)
         user_rows = user_dim(users, fields, weekly)
-    valued = lookup_join(
-        with_week(lines) if weekly else lines, prices, [*week, "product_ID"], LINE_IDENTITY, **join_options
-    )
+    valued = time_join(lines, prices, "product_ID", weekly, **join_options)
     priced = F.col("price_ticks").isNotNull().cast("bigint")
     if isinstance(places.price, money.Scale):
         revenue = _products_of("price_ticks", F.col("quantity"), "revenue", places.price)
@@ -169,13 +185,11 @@ def buyer_sales(
         priced.alias("priced_lines"),
     )
     measures = [name for name in valued.columns if name not in (*by, "User_ID")]
-    if not by_id and _fits(user_rows, **join_options):
+    if time_key(users, weekly) != VALID and not by_id and _fits(user_rows, **join_options):
         user_rows = F.broadcast(user_rows)
     else:
         valued = valued.groupBy(*by, "User_ID").agg(*[F.sum(name).alias(name) for name in measures])
-    if weekly:
-        valued = with_week(valued)
-    return valued.join(user_rows, [*week, "User_ID"], "left").select(*by, "User_ID", *fields, *measures)
+    return _attributes(valued, user_rows, "User_ID", weekly, by, **join_options).select(*by, "User_ID", *fields, *measures)
 
 
 def line_measures(enriched: DataFrame, places: money.Places = money.Places()) -> DataFrame:

@@ -18,6 +18,7 @@ from tallyroll.operators.enrich import PRODUCT_FIELDS, USER_FIELDS, enrich
 from tallyroll.operators.flatten import cart_lines, flatten_products, flatten_users
 from tallyroll.operators.flatten import sale_lines as explode_sale_lines
 from tallyroll.operators.rollups import buyer_sales, product_sales
+from tallyroll.operators.validity import VALID, intervals
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
 from tallyroll.plans.runs import run_day, run_history
@@ -27,6 +28,9 @@ from tallyroll.sources import starschema as star
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Metrics that are also computed with dimensions as intervals.
+VALIDITY_METRICS = {"m02": "revenue_by_users_ID", "m06": "avg_rat_per_cat", "m09": "rev_prod_cat"}
+
 # Fixed value: the run date of the queries that stamp one.
 STAMP_DATE = "2025-04-14"
 
@@ -111,6 +115,35 @@ def enriched_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(lines, products, users, by=("run_date",), weekly=True)
 
 
+def validity_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly users as intervals of weeks without a change."""
+    return intervals(_weekly_users(spark, sf_dir).select(*calendar.WEEK_KEY, "User_ID", *USER_FIELDS), "User_ID").withColumns({c: F.col(c).cast("bigint") for c in VALID})
+
+
+def _valid(dim: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Some columns of a weekly dimension as intervals, written down: a join reads them twice."""
+    return settle(intervals(dim.select(*calendar.WEEK_KEY, key, *columns), key), "intervals")
+
+
+def enriched_by_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``enriched_by_week`` with both dimensions as intervals."""
+    lines = star.sale_lines(spark, sf_dir, owner=True, dated=True)
+    products = _valid(_weekly_products(spark, sf_dir), "Product_ID", *PRODUCT_FIELDS)
+    return enrich(lines, products, _valid(_weekly_users(spark, sf_dir), "User_ID", *USER_FIELDS), by=("run_date",), weekly=True)
+
+
+def validity_metric_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``weekly_metric_query`` with the dimensions as intervals."""
+    metric, options = METRICS[name], {"by": ("run_date",), "weekly": True}
+    lines = star.sale_lines(spark, sf_dir, owner=metric.source == "buyer", dated=True)
+    if metric.source == "product":
+        rollup = product_sales(lines, _valid(_weekly_products(spark, sf_dir), "Product_ID", *PRODUCT_FIELDS), **options)
+    else:
+        prices = _valid(_weekly_products(spark, sf_dir), "Product_ID", "price")
+        rollup = buyer_sales(lines, prices, _valid(_weekly_users(spark, sf_dir), "User_ID", *USER_FIELDS), **options)
+    return metric.compute(rollup, by=("run_date",), ordered=False)
+
+
 def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("run_date")).distinct()
 
@@ -355,6 +388,9 @@ def catalogue() -> dict[str, Query]:
         "enrich_left": partial(enriched, owner=True),
         "enrich_cart_id": partial(enriched, owner=False),
         "enrich_by_week": enriched_by_week,
+        "enrich_by_validity": enriched_by_validity,
+        "validity_intervals": validity_intervals,
+        **{f"{label}_by_day_validity": partial(validity_metric_query, name) for label, name in VALIDITY_METRICS.items()},
         "iso_week_partition": iso_week_partition,
         "monday_refresh": monday_refresh,
         "date_stamped_carts": date_stamped_carts,

@@ -256,6 +256,17 @@ UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""
         if any(source in ("buyer", "city") for _, source in spec[0]):
             found[f"{label}_by_cart_id"] = _metric(_wide("o_orderkey"), *spec, dated=False)
         found[f"{label}_by_day_weekly"] = _metric(_wide_weekly(), *spec, dated=True)
+    found["enrich_by_validity"] = found["enrich_by_week"]
+    for label in ("m02", "m06", "m09"):
+        found[f"{label}_by_day_validity"] = found[f"{label}_by_day_weekly"]
+    found["validity_intervals"] = f"""WITH {PRODUCTS}, {USERS}, {WEEKLY_PRODUCTS}, {WEEKLY_USERS},
+numbered AS (
+  SELECT id, city, email, firstname, lastname,
+    (date_diff('day', DATE '1970-01-05', CAST(date_trunc('week', make_date(iso_year, 1, 4)) AS DATE)) // 7) + iso_week - 1 AS n
+  FROM weekly_users
+),
+placed AS (SELECT *, n - row_number() OVER (PARTITION BY id ORDER BY n) AS run FROM numbered)
+SELECT min(n) AS valid_from, max(n) AS valid_to, id AS User_ID, city, email, firstname, lastname FROM placed GROUP BY run, id, city, email, firstname, lastname"""
     found["publish_roundtrip"] = found["m09_by_day"]
     found["history_roundtrip"] = _all_metrics(_wide_weekly(), "run_date")
     found["day_roundtrip"] = _all_metrics(_wide("o_orderkey"), "DATE '2025-04-14'")
