@@ -9,7 +9,7 @@ only a few long words are left, each is read to its end by itself.
 
 The vocabulary comes from the file of a byte-level vocabulary, a parameter, read where it lies:
 its tokens that begin with a space's symbol begin a word, all others continue one. A word that
-pieces cannot cover counts as one unknown token, as does a word of more than ``max_bytes`` bytes,
+pieces cannot cover counts as one unknown token, as does, only where that is given, a word of more than ``max_bytes`` bytes,
 if there is such a limit. The registered query has none.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` of the whole text, unchanged. Defined results: null or empty
@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 from tallyroll.llm import kernels as K
 from tallyroll.llm.bpe import byte_symbols
 
-MAX_BYTES = 200
 # So many words or fewer are read one by one, which then takes less time than array operations.
 FEW = 64
 RESULT = "doc_id long, n_words long, n_tokens long, n_unknown long"
@@ -163,7 +162,7 @@ def automaton(path: str) -> Automaton:
     return Automaton(*pieces_of(path))
 
 
-def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", max_bytes: int | None = MAX_BYTES) -> DataFrame:
+def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", max_bytes: int | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_words, n_tokens, n_unknown``."""
     path = path or vocabulary_path()
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tallyroll.llm.catalogue import op4_token_counts
-from tallyroll.llm.wordpiece import FEW, MAX_BYTES, Automaton, pieces_of, token_counts, vocabulary_path
+from tallyroll.llm.wordpiece import FEW, Automaton, pieces_of, token_counts, vocabulary_path
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -38,15 +38,16 @@ def test_small_vocabularies(seed):
     assert -1 in expected and max(expected) > 2
 
 
-def plain(text, first, rest):
-    counts = [greedy(w, first, rest) if len(w) <= MAX_BYTES else -1 for w in WORD.findall((text or "").encode())]
+def plain(text, first, rest, most, max_bytes=None):
+    counts = [greedy_bounded(w, first, rest, most) if max_bytes is None or len(w) <= max_bytes else -1 for w in WORD.findall((text or "").encode())]
     return len(counts), sum(max(c, 1) if c > 0 else 1 for c in counts), sum(c < 0 for c in counts)
 
 
-def check(docs):
+def check(docs, **options):
     first, rest = pieces_of(vocabulary_path())
-    rows = sorted((str(r[0]), *r[1:]) for r in token_counts(docs).collect())
-    assert rows == sorted((str(d.doc_id), *plain(d.text, first, rest)) for d in docs.collect())
+    most = max(map(len, first | rest))
+    rows = sorted((str(r[0]), *r[1:]) for r in token_counts(docs, **options).collect())
+    assert rows == sorted((str(d.doc_id), *plain(d.text, first, rest, most, **options)) for d in docs.collect())
     return rows
 
 
@@ -55,9 +56,11 @@ def test_whole_table(spark, sf_dir):
 
 
 def test_odd_rows(spark):
-    data = [(1, None), (2, ""), (None, "the éa 日本 \x00 😀"), (3, "x" * 100_000 + " y"), (4, "tokens tokens"), (4, "tokens tokens"), (5, "a b " * 300_000), (6, "q" * MAX_BYTES)]
+    data = [(1, None), (2, ""), (None, "the éa 日本 \x00 😀"), (3, "x" * 100_000 + " y"), (4, "tokens tokens"), (4, "tokens tokens"), (5, "a b " * 300_000), (6, "q" * 200), (7, "a" * 201)]
     docs = spark.createDataFrame(data, "doc_id long, text string").selectExpr("*", "1 as n_words", "2 as low")
     check(docs)
+    # Only where a limit is asked for.
+    check(docs, max_bytes=200)
     assert token_counts(docs.limit(0)).collect() == []
 
 
