@@ -21,7 +21,7 @@ from tallyroll.operators.rollups import buyer_sales, product_sales
 from tallyroll.operators.validity import VALID, intervals
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
-from tallyroll.plans.runs import run_day, run_history
+from tallyroll.plans.runs import run_changes, run_day, run_history
 from tallyroll.session import scratch_path, settle
 from tallyroll.sources import landing, raw, zones
 from tallyroll.sources import starschema as star
@@ -241,6 +241,24 @@ def history_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_published(spark, base, min(days), max(days))
 
 
+def history_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run without half of the carts of each month's 15th and with other prices in every tenth week; then both are landed as they are, and only that is run again."""
+    base, days = scratch_path(spark, "shop"), _days(spark, sf_dir)
+    carts, products, users = star.carts(spark, sf_dir), star.weekly_products(spark, sf_dir), star.weekly_users(spark, sf_dir)
+    weeks = spark.createDataFrame(sorted({d.isocalendar()[:2] for d in days}), "iso_year int, iso_week int").withColumn("id", F.lit(-1).cast("bigint"))
+    products, users = (rows.unionByName(weeks, allowMissingColumns=True) for rows in (products, users))
+    tenth, mid = F.col("iso_week") == 10, F.dayofmonth(F.to_date("date")) == 15
+    landing.land_carts_history(carts.where(~mid | (F.col("id") % 2 == 0)), base)
+    landing.land_weekly_history(products.withColumn("price", F.col("price") + F.when(tenth, 1.0).otherwise(0.0)), base, "products")
+    landing.land_weekly_history(users, base, "users")
+    options = {"first": min(days), "last": max(days), "buyer_col": "userId"}
+    run_changes(spark, base, **options)
+    landing.land_carts_history(carts.where(mid), base)
+    landing.land_weekly_history(products.where(tenth), base, "products")
+    run_changes(spark, base, **options)
+    return _all_published(spark, base, min(days), max(days))
+
+
 def _days(spark: SparkSession, sf_dir: str, monthly: bool = False) -> list[date]:
     """One for each day, or month, of the table."""
     day = F.trunc("run_date", "month") if monthly else F.col("run_date")
@@ -409,6 +427,7 @@ def catalogue() -> dict[str, Query]:
         "warehouse_load": warehouse_load,
         "warehouse_daily_roundtrip": warehouse_daily_roundtrip,
         "history_roundtrip": history_roundtrip,
+        "history_changes": history_changes,
         "day_roundtrip": day_roundtrip,
         "m01_fine_prices": fine_prices,
         "any_prices": any_prices,

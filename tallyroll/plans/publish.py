@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Collection, Iterable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date
@@ -74,10 +74,10 @@ def stage_days(metric: Metric, sales: DataFrame, folder: str, days: Sequence[dat
     return _stage(result.repartitionByRange(*order).sortWithinPartitions(*order), folder, metric.name)
 
 
-def publish(spark: SparkSession, base: str, days: Iterable[date], stage: Callable[[Metric, str], dict[str, int]], metrics: Iterable[Metric] = METRICS.values()) -> None:
+def publish(spark: SparkSession, base: str, days: Iterable[date], stage: Callable[[Metric, str], dict[str, int]], metrics: Iterable[Metric] = METRICS.values(), marks: Mapping[date, str] | None = None) -> None:
     """Replace some days of all metric tables at once: ``stage`` writes a metric into the folder it is given.
 
-    If one of them fails, no table changes.
+    If one of them fails, no table changes. ``marks`` say what each day was computed from.
     """
     analytics, name, added = zones.zone(base, "analytics"), versions.new_folder(), {}
     folder = zones.zone(analytics, name)
@@ -87,7 +87,7 @@ def publish(spark: SparkSession, base: str, days: Iterable[date], stage: Callabl
 
     try:
         run_jobs([lambda m=m: one(m) for m in metrics])
-        versions.commit(spark, analytics, name, [d.isoformat() for d in days], added)
+        versions.commit(spark, analytics, name, [d.isoformat() for d in days], added, marks={d.isoformat(): mark for d, mark in (marks or {}).items()})
     except BaseException:
         remove(spark, folder)
         raise
@@ -116,6 +116,12 @@ def check_days(spark: SparkSession, base: str, days: Sequence[date]) -> None:
                 raise MissingOutput(f"{name}: {commit.folder}/{wrong[0]} {state}")
 
 
-def read_published(spark: SparkSession, base: str, name: str, first: date, last: date) -> DataFrame:
-    """Published rows of a metric for a range of days, each day as its last run left it."""
-    return versions.read(spark, zones.zone(base, "analytics"), name, first, last)
+def read_published(spark: SparkSession, base: str, name: str, first: date, last: date, only: Collection[date] | None = None) -> DataFrame:
+    """Published rows of a metric for a range of days, or some days of it, each day as its last run left it."""
+    return versions.read(spark, zones.zone(base, "analytics"), name, first, last, only)
+
+
+def published_marks(spark: SparkSession, base: str, first: date, last: date) -> dict[date, str | None]:
+    """For each published day of a range what it was computed from, if its run said so."""
+    found = versions.current(versions.log(spark, zones.zone(base, "analytics")), first, last)
+    return {date.fromisoformat(day): commit.marks.get(day) for day, commit in found.items()}

@@ -269,6 +269,7 @@ placed AS (SELECT *, n - row_number() OVER (PARTITION BY id ORDER BY n) AS run F
 SELECT min(n) AS valid_from, max(n) AS valid_to, id AS User_ID, city, email, firstname, lastname FROM placed GROUP BY run, id, city, email, firstname, lastname"""
     found["publish_roundtrip"] = found["m09_by_day"]
     found["history_roundtrip"] = _all_metrics(_wide_weekly(), "run_date")
+    found["history_changes"] = found["history_roundtrip"]
     found["day_roundtrip"] = _all_metrics(_wide("o_orderkey"), "DATE '2025-04-14'")
     found["published_range"] = f"SELECT * FROM ({found['m09_by_day']}) t WHERE run_date BETWEEN DATE '1995-01-01' AND DATE '1995-12-31'"
     return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -64,9 +65,15 @@ def landed_days(spark: SparkSession, base: str, first: date | None = None, last:
     return sorted(map(date.fromisoformat, versions.current(versions.log(spark, zones.zone(base, "raw", "carts")), first, last)))
 
 
-def read_carts(spark: SparkSession, base: str, first: date | None = None, last: date | None = None) -> DataFrame:
-    """Landed carts with their ``run_date``; of a range of days, only those are read."""
-    return versions.read(spark, zones.zone(base, "raw", "carts"), "", first, last)
+def read_carts(spark: SparkSession, base: str, first: date | None = None, last: date | None = None, only: Collection[date] | None = None) -> DataFrame:
+    """Landed carts with their ``run_date``; of a range of days, or of some days, only those are read."""
+    return versions.read(spark, zones.zone(base, "raw", "carts"), "", first, last, only)
+
+
+def landings(spark: SparkSession, base: str, first: date, last: date) -> dict[date, str]:
+    """For each landed day of a range what landing its snapshot is from."""
+    found = versions.current(versions.log(spark, zones.zone(base, "raw", "carts")), first, last)
+    return {date.fromisoformat(day): commit.folder for day, commit in found.items()}
 
 
 def land_weekly_history(df: DataFrame, base: str, kind: str) -> None:

@@ -16,9 +16,10 @@ import json
 import os
 import time
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Collection, Iterable, Mapping, Sequence
 from datetime import date
 from functools import reduce
+from types import MappingProxyType
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,16 +28,17 @@ from pyspark.sql import functions as F
 from tallyroll.session import remove
 from tallyroll.sources.raw import MissingInput
 
-_LOG, _SCHEMA = "_log", "folder string, days array<string>, files map<string,map<string,bigint>>"
+_LOG, _SCHEMA = "_log", "folder string, days array<string>, files map<string,map<string,bigint>>, marks map<string,string>"
 
 
 class Commit(NamedTuple):
-    """``files``: the name and length of each file, by table (the path below the folder)."""
+    """``files``: the name and length of each file, by table (the path below the folder); ``marks``: what a day was made of."""
 
     number: int
     folder: str
     days: tuple[str, ...]
     files: Mapping[str, Mapping[str, int]]
+    marks: Mapping[str, str] = MappingProxyType({})
 
 
 def new_folder() -> str:
@@ -50,7 +52,8 @@ def log(spark: SparkSession, base: str) -> list[Commit]:
     if not system.exists(target):
         return []
     lines = spark.read.schema(_SCHEMA).json(path).select("*", "_metadata.file_name")
-    return sorted(Commit(int(r.file_name.split(".")[0]), r.folder, tuple(r.days), r.files or {}) for r in lines.collect())
+    found = [Commit(int(r.file_name.split(".")[0]), r.folder, tuple(r.days), r.files or {}, r.marks or {}) for r in lines.collect()]
+    return sorted(found, key=lambda c: c.number)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -95,10 +98,11 @@ def commit(
     added: Mapping[str, Mapping[str, int]],
     seen: Sequence[Commit] | None = None,
     clash: Callable[[Commit], bool] = lambda other: False,
+    marks: Mapping[str, str] | None = None,
 ) -> bool:
     """Publish a folder; False, and nothing published, if a commit that came after ``seen`` clashes."""
     known = log(spark, base) if seen is None else list(seen)
-    text = json.dumps({"folder": folder, "days": sorted(days), "files": added})
+    text = json.dumps({"folder": folder, "days": sorted(days), "files": added, "marks": dict(marks or {})})
     while True:
         number = known[-1].number + 1 if known else 1
         if _publish(spark, f"{base}/{_LOG}/{number:010d}.json", text):
@@ -108,10 +112,11 @@ def commit(
             return False
 
 
-def current(commits: Sequence[Commit], first: date | None = None, last: date | None = None) -> dict[str, Commit]:
-    """For each day, or those of a range, the last commit that has it."""
+def current(commits: Sequence[Commit], first: date | None = None, last: date | None = None, only: Collection[date] | None = None) -> dict[str, Commit]:
+    """For each day, or those of a range, or some days, the last commit that has it."""
+    wanted = None if only is None else {day.isoformat() for day in only}
     low, high = first.isoformat() if first else "", last.isoformat() if last else "9999-12-31"
-    return {day: found for found in sorted(commits) for day in found.days if low <= day <= high}
+    return {day: found for found in sorted(commits, key=lambda c: c.number) for day in found.days if low <= day <= high and (wanted is None or day in wanted)}
 
 
 def runs_of(commit_: Commit, kept: Iterable[str]) -> list[tuple[str, str]]:
@@ -124,9 +129,9 @@ def runs_of(commit_: Commit, kept: Iterable[str]) -> list[tuple[str, str]]:
     return out
 
 
-def read(spark: SparkSession, base: str, table: str = "", first: date | None = None, last: date | None = None, day: str = "run_date") -> DataFrame:
-    """Rows of a table, or of a range of its days, each day as the last commit that has it left it."""
-    found = current(log(spark, base), first, last)
+def read(spark: SparkSession, base: str, table: str = "", first: date | None = None, last: date | None = None, only: Collection[date] | None = None, day: str = "run_date") -> DataFrame:
+    """Rows of a table, or of a range of its days, or of some days, each day as the last commit that has it left it."""
+    found = current(log(spark, base), first, last, only)
     if not found:
         raise MissingInput(f"no such day at {base}/{table}")
     kept: dict[str, list[str]] = {}

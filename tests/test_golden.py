@@ -3,12 +3,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import golden
 from tallyroll.operators.enrich import MissingSnapshot, enrich
 from tallyroll.operators.flatten import cart_lines, flatten_products, flatten_users, sale_lines
 from tallyroll.operators.rollups import buyer_sales, line_measures, product_sales
-from tallyroll.plans import publish, warehouse
+from tallyroll.plans import publish, runs, warehouse
 from tallyroll.plans.metrics import METRICS
 from tallyroll.plans.runs import run_day, run_history
 from tallyroll.sources import landing, raw, zones
@@ -244,6 +245,44 @@ def test_history_run_empties_a_day_that_lost_its_sales(spark, documents, tmp_pat
         assert stored(spark, one, name).count() == stored(spark, many, name).count()
 
 
+def test_only_changed_days_run_again(spark, documents, tmp_path):
+    """After any change the tables are those of a full run, and only the days it touches were computed."""
+    delta, full, last = str(tmp_path / "delta"), str(tmp_path / "full"), date(2025, 4, 21)
+    days = [DAY, NEXT, last]
+    for base in (delta, full):
+        land(documents, base, days)
+        for kind in ("products", "users"):
+            landing.land_weekly(documents[kind], base, kind, last)
+
+    def same():
+        run_history(spark, full, DAY, last)
+        for name in METRICS:
+            for day in days:
+                assert published(spark, delta, name, day) == published(spark, full, name, day)
+        publish.check_days(spark, delta, days)
+
+    assert runs.run_changes(spark, delta, DAY, last) == days
+    assert runs.run_changes(spark, delta, DAY, last) == []
+    same()
+    for base in (delta, full):
+        landing.land_carts(documents["carts"].where("id <> 3"), base, NEXT)
+    assert runs.run_changes(spark, delta, DAY, last) == [NEXT]
+    same()
+    # The snapshot of a week: with the same rows nothing changes, with another price the days of that week do.
+    week = {"iso_year": 2025, "iso_week": 17}
+    path = zones.zone(delta, "raw", "products")
+    zones.replace_partition(documents["products"].repartition(3), path, week)
+    assert runs.run_changes(spark, delta, DAY, last) == []
+    for base in (delta, full):
+        zones.replace_partition(documents["products"].withColumn("price", F.col("price") * 2), zones.zone(base, "raw", "products"), week)
+    assert runs.run_changes(spark, delta, DAY, last) == [last]
+    same()
+    # A range without the change, another option, a day that is not published.
+    assert runs.run_changes(spark, delta, DAY, NEXT) == []
+    assert runs.run_changes(spark, delta, DAY, NEXT, buyer_col="userId") == [DAY, NEXT]
+    assert runs.run_changes(spark, str(tmp_path / "none"), DAY, NEXT) == []
+
+
 def test_positional_rerun_with_a_gap_joins_keys(spark, tmp_path):
     metric = METRICS["num_of_prod_sold"]
     rows_of = lambda *v: warehouse.position_rows(metric, spark.createDataFrame([(DAY, p, n) for p, n in v], "run_date date, product_ID long, Num_prod_sold long"))
