@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyroll.llm import kernels as K
-from tallyroll.llm.tables import numbered, text_place
+from tallyroll.llm.tables import numbered, renamed, text_place
 
 Q = 8
 EDIT_PERCENT = 10
@@ -204,11 +204,15 @@ def blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "tex
 
 def searched(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with the column ``_matches``: best match of each item that occurs."""
-    names = docs.columns
+    return renamed(by_place(docs, benchmark, text_col, block_chars), docs, "_matches")
+
+
+def by_place(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The columns of ``docs`` by their places, ``c0, c1, ...``, with the column ``_matches``: best match of each item that occurs."""
     out = numbered(docs, text_col, F.array().cast(MATCH).alias("_matches"))
     for items in blocks(benchmark, text_col="text", block_chars=block_chars):
         out = out.mapInArrow(_search(items, text_place(docs, text_col)), out.schema)
-    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), "_matches")
+    return out
 
 
 def _search(items: Items, text: str):
@@ -247,4 +251,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def keep_unseen(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no item occurs."""
-    return searched(docs, benchmark, text_col).filter(F.size("_matches") == 0).drop("_matches")
+    return renamed(by_place(docs, benchmark, text_col).filter(F.size("_matches") == 0), docs)

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyroll.llm import kernels as K
-from tallyroll.llm.tables import numbered, text_place
+from tallyroll.llm.tables import numbered, renamed, text_place
 
 # The symbols and limits of the contract.
 SYMBOLS = b"#*$%&|<>"
@@ -193,12 +193,16 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with its counts, distances and verdict in the struct column ``_quality``."""
+    return renamed(by_place(docs, text_col, lang_col), docs, "_quality")
+
+
+def by_place(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The columns of ``docs`` by their places, ``c0, c1, ...``, with counts, distances and verdict in the struct column ``_quality``."""
     reference = references(docs, text_col, lang_col).persist()
     if reference.count() <= BROADCAST_LANGUAGES:
         rows = [tuple(r) for r in reference.collect()]
         reference.unpersist()
         reference = F.broadcast(docs.sparkSession.createDataFrame(rows, reference.schema))
-    names = docs.columns
     own = numbered(docs, text_col, F.col(f"`{lang_col}`").cast("string").alias("own_lang"))
     text = text_place(docs, text_col)
     met = own.join(reference, F.col("own_lang").eqNullSafe(F.col("lang")), "left").drop("lang", "own_lang")
@@ -228,8 +232,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
             struct = pa.StructArray.from_arrays(columns, names=[f.name for f in added])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), struct], [*passed, "_quality"])
 
-    out = met.mapInArrow(judge, schema)
-    return out.select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), "_quality")
+    return met.mapInArrow(judge, schema)
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -240,4 +243,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that the rules keep."""
-    return judged(docs, text_col, lang_col).filter("_quality.kept").drop("_quality")
+    return renamed(by_place(docs, text_col, lang_col).filter("_quality.kept"), docs)

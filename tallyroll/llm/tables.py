@@ -37,6 +37,11 @@ def numbered(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
     return docs.select(*own, *cast, *more)
 
 
+def renamed(found: DataFrame, docs: DataFrame, *more: str) -> DataFrame:
+    """The columns of ``docs`` out of what ``numbered`` made of them, by their own names, whatever these are; and others."""
+    return found.select(*(F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)), *more)
+
+
 def reachable(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, if it isn't installed."""
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment

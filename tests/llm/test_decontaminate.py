@@ -86,6 +86,9 @@ def test_odd_rows(spark):
     assert sorted((str(r.doc_id), r["items"], r.fewest_edits) for r in rows) == sorted([("1", "", None), ("2", "", None), ("None", "7,8", 0), ("3", "7,8", 0), ("3", "7,8", 0), ("4", "", None), ("5", "7,8", 0), ("6", "", None)])
     found = matches(docs, benchmark).collect()
     assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in found) == [(0, 7, 0), (0, 8, 0), (3, 7, 0), (3, 7, 0), (3, 8, 0), (3, 8, 0), (5, 7, 0), (5, 8, 0)]
+    # A column of the name of the operator's own.
+    named = docs.withColumnRenamed("_matches2", "_matches")
+    assert keep_unseen(named, benchmark).columns == named.columns and keep_unseen(named, benchmark).count() == keep_unseen(docs, benchmark).count()
     kept = keep_unseen(docs, benchmark)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {1, 2, 4, 6}
     assert contamination(docs.limit(0), benchmark).collect() == []

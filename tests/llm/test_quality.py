@@ -50,6 +50,9 @@ def test_odd_rows(spark):
     ]
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string").selectExpr("*", "'x' as chars", "1 as ref_words", "2 as c0")
     check(docs)
+    # A column of the name of the operator's own.
+    named = docs.withColumn("_quality", docs["doc_id"])
+    assert keep_good(named).columns == named.columns and keep_good(named).count() == keep_good(docs).count()
     kept = keep_good(docs)
     assert kept.columns == docs.columns
     assert [r.doc_id for r in kept.collect()] == [5, 5]
