@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyroll.llm import kernels as K
+
 CACHED_WORDS = 200_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 # The printable stand-ins of bytes in byte-level vocabularies, as ranges of bytes that stand for themselves.
@@ -209,4 +211,4 @@ def bpe_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(coded, pa.string()), pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     read = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return read.mapInArrow(encode, RESULT)
+    return read.mapInArrow(K.tidy(encode), RESULT)

@@ -211,7 +211,7 @@ def by_place(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", bloc
     """The columns of ``docs`` by their places, ``c0, c1, ...``, with the column ``_matches``: best match of each item that occurs."""
     out = numbered(docs, text_col, F.array().cast(MATCH).alias("_matches"))
     for items in blocks(benchmark, text_col="text", block_chars=block_chars):
-        out = out.mapInArrow(_search(items, text_place(docs, text_col)), out.schema)
+        out = out.mapInArrow(K.tidy(_search(items, text_place(docs, text_col))), out.schema)
     return out
 
 

@@ -7,7 +7,7 @@ Hashes are 64-bit polynomial hashes over a fixed random table, mixed at the end.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,17 @@ def give_back() -> None:
         return
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` on the batches of a task, giving back before and after."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from work(batches)
+        give_back()
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all others."""
     x = x ^ (x >> U64(30))

@@ -134,7 +134,7 @@ def signed(docs: DataFrame) -> DataFrame:
                     ["doc_id", "id", "h", "n_shingles", "node", "bands"],
                 )
 
-    return docs.select("doc_id", "id", "h", "text").mapInArrow(sign, SIGNED)
+    return docs.select("doc_id", "id", "h", "text").mapInArrow(K.tidy(sign), SIGNED)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -153,7 +153,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
 
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(meet, "a long, b long")
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(K.tidy(meet), "a long, b long")
 
 
 def across(nodes: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +171,7 @@ def across(nodes: DataFrame, percent: int) -> DataFrame:
                 row = pa.array(np.repeat(np.arange(low, high), np.diff(bounds)))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in ("node", "part", "n", "least")), pa.array(values.view(np.int64))], ["node", "part", "n", "least", "shingle"])
 
-    rows = nodes.select("node", "part", "n", "least", "text").mapInArrow(exploded, "node long, part long, n long, least long, shingle long")
+    rows = nodes.select("node", "part", "n", "least", "text").mapInArrow(K.tidy(exploded), "node long, part long, n long, least long, shingle long")
     counts = rows.groupBy("shingle", "part").agg(F.count("*").alias("size"))
     counts = counts.groupBy("shingle").agg(F.sum("size").alias("times"), F.max_by("part", F.struct("size", "part")).alias("major"), F.count("*").alias("parts"))
     rows = rows.join(counts, "shingle").withColumn("place", F.row_number().over(Window.partitionBy("node").orderBy("times", "shingle")))

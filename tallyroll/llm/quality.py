@@ -185,7 +185,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     read = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     # Sums of doubles depend on the order of rows; rounding the means makes them the same in every run.
-    cells = read.mapInArrow(sums, "lang string, kind string, place int, total double, n long").groupBy("lang", "kind", "place").agg((F.round(F.sum("total") / F.sum("n"), 9)).alias("share"))
+    cells = read.mapInArrow(K.tidy(sums), "lang string, kind string, place int, total double, n long").groupBy("lang", "kind", "place").agg((F.round(F.sum("total") / F.sum("n"), 9)).alias("share"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", "share"))), lambda x: x["share"])
     kinds = cells.groupBy("lang", "kind").agg(ordered.alias("histogram"))
     return kinds.groupBy("lang").agg(F.max(F.when(F.col("kind") == "chars", F.col("histogram"))).alias("ref_chars"), F.max(F.when(F.col("kind") == "words", F.col("histogram"))).alias("ref_words"))
@@ -232,7 +232,7 @@ def by_place(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
             struct = pa.StructArray.from_arrays(columns, names=[f.name for f in added])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), struct], [*passed, "_quality"])
 
-    return met.mapInArrow(judge, schema)
+    return met.mapInArrow(K.tidy(judge), schema)
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
