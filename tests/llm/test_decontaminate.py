@@ -3,16 +3,17 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tallyroll.llm.decontaminate import Items, align, contamination, edit_budget, keep_unseen, matches, searched
+from tallyroll.llm.decontaminate import Items, align, blocks, contamination, edit_budget, keep_unseen, matches, searched, unsearchable
 
 
 def normal(text):
     return re.sub(r"[\x20\x09-\x0D]+", " ", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
 
 
-def distance(pattern, text):
-    """Fewest edits of the pattern against any stretch of the text."""
+def ends(pattern, text):
+    """For each place of the text the fewest edits of the pattern against any stretch that ends there."""
     letters = np.array([ord(c) for c in text])
     step = np.arange(len(text) + 1)
     row = np.zeros(len(text) + 1, np.int64)
@@ -20,7 +21,23 @@ def distance(pattern, text):
         new = np.concatenate(([i + 1], row[:-1] + (letters != ord(c))))
         new = np.minimum(new, row + 1)
         row = np.minimum.accumulate(new - step) + step
-    return int(row.min())
+    return row
+
+
+def distance(pattern, text):
+    """Fewest edits of the pattern against any stretch of the text."""
+    return int(ends(pattern, text).min())
+
+
+def whole(a, b):
+    """Edit distance of two strings."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(new[-1] + 1, row[j] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
 
 
 def plain(texts, items):
@@ -29,7 +46,7 @@ def plain(texts, items):
         found = {}
         for i, item in items:
             p = normal(item)
-            if len(p) >= 32:
+            if len(p) >= 8:
                 d = distance(p, normal(t))
                 if d <= edit_budget(len(p)):
                     found[i] = d
@@ -40,15 +57,20 @@ def plain(texts, items):
 def check(spark, texts, items):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    rows = {r.doc_id: {m.item_id: m.edits for m in r._matches} for r in searched(docs, benchmark).collect()}
-    expected = plain(texts, items)
-    assert [rows[i] for i in range(len(texts))] == expected
+    found = {r.doc_id: r._matches for r in searched(docs, benchmark).collect()}
+    expected, own = plain(texts, items), dict(items)
+    assert [{m.item_id: m.edits for m in found[i]} for i in range(len(texts))] == expected
+    for i, text in enumerate(texts):
+        for m in found[i]:
+            pattern, clear = normal(own[m.item_id]), normal(text)
+            assert m.stop == np.flatnonzero(ends(pattern, clear) == m.edits)[0]
+            assert whole(pattern, clear[m.start : m.stop]) == m.edits
     return expected
 
 
 def test_planted_edits(spark):
     rng = np.random.default_rng(11)
-    items = [(i, "".join(rng.choice(list("abcdefgh é"), int(rng.integers(20, 200))))) for i in range(15)]
+    items = [(i, "".join(rng.choice(list("abcdefgh é"), int(rng.integers(8, 200))))) for i in range(15)]
     texts = []
     for _ in range(120):
         own = list(items[rng.integers(0, 15)][1])
@@ -60,6 +82,28 @@ def test_planted_edits(spark):
     assert 20 < sum(map(bool, expected)) < 120
 
 
+def test_short_items(spark):
+    """Exactly from eight characters on, wherever they stand; shorter ones are listed."""
+    items = [(1, "short item under limit"), (2, "Eight ch"), (3, "seven c"), (4, " a \t\n b "), (5, None), (6, "0123456789" * 3 + "x"), (7, "sevenéé\n\nx")]
+    texts = ["a short  item under limit here", "short item undr limit", "eight ch", "eigh ch", "seven c", "a b", "y" + "0123456789" * 3 + "x", "0123456789" * 3, "", None, "unsevenéé xs"]
+    expected = check(spark, texts, items)
+    assert [set(e) for e in expected] == [{1}, set(), {2}, set(), set(), set(), {6}, set(), set(), set(), {7}]
+    table = spark.createDataFrame(items, "item_id long, text string").withColumn("item", F.lit("x"))
+    assert {(r.item_id, r.text) for r in unsearchable(table).collect()} == {(3, "seven c"), (4, " a b "), (5, None)}
+
+
+def test_one_long_item_leaves_the_others_their_bands(spark):
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefghijkl "), n))
+    items = [(i, word(85)) for i in range(20)] + [(99, word(5000)), (100, word(20))]
+    texts = [word(50) + text + word(50) for _, text in items] + [word(500)]
+    texts.append(texts[20][:3000] + "#" * 100 + texts[20][3100:])
+    expected = check(spark, texts, items)
+    assert [set(e) for e in expected] == [{i} for i, _ in items] + [set(), {99}]
+    (block,) = blocks(spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((len(t.ids), t.half > 20) for t in block) == [(1, False), (1, True), (20, False)]
+
+
 def test_whole_table(spark, sf_dir):
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     rows = {r.doc_id: r for r in contamination(docs, benchmark).collect()}
@@ -106,4 +150,4 @@ def test_alignment_stays_in_its_band():
     a, b = (np.array([ord(c) for c in s], np.uint32) for s in ("kitten", "xxsittingxx"))
     assert align(a, b, 0, 4, 3) == (2, 8)
     assert align(a, b, 0, 0, 3) is None
-    assert Items([], []).regions(b, np.array([0, len(b)])) == set()
+    assert Items([], []).regions(b.astype(np.uint64), np.array([0, len(b)])) == set()
