@@ -219,6 +219,20 @@ def warehouse_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_stored(rows, path)
 
 
+# Buckets of the keyed store; the test tables are small, so its files are never taken for small ones.
+STORE_BUCKETS = 16
+
+
+def warehouse_keyed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of daily rows, keyed by content, into a table in buckets: some of the rows, all, and all again."""
+    metric, path = METRICS["total_quantity_per_prod"], scratch_path(spark, "warehouse")
+    first, last = _order_days(spark, sf_dir).agg(F.min("run_date"), F.max("run_date")).first()
+    for where in (FIRST_LOAD, None, None):
+        rows = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, where))
+        warehouse.load(rows, path, first, last, buckets=STORE_BUCKETS, small_bytes=0)
+    return warehouse.read_stored(rows, path)
+
+
 def _all_published(spark: SparkSession, base: str, first: date, last: date) -> DataFrame:
     """The rows of all twelve tables: metric, day, keys as one text, value."""
     found = []
@@ -426,6 +440,7 @@ def catalogue() -> dict[str, Query]:
         "published_range": published_range,
         "warehouse_load": warehouse_load,
         "warehouse_daily_roundtrip": warehouse_daily_roundtrip,
+        "warehouse_keyed_load": warehouse_keyed_load,
         "history_roundtrip": history_roundtrip,
         "history_changes": history_changes,
         "day_roundtrip": day_roundtrip,

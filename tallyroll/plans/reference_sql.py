@@ -246,6 +246,7 @@ FROM wide GROUP BY buyer"""
     by_month = ("CAST(o_orderdate AS DATE) AS run_date", "CAST(date_trunc('month', o_orderdate) AS DATE) AS run_date")
     found["warehouse_load"] = found["warehouse_rerun"].replace(*by_month)
     found["warehouse_daily_roundtrip"] = found["warehouse_rerun"]
+    found["warehouse_keyed_load"] = found["warehouse_rerun_hash"]
     days = "SELECT DISTINCT date_trunc('month', o_orderdate) AS m, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"
     found["table_of_published"] = f"""SELECT 'revenue_by_category' AS table_name, count(*) AS n_rows FROM ({days}) d
 UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""

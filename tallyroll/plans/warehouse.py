@@ -14,9 +14,14 @@ from tallyroll.operators.numbering import number_rows
 from tallyroll.plans.metrics import Metric
 from tallyroll.session import remove, settle
 from tallyroll.sources import versions, zones
+from tallyroll.sources.buckets import opened
+from tallyroll.sources.buckets import write as write_buckets
 from tallyroll.sources.raw import MissingInput, empty
 
 KEY = ("static_date", "date_id")
+KEY_COLUMNS = "date_id string, static_date string"
+# Stored files up to this size in all are broadcast, keys only, when a table in buckets is loaded.
+SMALL_BYTES = 16 << 20
 # A table of positions per day up to this many days is broadcast (about 50 bytes each).
 BROADCAST_DAYS = 100_000
 
@@ -101,28 +106,77 @@ def read_warehouse(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(*(zones.zone(path, commit.folder) for commit in commits))
 
 
-def load(rows: DataFrame, path: str, first: date, last: date, by_content: bool = True) -> None:
+def fresh_keys(rows: DataFrame, path: str, commits: Sequence[versions.Commit], first: date, last: date, buckets: int, tables: Sequence[DataFrame], small_bytes: int = SMALL_BYTES) -> DataFrame:
+    """The same for rows of any key against a table in buckets; ``tables`` are the opened folders of ``in_buckets``.
+
+    ``rows`` are shuffled once, into as many partitions as there are buckets; the stored keys are not. Folders that are not in these buckets meet the
+    rows by broadcast, up to ``small_bytes`` of files, else by an ordinary join.
+    """
+    spark, fresh = rows.sparkSession, rows
+    low, high = first.isoformat(), last.isoformat()
+    bucketed = in_buckets(commits, first, last, buckets, small_bytes)
+    others = [c for c in _holding(commits, first, last) if c not in bucketed]
+    sizes, chosen, left = [sum(c.files[""].values()) for c in others], [], small_bytes
+    for commit, size in sorted(zip(others, sizes, strict=True), key=lambda pair: pair[1]):
+        if size <= left:
+            chosen.append(commit)
+            left -= size
+    known = list(tables)
+    for group, hint in ((chosen, True), ([c for c in others if c not in chosen], False)):
+        if group:
+            stored = spark.read.schema(KEY_COLUMNS).parquet(*(zones.zone(path, c.folder) for c in group))
+            known.append(F.broadcast(stored) if hint else stored)
+    for stored in known:
+        fresh = fresh.join(stored.where(F.col("static_date").between(low, high)).select("date_id"), "date_id", "left_anti")
+    return fresh.select(*rows.columns)
+
+
+def _holding(commits: Sequence[versions.Commit], first: date, last: date) -> list[versions.Commit]:
+    low, high = first.isoformat(), last.isoformat()
+    return [commit for commit in commits if any(low <= day <= high for day in commit.days)]
+
+
+def in_buckets(commits: Sequence[versions.Commit], first: date, last: date, buckets: int, small_bytes: int = SMALL_BYTES) -> list[versions.Commit]:
+    """Loads of those days that are in so many buckets and not small."""
+    return [c for c in _holding(commits, first, last) if c.buckets == buckets and sum(c.files[""].values()) > small_bytes]
+
+
+def load(rows: DataFrame, path: str, first: date, last: date, by_content: bool = True, buckets: int = 0, small_bytes: int = SMALL_BYTES) -> None:
     """Create the table if absent, then append the rows whose key it lacks.
 
     Only loads with days from ``first`` to ``last`` are listed, and only those days read: files are sorted by day. ``by_content=False`` is
     for rows keyed by position. Loads may run side by side: the new rows are staged in a folder of this load and
     published in one step (``sources.versions``). If another load has published one of the same days meanwhile, the staged rows go and
     are determined anew against what is stored then, so every key comes once.
+
+    With ``buckets`` the new rows are written in so many buckets of their key, in which later loads of as many find them without a shuffle of the
+    stored keys (``fresh_keys``); for tables whose loads are large. The number should stay the same from load to load, and be some
+    multiple of the cores; loads with another number or none are found as well.
     """
     spark = rows.sparkSession
     while True:
         seen, folder = versions.log(spark, path), versions.new_folder()
-        fresh = (fresh_rows if by_content else fresh_positions)(rows, read_stored(rows, path, first, last, seen))
         staged, written = zones.zone(path, folder), Observation()
-        try:
-            # Rows keyed by position come in the order of their days, which is kept.
-            fresh.observe(written, F.collect_set("static_date").alias("days")).sortWithinPartitions("static_date").write.parquet(staged)
-            days = set(written.get["days"])
-            added = {"": versions.files(spark, staged)}
-            done = not days or versions.commit(spark, path, folder, days, added, seen, lambda other, days=days: not days.isdisjoint(other.days))
-        except BaseException:
-            remove(spark, staged)
-            raise
+        paths = [zones.zone(path, c.folder) for c in in_buckets(seen, first, last, buckets, small_bytes)] if buckets else []
+        with opened(spark, paths, KEY_COLUMNS, "date_id", max(1, buckets)) as tables:
+            if buckets:
+                # In the buckets' partitions already, unless nothing in buckets was stored yet.
+                fresh = fresh_keys(rows, path, seen, first, last, buckets, tables, small_bytes).repartition(buckets, "date_id")
+            else:
+                fresh = (fresh_rows if by_content else fresh_positions)(rows, read_stored(rows, path, first, last, seen))
+            fresh = fresh.observe(written, F.collect_set("static_date").alias("days"))
+            try:
+                if buckets:
+                    write_buckets(fresh, staged, "date_id", buckets)
+                else:
+                    # Rows keyed by position come in the order of their days, which is kept.
+                    fresh.sortWithinPartitions("static_date").write.parquet(staged)
+                days = set(written.get["days"])
+                added = {"": versions.files(spark, staged)}
+                done = not days or versions.commit(spark, path, folder, days, added, seen, lambda other, days=days: not days.isdisjoint(other.days), buckets=buckets)
+            except BaseException:
+                remove(spark, staged)
+                raise
         if not days or not done:
             remove(spark, staged)
         if done:

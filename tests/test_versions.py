@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS
-from tallyroll.sources import versions
+from tallyroll.sources import buckets, versions
 
 DAY = date(2025, 4, 14)
 METRIC = METRICS["num_of_prod_sold"]
@@ -147,3 +147,53 @@ def test_a_few_days_of_a_run_skip_the_other_files(spark, tmp_path):
     assert table.count() == 100 and table.agg(F.min("run_date"), F.max("run_date")).first() == (days[3], days[4])
     assert "GreaterThanOrEqual(run_date,2025-04-17)" in table._jdf.queryExecution().executedPlan().toString()
     assert len({r.f for r in table.select(F.col("_metadata.file_name").alias("f")).collect()}) <= 2
+
+
+def test_a_table_in_buckets_is_not_shuffled_by_a_load(spark, tmp_path):
+    # As if the stored keys were too large for Spark to broadcast by itself.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _loads_in_buckets(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _loads_in_buckets(spark, tmp_path):
+    path, days, last = str(tmp_path / "t"), [DAY + timedelta(days=n) for n in range(6)], DAY + timedelta(days=5)
+    first = warehouse.content_rows(daily(spark, *((d, p, p) for d in days for p in range(200))))
+    more = warehouse.content_rows(daily(spark, *((d, p, p) for d in days for p in range(100, 260))))
+    third = warehouse.content_rows(daily(spark, *((d, p, p) for d in days[:2] for p in range(300))))
+    warehouse.load(first, path, DAY, last, buckets=4, small_bytes=0)
+    warehouse.load(more, path, DAY, last, buckets=4, small_bytes=0)
+    commits = versions.log(spark, path)
+    assert [c.buckets for c in commits] == [4, 4] and [len(c.files[""]) for c in commits] == [4, 4]
+    assert spark.read.parquet(f"{path}/{commits[1].folder}").count() == 6 * 60
+    stored = warehouse.in_buckets(commits, DAY, last, 4, 0)
+    with buckets.opened(spark, [f"{path}/{c.folder}" for c in stored], warehouse.KEY_COLUMNS, "date_id", 4) as tables:
+        fresh = warehouse.fresh_keys(third, path, commits, DAY, last, 4, tables, 0)
+        text = fresh._jdf.queryExecution().executedPlan().toString()
+        # One shuffle, that of the new rows.
+        assert text.count("Exchange") == 1 and "Exchange hashpartitioning(date_id" in text and text.count("Bucketed: true") == 2
+        assert text.count("GreaterThanOrEqual(static_date,") == 2
+        assert fresh.count() == 2 * 40
+    assert spark.catalog.listTables() == []
+    warehouse.load(third, path, DAY, last, buckets=4, small_bytes=0)
+    warehouse.load(third, path, DAY, last, buckets=4, small_bytes=0)
+    assert len(versions.log(spark, path)) == 3
+    found = keys(warehouse.read_stored(first, path))
+    assert len(found) == len(set(found)) == 2 * 300 + 4 * 260
+
+
+@pytest.mark.parametrize("small_bytes", [0, 1 << 20])
+def test_loads_in_other_buckets_or_none_are_found(spark, tmp_path, small_bytes):
+    path, last = str(tmp_path / "t"), DAY + timedelta(days=1)
+    for step, n in enumerate((0, 4, 8, 8, 0, 4)):
+        rows = warehouse.position_rows(METRIC, daily(spark, *((d, p, -p) for d in (DAY, last) for p in range(10 * (step + 1)))))
+        warehouse.load(rows, path, DAY, last, False, buckets=n, small_bytes=small_bytes)
+        found = keys(warehouse.read_stored(rows, path))
+        assert len(found) == len(set(found)) == 20 * (step + 1)
+    assert [c.buckets for c in versions.log(spark, path)] == [0, 4, 8, 8, 0, 4]
+    before = len(versions.log(spark, path))
+    warehouse.load(rows.limit(0), path, DAY, last, False, buckets=4)
+    assert len(versions.log(spark, path)) == before and len(list((tmp_path / "t").glob("run=*"))) == before
