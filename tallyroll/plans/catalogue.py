@@ -317,6 +317,16 @@ def table_of_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1]).groupBy(zones.table_name(F.col("file_path")).alias("table_name")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def published_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the published tables as counted when they were written and as read, and whether the digests agree."""
+    base, days = scratch_path(spark, "published"), _days(spark, sf_dir)
+    names = ("rev_prod_cat", "revenue_by_category", "total_day_revenue")
+    publish.publish(spark, base, days, _stage_daily(spark, sf_dir, days), [METRICS[name] for name in names])
+    found = publish.contents(spark, base, days)
+    rows = {f"rows_{kind}": F.substring_index(kind, ":", 1).cast("bigint") for kind in ("written", "found")}
+    return found.select("table_name", *(rows[name].alias(name) for name in rows), (F.col("written") == F.col("found")).alias("same"))
+
+
 def fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue by category with prices of six decimal places."""
     fine = flatten_products(star.products(spark, sf_dir)).join(star.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("Product_ID"), "p_size"), "Product_ID")
@@ -438,6 +448,7 @@ def catalogue() -> dict[str, Query]:
         "table_of_path": table_of_path,
         "table_of_published": table_of_published,
         "published_range": published_range,
+        "published_contents": published_contents,
         "warehouse_load": warehouse_load,
         "warehouse_daily_roundtrip": warehouse_daily_roundtrip,
         "warehouse_keyed_load": warehouse_keyed_load,

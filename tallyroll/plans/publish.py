@@ -6,9 +6,10 @@ from collections.abc import Callable, Collection, Iterable, Iterator, Mapping, S
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyroll.functions import money
@@ -24,6 +25,22 @@ class MissingOutput(LookupError):
     """A published table lacks a day."""
 
 
+class ChangedOutput(LookupError):
+    """A published table holds other rows than its run wrote."""
+
+
+class Staged(dict[str, int]):
+    """Files of a table and their length; ``content``: number and digest of the rows that were written."""
+
+    content = ""
+
+
+def content(columns: Iterable[str]) -> Column:
+    """Number and digest of rows, whatever their order: the exact sum of their hashes."""
+    digest = F.coalesce(F.sum(F.xxhash64(*sorted(columns)).cast("decimal(28,0)")), F.lit(0))
+    return F.concat_ws(":", F.count(F.lit(1)).cast("string"), digest.cast("string"))
+
+
 @contextmanager
 def materialised(*frames: DataFrame) -> Iterator[tuple[DataFrame, ...]]:
     """Compute frames once for several uses and release them afterwards.
@@ -47,19 +64,22 @@ def run_jobs(jobs: Iterable[Callable[[], object]], parallel: int = PARALLEL_JOBS
             done.result()
 
 
-def _stage(result: DataFrame, folder: str, name: str) -> dict[str, int]:
-    path = zones.zone(folder, name)
-    result.write.parquet(path)
-    return versions.files(result.sparkSession, path)
+def _stage(result: DataFrame, folder: str, name: str) -> Staged:
+    """Write a table; its content is counted on the way, without another pass."""
+    path, written = zones.zone(folder, name), Observation()
+    result.observe(written, content(result.columns).alias("content")).write.parquet(path)
+    staged = Staged(versions.files(result.sparkSession, path))
+    staged.content = written.get["content"]
+    return staged
 
 
-def stage_day(metric: Metric, sales: DataFrame, folder: str, run_date: date, places: money.Places = money.Places()) -> dict[str, int]:
+def stage_day(metric: Metric, sales: DataFrame, folder: str, run_date: date, places: money.Places = money.Places()) -> Staged:
     """Write one day of a metric into the folder of a run; its files."""
     result = metric.compute(sales, places=places)
     return _stage(result.select(F.lit(run_date).alias("run_date"), "*"), folder, metric.name)
 
 
-def stage_days(metric: Metric, sales: DataFrame, folder: str, days: Sequence[date], places: money.Places = money.Places()) -> dict[str, int]:
+def stage_days(metric: Metric, sales: DataFrame, folder: str, days: Sequence[date], places: money.Places = money.Places()) -> Staged:
     """Write the given days of a metric, in the order of days and within each day, into the folder of a run.
 
     Days are no folders: files are sorted by day, so a reader of a few days skips the others by the files' own statistics,
@@ -87,7 +107,8 @@ def publish(spark: SparkSession, base: str, days: Iterable[date], stage: Callabl
 
     try:
         run_jobs([lambda m=m: one(m) for m in metrics])
-        versions.commit(spark, analytics, name, [d.isoformat() for d in days], added, marks={d.isoformat(): mark for d, mark in (marks or {}).items()})
+        contents = {table: staged.content for table, staged in added.items() if isinstance(staged, Staged)}
+        versions.commit(spark, analytics, name, [d.isoformat() for d in days], added, marks={d.isoformat(): mark for d, mark in (marks or {}).items()}, contents=contents)
     except BaseException:
         remove(spark, folder)
         raise
@@ -116,6 +137,30 @@ def check_days(spark: SparkSession, base: str, days: Sequence[date]) -> None:
                 raise MissingOutput(f"{name}: {commit.folder}/{wrong[0]} {state}")
 
 
+def contents(spark: SparkSession, base: str, days: Collection[date]) -> DataFrame:
+    """``folder, table_name, written, found`` for the runs that ``days`` come from: number and digest of the rows of each table when
+    it was written (null if its run did not say) and now. One pass over these runs' tables.
+    """
+    analytics, frames = zones.zone(base, "analytics"), []
+    runs = {commit.folder: commit for commit in versions.current(versions.log(spark, analytics), only=days).values()}
+    for folder, commit in sorted(runs.items()):
+        for name in sorted(commit.files):
+            table = spark.read.parquet(zones.zone(analytics, folder, name))
+            said = F.lit(commit.contents.get(name)).cast("string")
+            frames.append(table.agg(content(table.columns).alias("found")).select(F.lit(folder).alias("folder"), F.lit(name).alias("table_name"), said.alias("written"), "found"))
+    if not frames:
+        raise MissingOutput(f"no such day at {analytics}")
+    return reduce(DataFrame.unionByName, frames)
+
+
+def check_contents(spark: SparkSession, base: str, days: Sequence[date]) -> None:
+    """``check_days``, and every table of the runs of ``days`` holds just the rows that were written."""
+    check_days(spark, base, days)
+    # A row for each run and table.
+    for r in contents(spark, base, days).where(F.col("written") != F.col("found")).sort("folder", "table_name").collect():
+        raise ChangedOutput(f"{r.table_name}: {r.folder} holds {r.found.split(':')[0]} rows, {r.written.split(':')[0]} were written" + (", with other values" if r.found.split(":")[0] == r.written.split(":")[0] else ""))
+
+
 def read_published(spark: SparkSession, base: str, name: str, first: date, last: date, only: Collection[date] | None = None) -> DataFrame:
     """Published rows of a metric for a range of days, or some days of it, each day as its last run left it."""
     return versions.read(spark, zones.zone(base, "analytics"), name, first, last, only)

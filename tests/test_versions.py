@@ -197,3 +197,47 @@ def test_loads_in_other_buckets_or_none_are_found(spark, tmp_path, small_bytes):
     before = len(versions.log(spark, path))
     warehouse.load(rows.limit(0), path, DAY, last, False, buckets=4)
     assert len(versions.log(spark, path)) == before and len(list((tmp_path / "t").glob("run=*"))) == before
+
+
+def test_other_rows_than_those_written_are_named(spark, tmp_path):
+    base, days = str(tmp_path), [DAY, DAY + timedelta(days=1), DAY + timedelta(days=2)]
+
+    def sales(*days):
+        return spark.createDataFrame([(d, p, 3 * p) for d in days for p in range(20)], "run_date date, product_ID long, lines long")
+
+    publish.publish(spark, base, days[:2], lambda m, folder: publish.stage_days(m, sales(*days[:2]), folder, days[:2]), [METRIC])
+    publish.publish(spark, base, days[2:], lambda m, folder: publish.stage_days(m, sales(DAY).where("product_ID < 0"), folder, days[2:]), [METRIC])
+    found = {r.table_name + r.folder: r for r in publish.contents(spark, base, days).collect()}
+    assert sorted(r.found.split(":")[0] for r in found.values()) == ["0", "40"] and all(r.written == r.found for r in found.values())
+    folder = versions.log(spark, str(tmp_path / "analytics"))[0].folder
+    path = f"{base}/analytics/{folder}/{METRIC.name}"
+    table = spark.read.parquet(path)
+    rows, schema = table.collect(), table.schema
+    commit = versions.log(spark, str(tmp_path / "analytics"))[0]
+    assert commit.contents[METRIC.name].split(":")[0] == "40"
+    # Two values change places, a row is twice there, a row is gone.
+    other = [r.asDict() for r in rows]
+    other[0]["Num_prod_sold"], other[1]["Num_prod_sold"] = other[1]["Num_prod_sold"], other[0]["Num_prod_sold"]
+    for changed, n in ((other, 40), ([*rows, rows[0]], 41), (rows[1:], 39)):
+        spark.createDataFrame(changed, schema).write.mode("overwrite").parquet(path)
+        (found,) = publish.contents(spark, base, days[:1]).collect()
+        assert found.written != found.found and found.found.startswith(f"{n}:")
+    with pytest.raises(publish.MissingOutput):
+        publish.check_contents(spark, base, days[:1])
+    with pytest.raises(publish.MissingOutput):
+        publish.contents(spark, base, [DAY - timedelta(days=9)])
+
+
+def test_changed_values_in_files_of_the_same_length(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    sales = spark.createDataFrame([(DAY, p, 3 * p) for p in range(20)], "run_date date, product_ID long, lines long")
+    publish.publish(spark, base, [DAY], lambda m, folder: publish.stage_days(m, sales, folder, [DAY]), [METRIC])
+    monkeypatch.setattr(publish, "METRICS", {METRIC.name: METRIC})
+    publish.check_contents(spark, base, [DAY])
+    path = f"{base}/analytics/{versions.log(spark, base + '/analytics')[0].folder}/{METRIC.name}"
+    table = spark.read.parquet(path)
+    changed = spark.createDataFrame([r.asDict() | {"Num_prod_sold": 7} for r in table.collect()], table.schema)
+    changed.write.mode("overwrite").parquet(path)
+    monkeypatch.setattr(publish, "check_days", lambda *a: None)
+    with pytest.raises(publish.ChangedOutput, match=f"{METRIC.name}: run=.* with other values"):
+        publish.check_contents(spark, base, [DAY])
