@@ -15,7 +15,8 @@ the earliest, from the front.
 
 Defined results: turns are ordered by ``turn`` (null first), then by role and text; equal rows are
 turns of their own. A null text is empty; a role is compared without case and outer white space,
-and any but the three counts as a role to relabel. A null conv_id is a conversation of its own.
+and any but the three counts as a role to relabel. A null conv_id is a conversation of its own, to which
+the smallest long, -2**63, counts too. A block of very long turns lies whole in one task.
 Other columns are not read. One row for each block: its part of the rendered conversation, which
 in order make up the whole.
 """
@@ -35,8 +36,8 @@ from tallyroll.operators.numbering import number_rows
 ROLES = ("system", "user", "assistant")
 MERGE, RELABEL, INSERT = 1, 2, 3
 BLOCK = 1000
-# Turns that a task's function sees at once, about.
-CELL_TURNS = 20_000
+# Turns, and bytes of their texts, that a task's function sees at once, about; one block at least.
+CELL_TURNS, CELL_BYTES = 20_000, 16 << 20
 NEVER = 1 << 40
 # Last role: 0 none, 1 system, 2 user, 3 assistant. Which roles may follow each.
 FOLLOWS = {0: (1, 2), 1: (2,), 2: (3,), 3: (2,)}
@@ -155,7 +156,8 @@ def chat_format(conversations: DataFrame, conv_col: str = "conv_id", turn_col: s
     numbered = number_rows(read, ["conv"], [F.col(c) for c in ("turn", "role", "text")]).withColumn("block", F.floor((F.col("row_no") - 1) / block).cast("long"))
     # Many short conversations go through a task's function together. Blocks are bounded, so cells of them are.
     least = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    n = max(least, -(-numbered.count() // CELL_TURNS))
+    size = numbered.agg(F.count("*").alias("turns"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n = max(least, -(-size.turns // CELL_TURNS), -(-size.bytes // CELL_BYTES))
     numbered = numbered.withColumn("cell", F.pmod(F.xxhash64("conv", "block"), F.lit(n)).cast("int"))
 
     def costs(table: pa.Table) -> pa.Table:

@@ -7,6 +7,7 @@ from itertools import product
 import numpy as np
 import pytest
 
+from tallyroll.llm import chat
 from tallyroll.llm.chat import ROLES, chat_format, role_number
 
 TURN = re.compile(r"<\|(\w+)\|>\n(.*?)\n<\|end\|>\n", re.DOTALL)
@@ -105,3 +106,12 @@ def test_odd_rows(spark):
     assert got[4].cost == 3 and got[5].cost == 0
     assert chat_format(docs.limit(0)).collect() == []
     assert role_number(" Assistant\n") == 3 and role_number("bot") == 0
+
+
+def test_cells_follow_the_bytes(spark, monkeypatch):
+    """Long turns are spread over more cells; the rows are the same."""
+    data = [(c, t, "user" if t % 2 == 0 else "assistant", f"{c}-{t} " * 400) for c in range(12) for t in range(5)]
+    docs = spark.createDataFrame(data, "conv_id long, turn long, role string, text string")
+    whole = sorted(map(tuple, chat_format(docs).collect()))
+    monkeypatch.setattr(chat, "CELL_BYTES", 1 << 12)
+    assert sorted(map(tuple, chat_format(docs).collect())) == whole and len(whole) == 12
