@@ -34,13 +34,13 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_trigram_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid backoff with three words. ``op2_lm_scoring`` stays with the two words that its SQL defines."""
-    found = score(documents(spark, sf_dir), order=3)
+    found = score(documents(spark, sf_dir))
     return found.withColumns({"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)})
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sums of logarithms depend on their order in the last digits, hence rounded."""
-    found = score(documents(spark, sf_dir))
+    found = score(documents(spark, sf_dir), order=2)
     return found.withColumns({"log_score": F.round("log_score", 4), "mean_log_score": F.round("mean_log_score", 6)})
 
 

@@ -32,7 +32,7 @@ from tallyroll.llm import cells as C
 from tallyroll.llm import kernels as K
 from tallyroll.llm.tables import keyed
 
-ORDER, BACKOFF = 2, 0.4
+ORDER, BACKOFF = 3, 0.4
 # Up to this order all n-grams are counted at once; longer ones after the replies to shorter ones.
 UNASKED = 2
 # N-grams of every order take several times the memory of the texts, hence smaller cells.

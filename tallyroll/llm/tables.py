@@ -14,7 +14,7 @@ NO_ID = -(2**63)
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
     """``doc_id, id, h, text``: what identifies a row, and its text.
 
-    ``id`` orders rows: a null id comes before all others. ``h`` is a hash of the text. Rows
+    ``id`` orders rows: a null id comes before all others; the smallest long, -2**63, counts as null. ``h`` is a hash of the text. Rows
     that agree in id and text are one document that is listed more than once; every result
     holds for each of its rows. A null text is empty.
     """
