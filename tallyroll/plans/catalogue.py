@@ -22,7 +22,7 @@ from tallyroll.operators.validity import VALID, intervals
 from tallyroll.plans import publish, warehouse
 from tallyroll.plans.metrics import METRICS, Metric
 from tallyroll.plans.runs import run_changes, run_day, run_history
-from tallyroll.session import fit_tasks, scratch_path, settle
+from tallyroll.session import TASK_ROWS, fit_tasks, scratch_path, settle
 from tallyroll.sources import landing, raw, zones
 from tallyroll.sources import starschema as star
 
@@ -219,7 +219,7 @@ def warehouse_daily_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warehouse.read_stored(rows, path)
 
 
-# Buckets of the keyed store; the test tables are small, so its files are never taken for small ones.
+# Buckets of the keyed store at least; the test tables are small, so its files are never taken for small ones.
 STORE_BUCKETS = 16
 
 
@@ -227,9 +227,10 @@ def warehouse_keyed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads of daily rows, keyed by content, into a table in buckets: some of the rows, all, and all again."""
     metric, path = METRICS["total_quantity_per_prod"], scratch_path(spark, "warehouse")
     first, last = _order_days(spark, sf_dir).agg(F.min("run_date"), F.max("run_date")).first()
+    buckets = max(STORE_BUCKETS, -(-star.table(spark, sf_dir, "lineitem").count() // TASK_ROWS))
     for where in (FIRST_LOAD, None, None):
-        rows = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, where))
-        warehouse.load(rows, path, first, last, buckets=STORE_BUCKETS, small_bytes=0)
+        rows = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, where), buckets)
+        warehouse.load(rows, path, first, last, buckets=buckets, small_bytes=0)
     return warehouse.read_stored(rows, path)
 
 

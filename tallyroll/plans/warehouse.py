@@ -37,13 +37,17 @@ def position_rows(metric: Metric, rows: DataFrame, keep: Callable[[DataFrame, st
     )
 
 
-def content_rows(rows: DataFrame) -> DataFrame:
-    """Rows keyed by day and the hash of their fields."""
+def content_rows(rows: DataFrame, buckets: int = 0) -> DataFrame:
+    """Rows keyed by day and the hash of their fields.
+
+    With ``buckets`` they come in so many hash partitions of the key, as a load in buckets wants them. The fields alone are
+    shuffled: the key, most of a row's bytes, is taken from them before and again behind the shuffle.
+    """
     fields = [c for c in rows.columns if c != "run_date"]
     day = calendar.day_label(F.col("run_date"))
-    return rows.select(
-        F.concat(day, F.lit("_"), keys.content_key(fields)).alias("date_id"), day.alias("static_date"), *fields
-    )
+    key = F.concat(day, F.lit("_"), keys.content_key(fields))
+    dealt = rows.repartition(buckets, key) if buckets else rows
+    return dealt.select(key.alias("date_id"), day.alias("static_date"), *fields)
 
 
 def fresh_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:

@@ -241,3 +241,16 @@ def test_changed_values_in_files_of_the_same_length(spark, tmp_path, monkeypatch
     monkeypatch.setattr(publish, "check_days", lambda *a: None)
     with pytest.raises(publish.ChangedOutput, match=f"{METRIC.name}: run=.* with other values"):
         publish.check_contents(spark, base, [DAY])
+
+
+def test_keyed_rows_are_shuffled_without_their_key(spark, tmp_path):
+    rows = daily(spark, *((DAY + timedelta(days=n % 7), n % 50, n) for n in range(300)), (DAY, None, 1), (DAY, 3, None), (DAY, 3, None))
+    dealt = warehouse.content_rows(rows, 5)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, warehouse.content_rows(rows).collect()))
+    plan = dealt.repartition(5, "date_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    last, path = DAY + timedelta(days=6), str(tmp_path / "w")
+    for part in (rows.where("product_ID < 20"), rows, rows):
+        warehouse.load(warehouse.content_rows(part, 5), path, DAY, last, buckets=5, small_bytes=0)
+    stored = warehouse.read_stored(dealt, path)
+    assert set(keys(stored)) == set(keys(dealt)) and stored.count() == rows.count()
