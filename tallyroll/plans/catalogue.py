@@ -109,7 +109,8 @@ def enriched(spark: SparkSession, sf_dir: str, owner: bool) -> DataFrame:
 
 
 def enriched_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = star.sale_lines(spark, sf_dir, owner=True, dated=True)
+    # Written down, since both joins look for hot keys in the lines before they join them.
+    lines = settle(star.sale_lines(spark, sf_dir, owner=True, dated=True), "lines")
     products = _snapshot(_weekly_products(spark, sf_dir), "Product_ID", *PRODUCT_FIELDS)
     users = _snapshot(_weekly_users(spark, sf_dir), "User_ID", *USER_FIELDS)
     return enrich(lines, products, users, by=("run_date",), weekly=True)
