@@ -243,6 +243,17 @@ def test_changed_values_in_files_of_the_same_length(spark, tmp_path, monkeypatch
         publish.check_contents(spark, base, [DAY])
 
 
+def test_many_ranges_are_few_conditions(spark, tmp_path):
+    days = [DAY + timedelta(days=n) for n in range(400)]
+    daily(spark, *((d, 1, n) for n, d in enumerate(days))).write.parquet(f"{tmp_path}/run=a")
+    versions.commit(spark, str(tmp_path), "run=a", [d.isoformat() for d in days], {})
+    for step in (3, 90):
+        wanted = [d for n, d in enumerate(days) if n % step in (0, 1)]
+        found = versions.read(spark, str(tmp_path), only=wanted)
+        assert sorted(r.run_date for r in found.collect()) == wanted
+        assert found._jdf.queryExecution().optimizedPlan().toString().count(">=") <= versions.MOST_RANGES
+
+
 def test_keyed_rows_are_shuffled_without_their_key(spark, tmp_path):
     rows = daily(spark, *((DAY + timedelta(days=n % 7), n % 50, n) for n in range(300)), (DAY, None, 1), (DAY, 3, None), (DAY, 3, None))
     dealt = warehouse.content_rows(rows, 5)
