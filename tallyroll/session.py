@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 # What one task reads of a shuffle. By default adaptive execution rather merges partitions until there is one for each core
 # (up to 64 MB of compressed rows, some 20 times that in sorts and hash maps), so the memory of a task grows with the input.
 TASK_BYTES = 4 << 20
+# What one task reads of files. By default that grows with the input to 128 MB of Parquet, some ten million narrow rows, which
+# a load sorts and a shuffle into many partitions holds in memory.
+FILE_BYTES = 16 << 20
 TASK_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
+    "spark.sql.files.maxPartitionBytes": str(FILE_BYTES),
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 # Rows of the largest table for each shuffle partition, at most.
@@ -68,11 +72,10 @@ def fit_tasks(spark: SparkSession, rows: int) -> None:
 
     They say into how many tasks a shuffle is dealt, and hold from then on; a session that is set finer is left alone.
     """
-    partitions, size = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    if _bytes(spark.conf.get(size)) > TASK_BYTES:
-        spark.conf.set(size, TASK_SETTINGS[size])
-    for name in TASK_SETTINGS.keys() - {size}:
-        spark.conf.set(name, TASK_SETTINGS[name])
+    partitions, sizes = "spark.sql.shuffle.partitions", {"spark.sql.adaptive.advisoryPartitionSizeInBytes": TASK_BYTES, "spark.sql.files.maxPartitionBytes": FILE_BYTES}
+    for name, value in TASK_SETTINGS.items():
+        if name not in sizes or _bytes(spark.conf.get(name)) > sizes[name]:
+            spark.conf.set(name, value)
     if int(spark.conf.get(partitions)) < (needed := math.ceil(rows / TASK_ROWS)):
         spark.conf.set(partitions, str(needed))
 

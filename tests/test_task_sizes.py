@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyroll.plans.catalogue import catalogue
-from tallyroll.session import TASK_BYTES, TASK_ROWS, fit_tasks
+from tallyroll.session import FILE_BYTES, TASK_BYTES, TASK_ROWS, fit_tasks
 
 PARTITIONS, SIZE, FIRST = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
 
@@ -43,3 +43,23 @@ def test_a_finer_setting_stays(elsewhere):
         elsewhere.conf.set(SIZE, text)
         fit_tasks(elsewhere, 0)
         assert elsewhere.conf.get(SIZE) == str(TASK_BYTES)
+
+
+def test_tasks_read_bounded_parts_of_files(elsewhere, tmp_path):
+    spark, size, least = elsewhere, "spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum"
+    before = {name: spark.conf.get(name, None) for name in (size, least)}
+    try:
+        spark.range(3 * FILE_BYTES // 8).selectExpr("xxhash64(id) h").coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(str(tmp_path / "t"))
+        spark.conf.set(size, "128MB")
+        spark.conf.set(least, "1")  # as many as an input of any length has, however many cores there are
+        fit_tasks(spark, 0)
+        assert spark.read.parquet(str(tmp_path / "t")).groupBy(F.spark_partition_id()).count().count() >= 3
+        spark.conf.set(size, "1m")
+        fit_tasks(spark, 0)
+        assert spark.conf.get(size) == "1m"
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
