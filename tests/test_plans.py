@@ -2,6 +2,7 @@
 
 import re
 from contextlib import redirect_stdout
+from datetime import date
 from io import StringIO
 
 import pytest
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 import golden
 from tallyroll.operators.flatten import cart_lines, sale_lines
-from tallyroll.plans.catalogue import catalogue
-from tallyroll.sources import landing, raw
+from tallyroll.plans.catalogue import _land_weeks, catalogue
+from tallyroll.sources import landing, raw, zones
+from tallyroll.sources import starschema as star
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -81,3 +83,35 @@ def test_landed_carts_are_pruned_by_day_and_field(spark, tmp_path):
         text = plan(lines.groupBy("product_ID").count())
         assert "ReadSchema: struct<products:array<struct<productId:bigint>>,run_date:date>" in text
         assert re.search(r"PushedFilters: \[.*EqualTo\(run_date,2020-03-02\)", text)
+
+
+def test_documents_of_a_week_are_made_behind_the_shuffle(spark, tmp_path):
+    sf, base, seen = str(tmp_path / "sf"), str(tmp_path / "shop"), []
+    frames = {
+        "nation": "select 1 n_nationkey, 'N' n_name, 2 n_regionkey",
+        "customer": "select * from values (7L, 'C#7', 1, 'M'), (8L, null, 5, null) t(c_custkey, c_name, c_nationkey, c_mktsegment)",
+        "orders": "select * from values (1L, 7L, timestamp'1995-01-02'), (2L, 8L, timestamp'1995-01-10') t(o_orderkey, o_custkey, o_orderdate)",
+        "lineitem": "select o l_orderkey, 3L l_partkey, 2D l_quantity, 1 l_linenumber, d l_shipdate from values (1L, timestamp'1995-01-03'), (1L, timestamp'1995-01-04'), (2L, timestamp'1995-01-12') t(o, d)",
+        "part": "select 3L p_partkey, 'p' p_name, 'b' p_brand, 't' p_type, 15 p_size, 9.5D p_retailprice",
+    }
+    for name, text in frames.items():
+        spark.sql(text).write.parquet(f"{sf}/{name}.parquet")
+    days = [date(1995, 1, 2), date(1995, 1, 20)]
+    for kind, rows, fields, whole in (
+        ("products", star.weekly_product_rows(spark, sf), star.product_fields(weekly=True), star.weekly_products(spark, sf)),
+        ("users", star.weekly_user_rows(spark, sf), star.user_fields(), star.weekly_users(spark, sf)),
+    ):
+        _land_weeks(rows, base, kind, fields, days)
+        found = zones.read_table(spark, f"{base}/raw/{kind}").select(*whole.columns)
+        assert sorted(found.where("id <> -1").collect(), key=str) == sorted(whole.collect(), key=str)
+        extra = found.where("id = -1")
+        assert {(r.iso_year, r.iso_week) for r in extra.collect()} == {(1995, 1), (1995, 3)}
+        assert all(v is None for r in extra.drop("id", "iso_year", "iso_week").collect() for v in r)
+
+    def make(dealt):
+        seen.append(dealt._jdf.queryExecution().logical().toString().lower())
+        return dealt.select("iso_year", "iso_week", (F.col("id") * 2).alias("twice"))
+
+    landing.land_weekly_history(spark.sql("select 1995 iso_year, 1 iso_week, 4L id"), base, "other", make)
+    assert "rebalance" in seen[0]
+    assert [r.twice for r in zones.read_table(spark, f"{base}/raw/other").collect()] == [8]
