@@ -3,10 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallyroll import session
+from tallyroll.plans import catalogue as plans
 from tallyroll.plans.catalogue import catalogue
 from tallyroll.session import FILE_BYTES, TASK_BYTES, TASK_ROWS, fit_tasks
 
 PARTITIONS, SIZE, FIRST = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+LEAST = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
 
 @pytest.fixture
@@ -16,6 +19,7 @@ def elsewhere(spark):
     for name, value in {PARTITIONS: "2", SIZE: "64MB", FIRST: "true"}.items():
         spark.conf.set(name, value)
     yield spark
+    spark.conf.unset(LEAST)
     for name, value in before.items():
         spark.conf.set(name, value)
 
@@ -63,3 +67,24 @@ def test_tasks_read_bounded_parts_of_files(elsewhere, tmp_path):
                 spark.conf.unset(name)
             else:
                 spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("name", ["publish_roundtrip", "published_range", "published_contents", "m04_by_day", "warehouse_daily_roundtrip"])
+def test_stored_and_published_rows_come_from_many_tasks(name, elsewhere, tmp_path, monkeypatch):
+    spark, most, n = elsewhere, 5_000, 40_000
+    monkeypatch.setattr(session, "TASK_ROWS", most)
+    monkeypatch.setattr(plans, "scratch_path", lambda spark, label: str(tmp_path / label))
+    # As with long tables, no partitions of a shuffle are small enough to be merged.
+    spark.conf.set(SIZE, "1k")
+    spark.conf.set(LEAST, "1k")
+    line = ["id div 4 l_orderkey", "id l_partkey", "1.0D l_quantity", "id % 4 l_linenumber", "if(id % 3 = 0, 'R', 'N') l_returnflag"]
+    spark.range(n).selectExpr(*line).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(n // 4).selectExpr("id o_orderkey", "id o_custkey", "date_add(date'1995-01-01', cast(id % 90 as int)) o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(n).selectExpr("id p_partkey", "'p' p_name", "'b' p_brand", "'t' p_type", "1 p_size", "1.5D p_retailprice").write.parquet(f"{tmp_path}/part.parquet")
+    found = plans.catalogue()[name](spark, str(tmp_path))
+    if name == "m04_by_day":
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    else:
+        table = "warehouse/run=*" if name == "warehouse_daily_roundtrip" else "published/analytics/run=*/rev_prod_cat"
+        sizes = [rows for path in tmp_path.glob(f"{table}/*.parquet") if (rows := spark.read.parquet(str(path)).count())]
+    assert sum(sizes) == n and max(sizes) <= 1.5 * most
