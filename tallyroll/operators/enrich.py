@@ -77,6 +77,7 @@ def enrich(
         product_rows = dedupe(product_rows, [*time_key(products, weekly), "product_ID"])
         user_rows = dedupe(user_rows, [*time_key(users, weekly), "User_ID"])
     wide = time_join(lines, product_rows, "product_ID", weekly, **join_options)
-    profile = None if time_key(users, weekly) == VALID else with_week(lines) if weekly else lines
+    # Hot keys are looked for in the lines, not in their join with the products, which would have to be made for that.
+    profile = lines if time_key(users, weekly) == VALID or not weekly else with_week(lines)
     wide = time_join(wide, user_rows, "User_ID", weekly, profile=profile, **join_options)
     return wide.select(*by, *PRODUCT_FIELDS, "User_ID", "product_ID", "quantity", *USER_FIELDS)

@@ -60,10 +60,15 @@ def packed(valid: DataFrame, key: str) -> DataFrame:
     return valid.select("*", F.explode(epochs).alias("_epoch")).groupBy("_epoch", key).agg(F.collect_list(F.struct(*VALID, *fields)).alias("_rows"))
 
 
-def valid_join(fact: DataFrame, valid: DataFrame, key: str, spread_by: Sequence[str], day: str = "run_date", broadcast_bytes: int = BROADCAST_BYTES, **join_options) -> DataFrame:
-    """``fact`` left join ``valid`` on the key and the week of ``day``; several matches multiply the row."""
+def valid_join(
+    fact: DataFrame, valid: DataFrame, key: str, spread_by: Sequence[str], day: str = "run_date", broadcast_bytes: int = BROADCAST_BYTES, profile: DataFrame | None = None, **join_options
+) -> DataFrame:
+    """``fact`` left join ``valid`` on the key and the week of ``day``; several matches multiply the row. Hot keys are looked for in ``profile`` where given."""
     week = week_of(F.col(day))
-    dated = fact.withColumns({"_week": week, "_epoch": F.floor(week / F.lit(EPOCH))})
+    numbers = {"_week": week, "_epoch": F.floor(week / F.lit(EPOCH))}
+    dated = fact.withColumns(numbers)
+    if profile is not None:
+        join_options["profile"] = profile.withColumns(numbers)
     # Measured on the flat intervals, since arrays have no size of their own there.
     small = measured_bytes(valid) <= broadcast_bytes
     joined = lookup_join(dated, packed(valid, key), ["_epoch", key], spread_by, broadcast_bytes=broadcast_bytes if small else -1, **join_options)

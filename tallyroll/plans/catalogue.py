@@ -43,8 +43,17 @@ def _weekly_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten_products(star.weekly_products(spark, sf_dir), keep=calendar.WEEK_KEY)
 
 
-def _weekly_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flatten_users(star.weekly_users(spark, sf_dir), keep=calendar.WEEK_KEY)
+def _weekly_users(spark: SparkSession, sf_dir: str, ordered: DataFrame | None = None) -> DataFrame:
+    return flatten_users(star.weekly_users(spark, sf_dir, ordered), keep=calendar.WEEK_KEY)
+
+
+# What weekly users take of an order line besides what a sale line does, and what the first load does.
+ACTIVE_BY, LOADED_BY = ("o_custkey", "l_shipdate"), ("l_returnflag",)
+
+
+def _ordered(spark: SparkSession, sf_dir: str, also: Collection[str]) -> DataFrame:
+    """The lines with their orders, written down: for queries that would join them more than once."""
+    return settle(star.ordered_lines(spark, sf_dir, *also), "ordered")
 
 
 def _snapshot(dim: DataFrame, *columns: str) -> DataFrame:
@@ -60,13 +69,14 @@ def sales(
     owner: bool = True,
     where: str | None = None,
     monthly: bool = False,
+    ordered: DataFrame | None = None,
 ) -> DataFrame:
     """The rollup of one metric. Ids are primary keys in these tables, hence no check for repeats."""
     options = {"by": ("run_date",) if dated else (), "by_id": metric.by_id}
     if metric.source == "product":
-        lines = star.sale_lines(spark, sf_dir, dated=dated, where=where, monthly=monthly)
+        lines = star.sale_lines(spark, sf_dir, dated=dated, where=where, monthly=monthly, ordered=ordered)
         return product_sales(lines, flatten_products(star.products(spark, sf_dir)), **options)
-    lines = star.sale_lines(spark, sf_dir, owner=owner, dated=dated, where=where, monthly=monthly)
+    lines = star.sale_lines(spark, sf_dir, owner=owner, dated=dated, where=where, monthly=monthly, ordered=ordered)
     return buyer_sales(lines, *_dims(spark, sf_dir), **options)
 
 
@@ -128,20 +138,26 @@ def _valid(dim: DataFrame, key: str, *columns: str) -> DataFrame:
 
 def enriched_by_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``enriched_by_week`` with both dimensions as intervals."""
-    lines = star.sale_lines(spark, sf_dir, owner=True, dated=True)
+    # Lines and orders are joined once, for the lines, the looks for hot keys in them and the weekly users.
+    ordered = _ordered(spark, sf_dir, ACTIVE_BY)
+    lines = star.sale_lines(spark, sf_dir, owner=True, dated=True, ordered=ordered)
     products = _valid(_weekly_products(spark, sf_dir), "Product_ID", *PRODUCT_FIELDS)
-    return enrich(lines, products, _valid(_weekly_users(spark, sf_dir), "User_ID", *USER_FIELDS), by=("run_date",), weekly=True)
+    users = _valid(_weekly_users(spark, sf_dir, ordered), "User_ID", *USER_FIELDS)
+    return enrich(lines, products, users, by=("run_date",), weekly=True)
 
 
 def validity_metric_query(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """``weekly_metric_query`` with the dimensions as intervals."""
     metric, options = METRICS[name], {"by": ("run_date",), "weekly": True}
-    lines = star.sale_lines(spark, sf_dir, owner=metric.source == "buyer", dated=True)
-    if metric.source == "product":
+    buyer = metric.source == "buyer"
+    # Buyers need the lines' orders also for the weekly users.
+    ordered = _ordered(spark, sf_dir, ACTIVE_BY) if buyer else None
+    lines = star.sale_lines(spark, sf_dir, owner=buyer, dated=True, ordered=ordered)
+    if not buyer:
         rollup = product_sales(lines, _valid(_weekly_products(spark, sf_dir), "Product_ID", *PRODUCT_FIELDS), **options)
     else:
         prices = _valid(_weekly_products(spark, sf_dir), "Product_ID", "price")
-        rollup = buyer_sales(lines, prices, _valid(_weekly_users(spark, sf_dir), "User_ID", *USER_FIELDS), **options)
+        rollup = buyer_sales(lines, prices, _valid(_weekly_users(spark, sf_dir, ordered), "User_ID", *USER_FIELDS), **options)
     return metric.compute(rollup, by=("run_date",), ordered=False)
 
 
@@ -171,8 +187,8 @@ def date_stamped_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stamped.select("id", "date", F.size("products").cast("bigint").alias("n_products"))
 
 
-def _daily_rows(metric: Metric, spark: SparkSession, sf_dir: str, where: str | None = None, monthly: bool = False) -> DataFrame:
-    rollup = sales(metric, spark, sf_dir, dated=True, where=where, monthly=monthly)
+def _daily_rows(metric: Metric, spark: SparkSession, sf_dir: str, where: str | None = None, monthly: bool = False, ordered: DataFrame | None = None) -> DataFrame:
+    rollup = sales(metric, spark, sf_dir, dated=True, where=where, monthly=monthly, ordered=ordered)
     return metric.compute(rollup, by=("run_date",), ordered=False)
 
 

@@ -110,9 +110,9 @@ def weekly_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(weekly_product_rows(spark, sf_dir), product_fields(weekly=True), calendar.WEEK_KEY)
 
 
-def weekly_user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the documents of ``weekly_users`` are made of, by ``user_fields``: fewer bytes to shuffle."""
-    lines = _ordered_lines(spark, sf_dir)
+def weekly_user_rows(spark: SparkSession, sf_dir: str, ordered: DataFrame | None = None) -> DataFrame:
+    """What the documents of ``weekly_users`` are made of, by ``user_fields``: fewer bytes to shuffle. ``ordered``: as in ``sale_lines``."""
+    lines = _ordered_lines(spark, sf_dir) if ordered is None else ordered
     active = lines.select(
         calendar.iso_year(_day("l_shipdate")).alias("iso_year"),
         calendar.iso_week(_day("l_shipdate")).alias("iso_week"),
@@ -121,9 +121,9 @@ def weekly_user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active.join(_user_rows(spark, sf_dir), "id")
 
 
-def weekly_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly_users(spark: SparkSession, sf_dir: str, ordered: DataFrame | None = None) -> DataFrame:
     """User snapshots per ISO week: the customers who were sent something in that week."""
-    return _documents(weekly_user_rows(spark, sf_dir), user_fields(), calendar.WEEK_KEY)
+    return _documents(weekly_user_rows(spark, sf_dir, ordered), user_fields(), calendar.WEEK_KEY)
 
 
 def _ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,15 +133,21 @@ def _ordered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_join(table(spark, sf_dir, "lineitem"), orders, ["l_orderkey"], spread, how="inner")
 
 
+def ordered_lines(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
+    """What ``sale_lines`` takes of the lines and their orders, and some columns more: a query that needs them more than once writes them down."""
+    return _ordered_lines(spark, sf_dir).select("l_orderkey", "o_orderdate", "l_partkey", "l_quantity", *also)
+
+
 def sale_lines(
-    spark: SparkSession, sf_dir: str, owner: bool = False, dated: bool = False, where: str | None = None, monthly: bool = False
+    spark: SparkSession, sf_dir: str, owner: bool = False, dated: bool = False, where: str | None = None, monthly: bool = False, ordered: DataFrame | None = None
 ) -> DataFrame:
     """Lines in the form of ``operators.flatten.sale_lines``, straight from the flat tables.
 
-    The order is the cart. Only its owner and its date (``dated``, or the first of its month) need the orders table.
+    The order is the cart. Only its owner and its date (``dated``, or the first of its month) need the orders table, or its
+    lines as they were written down, ``ordered``.
     """
     day = F.trunc(_day("o_orderdate"), "month") if monthly else _day("o_orderdate")
-    lines = _ordered_lines(spark, sf_dir) if owner or dated else table(spark, sf_dir, "lineitem")
+    lines = (_ordered_lines(spark, sf_dir) if ordered is None else ordered) if owner or dated else table(spark, sf_dir, "lineitem")
     if where:
         lines = lines.where(where)
     return lines.select(
