@@ -209,9 +209,10 @@ def warehouse_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def warehouse_rerun_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    metric = METRICS["total_quantity_per_prod"]
-    stored = settle(warehouse.content_rows(_daily_rows(metric, spark, sf_dir, FIRST_LOAD)), "stored")
-    rerun = warehouse.content_rows(_daily_rows(metric, spark, sf_dir))
+    metric, ordered = METRICS["total_quantity_per_prod"], _ordered(spark, sf_dir, LOADED_BY)
+    stored = settle(warehouse.content_rows(_daily_rows(metric, spark, sf_dir, FIRST_LOAD, ordered=ordered)), "stored")
+    # Dealt to the tasks of the join without their keys, which are longer than all fields.
+    rerun = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, ordered=ordered), int(spark.conf.get("spark.sql.shuffle.partitions")))
     return warehouse.after_load(rerun, stored)
 
 

@@ -51,8 +51,14 @@ def content_rows(rows: DataFrame, buckets: int = 0) -> DataFrame:
 
 
 def fresh_rows(rows: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows whose key is not stored yet; what is stored stays as it was."""
-    return rows.join(stored.select(*KEY), list(KEY), "left_anti").select(*rows.columns)
+    """Rows whose key is not stored yet; what is stored stays as it was.
+
+    ``date_id`` tells its day, so the join is on it alone: rows that come in hash partitions of it (``content_rows``) are not shuffled
+    again. The stored keys are shuffled packed.
+    """
+    packed = stored.where(F.col("static_date").isNotNull()).select(keys.packed_key(F.col("date_id")).alias("_packed"))
+    known = packed.repartition(keys.unpacked_key(F.col("_packed"))).select(keys.unpacked_key(F.col("_packed")).alias("date_id"))
+    return rows.join(known, "date_id", "left_anti").select(*rows.columns)
 
 
 def fresh_positions(rows: DataFrame, stored: DataFrame) -> DataFrame:
