@@ -246,8 +246,9 @@ def warehouse_keyed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric, path = METRICS["total_quantity_per_prod"], scratch_path(spark, "warehouse")
     first, last = _order_days(spark, sf_dir).agg(F.min("run_date"), F.max("run_date")).first()
     buckets = max(STORE_BUCKETS, -(-star.table(spark, sf_dir, "lineitem").count() // TASK_ROWS))
+    ordered = _ordered(spark, sf_dir, LOADED_BY)
     for where in (FIRST_LOAD, None, None):
-        rows = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, where), buckets)
+        rows = warehouse.content_rows(_daily_rows(metric, spark, sf_dir, where, ordered=ordered), buckets)
         warehouse.load(rows, path, first, last, buckets=buckets, small_bytes=0)
     return warehouse.read_stored(rows, path)
 
